@@ -36,7 +36,8 @@ class Scan:
     """One running output column.
 
     kind: ``count`` (rows so far, inclusive), ``sum``, ``max``, ``min``
-    (running, inclusive; max/min accept structs, so ``max`` of
+    (running, inclusive; ``max_before`` is the max over strictly earlier
+    rows; max/min accept structs, so ``max`` of
     ``struct(value, -seq, payload)`` is a rolling maxBy that keeps the first
     tie), ``lag`` (previous row's value, ``default`` for the first row of
     the key) and ``first`` (value at the key's first row).
@@ -97,6 +98,9 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
             fn = F.max if s.kind == "max" else F.min
             inner[n] = fn(s.expr).over(w_run)
             summary.append(fn(s.expr).alias(f"__t_{n}"))
+        elif s.kind == "max_before":
+            inner[n] = F.max(s.expr).over(w_in.rowsBetween(Window.unboundedPreceding, -1))
+            summary.append(F.max(s.expr).alias(f"__t_{n}"))
         elif s.kind == "lag":
             inner[n] = F.lag(F.struct(s.expr.alias("v")), 1).over(w_in)
             summary.append(F.max_by(F.struct(s.expr.alias("v")), order_key).alias(f"__t_{n}"))
@@ -115,7 +119,7 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
         t = F.col(f"__t_{s.name}")
         if s.kind in ("count", "sum"):
             prefix.append(F.sum(t).over(before).alias(f"__p_{s.name}"))
-        elif s.kind == "max":
+        elif s.kind in ("max", "max_before"):
             prefix.append(F.max(t).over(before).alias(f"__p_{s.name}"))
         elif s.kind == "min":
             prefix.append(F.min(t).over(before).alias(f"__p_{s.name}"))
@@ -133,7 +137,7 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
         p, i = F.col(f"__p_{n}"), F.col(f"__i_{n}") if n in inner else None
         if s.kind in ("count", "sum"):
             val = F.when(p.isNull(), i).otherwise(p + i)
-        elif s.kind == "max":
+        elif s.kind in ("max", "max_before"):
             val = F.greatest(p, i)
         elif s.kind == "min":
             val = F.least(p, i)

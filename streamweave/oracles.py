@@ -5,10 +5,10 @@ the NTZ ``events.ts``, ``$.k`` of props as the item, the arrival
 permutation for late-data tests, Java split semantics for words.
 """
 
-READINGS = ("SELECT 'sensor_' || CAST(user_id AS VARCHAR) AS id, epoch_ms(ts) AS timestamp, "
+READINGS = ("SELECT 'sensor_' || CAST(user_id AS VARCHAR) AS id, epoch_us(ts) // 1000 AS timestamp, "
             "value AS temperature, event_id AS seq FROM events")
 
-READINGS_SHUFFLED = ("SELECT 'sensor_' || CAST(user_id AS VARCHAR) AS id, epoch_ms(ts) AS timestamp, "
+READINGS_SHUFFLED = ("SELECT 'sensor_' || CAST(user_id AS VARCHAR) AS id, epoch_us(ts) // 1000 AS timestamp, "
                      "value AS temperature, "
                      "(event_id + (event_id * 7919) % 61) * 64 + 60 - (event_id * 7919) % 61 AS seq, "
                      "event_id FROM events")
@@ -16,11 +16,11 @@ READINGS_SHUFFLED = ("SELECT 'sensor_' || CAST(user_id AS VARCHAR) AS id, epoch_
 BEHAVIORS = ("SELECT user_id AS userId, CAST(json_extract_string(props, '$.k') AS BIGINT) AS itemId, "
              "CAST(NULL AS INTEGER) AS categoryId, "
              "CASE WHEN event_type = 'view' THEN 'pv' ELSE event_type END AS behavior, "
-             "epoch_ms(ts) // 1000 AS timestamp, event_id AS seq FROM events")
+             "epoch_us(ts) // 1000000 AS timestamp, event_id AS seq FROM events")
 
 LOGINS = ("SELECT user_id AS userId, CAST(NULL AS VARCHAR) AS ip, "
           "CASE WHEN event_type = 'error' THEN 'fail' ELSE 'success' END AS loginState, "
-          "epoch_ms(ts) // 1000 AS timestamp, event_id AS seq FROM events")
+          "epoch_us(ts) // 1000000 AS timestamp, event_id AS seq FROM events")
 
 LINES = ("SELECT doc_id, CAST(line_no AS BIGINT) - 1 AS line_no, value, "
          "(doc_id << 20) | (CAST(line_no AS BIGINT) - 1) AS seq FROM ("
