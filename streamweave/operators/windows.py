@@ -113,8 +113,10 @@ def window_apply(df: DataFrame, size: str, key: str, fn: Callable, schema: Struc
     """W6/W7 general full-window function: ``fn(key, batches)`` sees every row
     of one (window_start, window_end, key) group as an iterator of pandas
     batches (the key tuple carries the window bounds, as a
-    ProcessWindowFunction's context does). Memory per group is one batch;
-    prefer built-in aggregates where they express the result."""
+    ProcessWindowFunction's context does). Annotate ``fn`` as
+    ``(Tuple[Any, ...], Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]``
+    so Spark streams the group in batches: memory per group is one batch.
+    Prefer built-in aggregates where they express the result."""
     w = window_columns(df, time_col, size, slide)
     return w.groupBy("window_start", "window_end", key).applyInPandas(fn, schema)
 
