@@ -26,12 +26,21 @@ SHUFFLE_MULT = 7919
 SHUFFLE_MOD = 61
 
 
+EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+                 "props string")
+DOCUMENTS_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    return readings_of(table(spark, sf_dir, "events"))
+
+
+def readings_of(ev: DataFrame) -> DataFrame:
+    """readings over an events DataFrame (batch or stream)."""
     return ev.select(
         F.concat(F.lit("sensor_"), F.col("user_id").cast("string")).alias("id"),
         epoch_ms(F.col("ts"), is_ntz=True).alias("timestamp"),
@@ -46,7 +55,10 @@ def shuffled_seq(event_id):
 
 
 def readings_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    return readings_shuffled_of(table(spark, sf_dir, "events"))
+
+
+def readings_shuffled_of(ev: DataFrame) -> DataFrame:
     return ev.select(
         F.concat(F.lit("sensor_"), F.col("user_id").cast("string")).alias("id"),
         epoch_ms(F.col("ts"), is_ntz=True).alias("timestamp"),
@@ -56,7 +68,10 @@ def readings_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    return behaviors_of(table(spark, sf_dir, "events"))
+
+
+def behaviors_of(ev: DataFrame) -> DataFrame:
     return ev.select(
         F.col("user_id").alias("userId"),
         F.get_json_object("props", "$.k").cast("bigint").alias("itemId"),
@@ -67,7 +82,10 @@ def behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    return logins_of(table(spark, sf_dir, "events"))
+
+
+def logins_of(ev: DataFrame) -> DataFrame:
     return ev.select(
         F.col("user_id").alias("userId"),
         F.lit(None).cast("string").alias("ip"),
@@ -77,14 +95,20 @@ def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines_of(table(spark, sf_dir, "documents"))
+
+
+def lines_of(docs: DataFrame) -> DataFrame:
     return (docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "value"))
             .select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "value",
                     F.shiftleft(F.col("doc_id"), LINE_SHIFT).bitwiseOR(F.col("line_no")).alias("seq")))
 
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ln = lines(spark, sf_dir)
+    return words_of(lines(spark, sf_dir))
+
+
+def words_of(ln: DataFrame) -> DataFrame:
     return (ln.select("doc_id", "line_no", F.posexplode(java_split_words(F.col("value"))).alias("pos", "word"))
             .select("word",
                     (F.shiftleft(F.col("doc_id"), WORD_DOC_SHIFT)
