@@ -29,10 +29,20 @@ def word_count(words: DataFrame, col: str = "word") -> DataFrame:
     return words.groupBy(F.col(col).alias("word")).agg(F.count(F.lit(1)).alias("count"))
 
 
-def rolling_word_count(words: DataFrame, col: str = "word", chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """A2 ``keyBy(word).sum(1)``: per input word, its count so far."""
+WORD_DOC_SHIFT = 34      # fixed layout of word seq numbers, see sources.testdata
+DOCS_PER_CHUNK = 256
+
+
+def rolling_word_count(words: DataFrame, col: str = "word", docs_per_chunk: int = DOCS_PER_CHUNK,
+                       doc_shift: int = WORD_DOC_SHIFT) -> DataFrame:
+    """A2 ``keyBy(word).sum(1)``: per input word, its count so far.
+
+    Word seqs are (doc, line, position) bit-packed; chunks are ranges of
+    ``docs_per_chunk`` documents, so a frequent word is split across chunks
+    while the chunk summary stays far smaller than the input."""
     df = words.select(F.col(col).alias("word"), "seq")
-    return keyed_scan(df, ["word"], ["seq"], seq_chunks("seq", chunk_rows), [Scan("count", "count")])
+    return keyed_scan(df, ["word"], ["seq"], seq_chunks("seq", docs_per_chunk, shift=doc_shift),
+                      [Scan("count", "count")])
 
 
 # ---- A3 / A4 / A5 rolling aggregates on readings -------------------------

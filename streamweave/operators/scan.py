@@ -49,9 +49,15 @@ class Scan:
     default: object = None
 
 
-def seq_chunks(seq_col: str, width: int = DEFAULT_CHUNK_ROWS) -> Column:
-    """Chunk id for arrival order: at most ``width`` rows per (key, chunk)."""
-    return F.expr(f"`{seq_col}` div {int(width)}")
+def seq_chunks(seq_col: str, width: int = DEFAULT_CHUNK_ROWS, shift: int = 0) -> Column:
+    """Chunk id for arrival order: at most ``width`` seq values per chunk.
+
+    For a dense seq (0, 1, 2, ...) that bounds a (key, chunk) to ``width``
+    rows. A bit-packed seq (``major << shift | minor``) is chunked on its
+    major part: ``shift`` drops the minor bits first and ``width`` then
+    counts majors (e.g. documents of a word stream). ``div`` truncates, so
+    the chunk id is monotone in seq, as the scan requires."""
+    return F.expr(f"shiftright(`{seq_col}`, {int(shift)}) div {int(width)}")
 
 
 def time_chunks(ms_col: str, width_ms: int) -> Column:
@@ -84,6 +90,12 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
     w_run = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     order_key = F.struct(*[F.col(c) for c in order])
 
+    # In-chunk running values, and the per-(key, chunk) totals. The totals
+    # come from ``base`` with map-side partial aggregation: their shuffle is
+    # one row per (key, chunk) per task, and the second pass over ``base``
+    # reads only the key, order and aggregated columns. (Aggregating the
+    # windowed rows instead would shuffle every row twice: the two
+    # branches prune different columns, so Spark cannot reuse the exchange.)
     inner = {}
     summary = []
     for s in scans:
@@ -110,7 +122,6 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
             raise ValueError(f"unknown scan kind {s.kind}")
 
     windowed = base.select("*", *[c.alias(f"__i_{n}") for n, c in inner.items()])
-
     summ = base.groupBy(*part).agg(*summary)
     w_c = Window.partitionBy(*sk).orderBy("__chunk")
     before = w_c.rowsBetween(Window.unboundedPreceding, -1)

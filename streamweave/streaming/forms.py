@@ -17,11 +17,16 @@ from streamweave.sources import testdata as td
 from streamweave.streaming.runner import IdempotentParquetSink, run_available_now
 
 
-def events_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def events_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None,
+                  file_glob: str | None = None) -> DataFrame:
+    """Events files arriving in ``folder`` (optionally only names matching
+    ``file_glob``), read in modification-time order."""
     r = spark.readStream.schema(td.EVENTS_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(path)
+    if file_glob:
+        r = r.option("pathGlobFilter", file_glob)
+    return r.parquet(folder)
 
 
 def with_event_time(df: DataFrame, col: str = "timestamp", unit: str = "ms") -> DataFrame:
@@ -60,7 +65,7 @@ def hot_items_sink(path: str, n: int = 5) -> IdempotentParquetSink:
 
 def hot_items_stream_run(spark: SparkSession, sf_dir: str, out_dir: str, max_files_per_trigger: int | None = None):
     """Hot items over the events file as a stream, to completion."""
-    ev = events_stream(spark, f"{sf_dir}/events.parquet", max_files_per_trigger)
+    ev = events_stream(spark, sf_dir, max_files_per_trigger, file_glob="events.parquet")
     counts = hot_items_counts_stream(td.behaviors_of(ev))
     sink = hot_items_sink(f"{out_dir}/out")
     run_available_now(counts, sink, f"{out_dir}/checkpoint")

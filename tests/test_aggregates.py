@@ -22,7 +22,7 @@ def test_word_count(spark):
 
 def test_rolling_word_count_chunked(spark):
     for chunk in (1 << 20, 1000, 3):
-        rc = A.rolling_word_count(words(spark), chunk_rows=chunk)
+        rc = A.rolling_word_count(words(spark), docs_per_chunk=chunk, doc_shift=0)
         hello = [r["count"] for r in rc.where("word = 'Hello'").orderBy("seq").collect()]
         assert hello == [1, 2, 3, 4]
 
