@@ -19,8 +19,14 @@ def student_rows(df: DataFrame) -> DataFrame:
     return df.select(F.col("id").alias("name"), F.col("temperature").cast("string").alias("gender"))
 
 
+STUDENT_COLUMNS = "name VARCHAR(128), gender VARCHAR(64)"
+
+
 def jdbc_append(df: DataFrame, url: str, table: str, properties: dict | None = None) -> None:
-    student_rows(df).write.jdbc(url, table, mode="append", properties=properties or {})
+    """K6: append the reference's (name, gender) rows; creates the table
+    with VARCHAR columns if it does not exist."""
+    (student_rows(df).write.option("createTableColumnTypes", STUDENT_COLUMNS)
+     .jdbc(url, table, mode="append", properties=properties or {}))
 
 
 def _execute(spark: SparkSession, url: str, statements: list[str], properties: dict | None = None) -> None:
@@ -42,16 +48,19 @@ class JdbcUpsert:
     """foreachBatch sink: MERGE the newest row per key into ``table``."""
 
     def __init__(self, url: str, table: str, key: str = "name", value: str = "gender",
-                 order: str = "seq", properties: dict | None = None):
+                 order: str = "seq", properties: dict | None = None, column_types: str = STUDENT_COLUMNS):
         self.url, self.table, self.key, self.value, self.order = url, table, key, value, order
         self.properties = properties or {}
+        self.column_types = column_types
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         latest = batch.groupBy(self.key).agg(F.max_by(F.col(self.value), F.col(self.order)).alias(self.value))
         stage = f"{self.table}_STAGE"
-        latest.write.jdbc(self.url, stage, mode="overwrite", properties=self.properties)
+        (latest.write.option("createTableColumnTypes", self.column_types)
+         .jdbc(self.url, stage, mode="overwrite", properties=self.properties))
+        k, v = f'"{self.key}"', f'"{self.value}"'  # Spark's writer creates quoted column names
         _execute(batch.sparkSession, self.url, [
-            f"MERGE INTO {self.table} t USING {stage} s ON t.{self.key} = s.{self.key} "
-            f"WHEN MATCHED THEN UPDATE SET {self.value} = s.{self.value} "
-            f"WHEN NOT MATCHED THEN INSERT ({self.key}, {self.value}) VALUES (s.{self.key}, s.{self.value})"],
+            f"MERGE INTO {self.table} t USING {stage} s ON t.{k} = s.{k} "
+            f"WHEN MATCHED THEN UPDATE SET {v} = s.{v} "
+            f"WHEN NOT MATCHED THEN INSERT ({k}, {v}) VALUES (s.{k}, s.{v})"],
             self.properties)
