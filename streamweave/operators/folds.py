@@ -47,11 +47,11 @@ def _segments(df: DataFrame, key: str, time_col: str, lag_expr, starts_here, end
     """
     order = [time_col, "seq"]
     chunk = time_chunks(time_col, chunk_ms)
-    s1 = keyed_scan(df, [key], order, chunk, [Scan("__prev", "lag", lag_expr)])
+    s1 = keyed_scan(df, [key], order, chunk, [Scan("__prev", "lag", lag_expr)], carry=True)
     p = F.col("__prev")
     s1 = (s1.withColumn("__s", _flag(p.isNotNull() & starts_here(p)))
             .withColumn("__e", _flag(ends_here(p))))
-    s2 = keyed_scan(s1, [key], order, chunk, [Scan("__cum", "sum", F.col("__s") + F.col("__e"))])
+    s2 = keyed_scan(s1, [key], order, None, [Scan("__cum", "sum", F.col("__s") + F.col("__e"))])
     return s2.withColumn("__seg", F.col("__cum") - F.col("__e"))
 
 

@@ -76,15 +76,26 @@ def _surrogates(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     return df, cols
 
 
-def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
-               scans: list[Scan]) -> DataFrame:
+def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column | None,
+               scans: list[Scan], carry: bool = False) -> DataFrame:
     """Append the running columns of ``scans`` to ``df`` (one row per input).
 
     ``order`` must be a total order within a key (end it with ``seq``), and
     ``chunk`` a monotone non-decreasing function of it.
+
+    ``carry=True`` keeps the (key, chunk) partition columns in the output;
+    a following scan over the same keys and chunks passes ``chunk=None`` to
+    reuse them, and Spark then sees that the rows are already partitioned
+    by them: the second scan adds no shuffle of the data.
     """
-    base, sk = _surrogates(df, list(keys))
-    base = base.withColumn("__chunk", chunk)
+    if chunk is None:
+        base = df
+        sk = [c for c in df.columns if c.startswith("__k") or c.startswith("__n")]
+        if "__chunk" not in df.columns or not sk:
+            raise ValueError("chunk=None needs the columns of a previous scan with carry=True")
+    else:
+        base, sk = _surrogates(df, list(keys))
+        base = base.withColumn("__chunk", chunk)
     part = sk + ["__chunk"]
     w_in = Window.partitionBy(*part).orderBy(*order)
     w_run = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -158,4 +169,5 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
         else:  # first
             val = p.getField("v")
         out.append(val.alias(n))
-    return joined.select(*df.columns, *out)
+    carried = part if (carry and chunk is not None) else []
+    return joined.select(*df.columns, *carried, *out)

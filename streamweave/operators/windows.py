@@ -62,10 +62,10 @@ def session_windows(df: DataFrame, key: str, gap: str, time_col: str = "timestam
     g = duration_ms(gap)
     order = [time_col, "seq"]
     chunk = time_chunks(time_col, chunk_ms)
-    s1 = keyed_scan(df, [key], order, chunk, [Scan("__prev", "lag", F.col(time_col))])
+    s1 = keyed_scan(df, [key], order, chunk, [Scan("__prev", "lag", F.col(time_col))], carry=True)
     s1 = s1.withColumn("__start", F.when(F.col("__prev").isNull() | (F.col(time_col) - F.col("__prev") >= g),
                                          F.col(time_col)))
-    s2 = keyed_scan(s1, [key], order, chunk, [Scan("session_start", "max", F.col("__start"))])
+    s2 = keyed_scan(s1, [key], order, None, [Scan("session_start", "max", F.col("__start"))])
     return (s2.groupBy(key, "session_start")
             .agg(F.max(time_col).alias("__last"), F.count(F.lit(1)).alias("count"))
             .select(key, "session_start", (F.col("__last") + F.lit(g)).alias("session_end"), "count"))
