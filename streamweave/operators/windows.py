@@ -85,12 +85,15 @@ def count_window(df: DataFrame, key: str = "id", size: int = 10, slide: int = 2,
     if block_rows < size:
         raise ValueError("block_rows must be >= size")
     numbered = keyed_scan(df, [key], ["seq"], seq_chunks("seq", chunk_rows), [Scan("__rn", "count")])
-    blk = F.expr(f"(__rn - 1) div {int(block_rows)}")
-    main = numbered.withColumn("__blk", blk).withColumn("__halo", F.lit(False))
-    halo = (numbered.where(F.expr(f"(__rn - 1) % {int(block_rows)} >= {int(block_rows - size + 1)}"))
-            .withColumn("__blk", blk + 1).withColumn("__halo", F.lit(True)))
+    pos = F.expr(f"(__rn - 1) % {int(block_rows)}")
+    # Each row goes to its block; the last size-1 rows of a block are also
+    # copied (as halo) into the next one. One pass, no union of two plans.
+    copies = F.when(pos >= block_rows - size + 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    blocks = (numbered.withColumn("__copy", F.explode(copies))
+              .withColumn("__blk", F.expr(f"(__rn - 1) div {int(block_rows)}") + F.col("__copy"))
+              .withColumn("__halo", F.col("__copy") == 1))
     w = Window.partitionBy(key, "__blk").orderBy("__rn").rowsBetween(-(size - 1), Window.currentRow)
-    return (main.unionByName(halo)
+    return (blocks
             .select(key, "seq", "__rn", "__halo",
                     F.count(F.lit(1)).over(w).alias("size"),
                     F.min(field).over(w).alias(f"min_{field}"),
