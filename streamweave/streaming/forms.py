@@ -48,6 +48,28 @@ def window_counts_stream(df: DataFrame, key: str, size: str, slide: str | None =
     return _bounds(ev.groupBy(win, key).agg(F.count(F.lit(1)).alias("count")))
 
 
+def window_sum_stream(readings: DataFrame, size: str, key: str = "id", field: str = "temperature",
+                      delay: str = "0 seconds", scale: int | None = 2) -> DataFrame:
+    """A7 on a stream: sum of ``field`` per (window, key), append mode."""
+    ev = with_event_time(readings).withWatermark("event_time", spark_interval(delay))
+    total = F.sum(F.col(field).cast(f"decimal(18,{scale})")).cast("double") if scale is not None else F.sum(field)
+    agg = ev.groupBy(F.window("event_time", spark_interval(size)), key).agg(total.alias(f"sum_{field}"))
+    return _bounds(agg).select("window_start", "window_end", key, f"sum_{field}")
+
+
+def distinct_buckets_stream(df: DataFrame, key: str, size: str, slide: str, bucket: int = 1000,
+                            delay: str = "0 seconds") -> DataFrame:
+    """A9 on a stream: distinct ``timestamp / bucket`` per (window, key).
+    Streaming has no distinct aggregate; two chained stateful aggregations
+    do it: count per (window, key, bucket), then rows per (window, key)."""
+    ev = with_event_time(df, unit="s").withWatermark("event_time", spark_interval(delay))
+    b = F.expr(f"timestamp div {int(bucket)}")
+    per_bucket = ev.groupBy(F.window("event_time", spark_interval(size), spark_interval(slide)), key,
+                            b.alias("__b")).count()
+    per_key = per_bucket.groupBy("window", key).agg(F.count(F.lit(1)).alias("count"))
+    return _bounds(per_key).select("window_start", "window_end", key, "count")
+
+
 def hot_items_counts_stream(behaviors: DataFrame, size: str = "5 hours", slide: str = "2 hours") -> DataFrame:
     """E1 stage 1: ItemViewCount rows, final per window (ascending time, T3)."""
     pv = behaviors.where(F.col("behavior") == "pv").select("itemId", "timestamp")

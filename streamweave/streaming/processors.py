@@ -347,3 +347,107 @@ class SeenFilter(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class RollingMaxBy(StatefulProcessor):
+    """A3 ``maxBy(temperature)`` per input row: the whole record holding the
+    max so far (a tie keeps the earlier record)."""
+
+    @staticmethod
+    def schema() -> str:
+        return "input_seq long, id string, timestamp long, temperature double, seq long"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.best = handle.getValueState("best", "timestamp long, temperature double, seq long")
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        b = _batch(rows, ["seq"])
+        if b.empty:
+            return
+        best = self.best.get() if self.best.exists() else None
+        out = []
+        for ts, temp, s in zip(b["timestamp"], b["temperature"], b["seq"]):
+            if best is None or temp > best[1]:
+                best = (int(ts), float(temp), int(s))
+            out.append((int(s), key[0], *best))
+        self.best.update(best)
+        yield pd.DataFrame(out, columns=["input_seq", "id", "timestamp", "temperature", "seq"])
+
+    def close(self) -> None:
+        pass
+
+
+class RollingReduce(StatefulProcessor):
+    """A5 / ST6 reduce per input row: (id, timestamp of the latest record,
+    max temperature so far) -- the reducing state's fold."""
+
+    @staticmethod
+    def schema() -> str:
+        return "input_seq long, id string, timestamp long, temperature double"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.acc = handle.getValueState("acc", "m double")
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        b = _batch(rows, ["seq"])
+        if b.empty:
+            return
+        temps = b["temperature"].to_numpy()
+        start = self.acc.get()[0] if self.acc.exists() else -np.inf
+        run = np.maximum.accumulate(np.concatenate([[start], temps]))[1:]
+        self.acc.update((float(run[-1]),))
+        yield pd.DataFrame({"input_seq": b["seq"].to_numpy(), "id": key[0], "timestamp": b["timestamp"].to_numpy(),
+                            "temperature": run})
+
+    def close(self) -> None:
+        pass
+
+
+class EarlyFiring(StatefulProcessor):
+    """W11 on a stream: per (id, window_start) emit the running count and max
+    at every ``every``-th arrival; an event-time timer at the window end plus
+    ``keep_ms`` clears the window's state."""
+
+    def __init__(self, every: int, keep_ms: int = 0):
+        self.every, self.keep = every, keep_ms
+
+    @staticmethod
+    def schema() -> str:
+        return "id string, window_start long, window_end long, fired_at_seq long, count long, max_temperature double"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.acc = handle.getValueState("acc", "n long, m double, window_end long")
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        b = _batch(rows, ["seq"])
+        if b.empty:
+            return
+        if self.acc.exists():
+            n, m, end = self.acc.get()
+        else:
+            n, m, end = 0, -np.inf, int(b["window_end"].iloc[0])
+            self.handle.registerTimer(end + self.keep)
+        out = []
+        for s, temp in zip(b["seq"], b["temperature"]):
+            n, m = n + 1, max(m, float(temp))
+            if n % self.every == 0:
+                out.append((key[0], int(key[1]), end, int(s), n, m))
+        self.acc.update((n, m, end))
+        if out:
+            yield pd.DataFrame(out, columns=["id", "window_start", "window_end", "fired_at_seq", "count",
+                                             "max_temperature"])
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
+        self.acc.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def apply_multi(df: DataFrame, keys: list[str], processor: StatefulProcessor, schema: str,
+                time_mode: str = "None") -> DataFrame:
+    """``apply`` for a composite grouping key (real columns only)."""
+    return df.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode=time_mode)
