@@ -567,3 +567,27 @@ def q_upsert(spark, sf):
 def q_jdbc_rows(spark, sf):
     from streamweave.sinks.jdbc import student_rows
     return student_rows(td.readings(spark, sf))
+
+
+@register("item_view_count_text", O.with_views(f"""{_COUNTS_5H_2H}
+SELECT itemId, windowEnd, 'ItemViewCount{{itemId=' || CAST(itemId AS VARCHAR) || ', windowEnd=' ||
+       CAST(windowEnd AS VARCHAR) || ', count=' || CAST(count AS VARCHAR) || '}}' AS value FROM c""", "behaviors"))
+def q_item_view_count_text(spark, sf):
+    from pyspark.sql import functions as F
+    from streamweave.functions.text import item_view_count_text
+    from streamweave.operators.windows import item_view_counts
+    c = item_view_counts(td.behaviors(spark, sf).where("behavior = 'pv'"), "5 hours", "2 hours")
+    return c.select("itemId", "windowEnd",
+                    item_view_count_text(F.col("itemId"), F.col("windowEnd"), F.col("count")).alias("value"))
+
+
+@register("user_behavior_text", O.with_views("""
+SELECT seq, 'UserBehavior{userId=' || CAST(userId AS VARCHAR) || ', itemId=' || CAST(itemId AS VARCHAR) ||
+       ', categoryId=null, behavior=''' || behavior || ''', timestamp=' || CAST(timestamp AS VARCHAR) || '}' AS value
+FROM behaviors""", "behaviors"))
+def q_user_behavior_text(spark, sf):
+    from pyspark.sql import functions as F
+    from streamweave.functions.text import user_behavior_text
+    b = td.behaviors(spark, sf)
+    return b.select("seq", user_behavior_text(F.col("userId"), F.col("itemId"), F.col("categoryId"),
+                                              F.col("behavior"), F.col("timestamp")).alias("value"))
