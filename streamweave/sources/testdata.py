@@ -99,10 +99,12 @@ def spread(df: DataFrame) -> DataFrame:
     large row group) before CPU-heavy narrow work such as splitting text.
     Partition counts come from planning, not from a job; on a big input the
     scan is already wide and nothing is added."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- e.g. Spark Connect has no RDD view; then leave the plan as is
+        return df
+    return df.repartition(cores) if parts < cores else df
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,6 @@
 from pyspark.sql import functions as F
 
 from streamweave.sinks import jdbc, keyed, shaping
-from streamweave.streaming.runner import run_available_now
 from tests.fixtures import sensor_df
 
 DERBY = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}

@@ -4,7 +4,7 @@ from pyspark.sql.types import IntegerType
 
 from streamweave import schemas
 from streamweave.sources import collection, external, generator, text
-from tests.fixtures import LOGIN_LINES, SENSOR, SENSOR_LINES, lines_df
+from tests.fixtures import LOGIN_LINES, SENSOR_LINES, lines_df
 
 
 def test_from_collection_and_elements(spark):

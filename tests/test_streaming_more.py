@@ -1,8 +1,6 @@
 """More stream = batch checks: rolling record aggregates, window sums,
 distinct buckets, early firing."""
 
-import pytest
-
 from streamweave.operators import aggregates as A, windows
 from streamweave.sources import testdata as td
 from streamweave.streaming import forms, processors as P
