@@ -16,7 +16,8 @@ third of the data.
    aggregation (its shuffle carries one row per (key, chunk) per task);
 3. the exclusive prefix of the summaries over earlier chunks of the key is
    a window over the summary table (one row per non-empty (key, chunk));
-4. the prefix is joined back on (key, chunk) and combined.
+4. the prefix is joined back on (key, chunk) by a sort-merge join that
+   keeps the data's partitioning and order, and combined.
 
 The result is exact for any associative aggregate. Keys may be null: the
 window and join run on null-safe surrogate columns.
@@ -152,7 +153,10 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column |
                           .alias(f"__p_{s.name}"))
     summ = summ.select(*part, *prefix)
 
-    joined = windowed.join(summ, on=part, how="inner")
+    # Sort-merge join: the windowed side is already partitioned and sorted
+    # by (key, chunk), so only the summary moves; a broadcast would copy the
+    # summary (which grows with keys x chunks) to every executor.
+    joined = windowed.join(summ.hint("merge"), on=part, how="inner")
     out = []
     for s in scans:
         n = s.name
