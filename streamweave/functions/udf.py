@@ -8,8 +8,8 @@ row-at-a-time UDFs:
 * ``map_column``   Map over one column: a pandas Series -> Series UDF;
 * ``filter_rows``  Filter with a vectorized predicate (Series -> bool Series);
 * ``flat_map``     FlatMap: each row -> 0..n rows via ``mapInPandas``;
-* ``aggregate``    Reduce/Aggregate per key: a grouped-aggregate pandas UDF
-                   (Series -> scalar), planned as an aggregate per group.
+* ``aggregate``    Reduce/Aggregate per key: grouped-aggregate pandas UDFs
+                   in two phases (partial per salted group, then merge).
 """
 
 from __future__ import annotations
@@ -42,10 +42,22 @@ def flat_map(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema:
     return df.mapInPandas(run, schema)
 
 
-def aggregate(df: DataFrame, key: str, col: str, fn: Callable[[pd.Series], object], return_type: str,
-              name: str = "value") -> DataFrame:
-    """Per-key reduction of one column with a Series -> scalar function.
-    Spark holds one key's column values in the Python worker; use built-in
-    aggregates (partial + final) whenever they express the reduction."""
-    agg = F.pandas_udf(fn, return_type)
-    return df.groupBy(key).agg(agg(F.col(col)).alias(name))
+def aggregate(df: DataFrame, key: str, col: str, partial: Callable[[pd.Series], object],
+              merge: Callable[[pd.Series], object], return_type: str, name: str = "value",
+              salts: int = 64) -> DataFrame:
+    """Reduce/Aggregate per key with Python functions, in two phases like
+    the reference's AggregateFunction (add ... merge ... getResult):
+
+    1. ``partial(values) -> scalar`` per (key, salt), the salt a hash of the
+       row spread over ``salts`` groups, so a hot key is split;
+    2. ``merge(partials) -> scalar`` per key over at most ``salts`` values.
+
+    ``partial`` and ``merge`` must give the same result for any split of
+    the values (e.g. max/max, sum/sum, count/sum). Prefer built-in
+    aggregates whenever they express the reduction.
+    """
+    p_udf = F.pandas_udf(partial, return_type)
+    m_udf = F.pandas_udf(merge, return_type)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(int(salts)))
+    parts = df.groupBy(F.col(key), salt.alias("__salt")).agg(p_udf(F.col(col)).alias("__p"))
+    return parts.groupBy(key).agg(m_udf(F.col("__p")).alias(name))
