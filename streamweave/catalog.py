@@ -591,3 +591,20 @@ def q_user_behavior_text(spark, sf):
     b = td.behaviors(spark, sf)
     return b.select("seq", user_behavior_text(F.col("userId"), F.col("itemId"), F.col("categoryId"),
                                               F.col("behavior"), F.col("timestamp")).alias("value"))
+
+
+@register("rolling_max_by_final", O.with_views("""
+SELECT id, timestamp, temperature, seq FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY temperature DESC, seq) AS k FROM readings) WHERE k = 1""",
+                                                "readings"))
+def q_rolling_max_by_final(spark, sf):
+    from streamweave.operators.aggregates import rolling_max_final
+    return rolling_max_final(td.readings(spark, sf))
+
+
+@register("window_count_1h", O.with_views(f"""
+SELECT timestamp - timestamp % {H} AS window_start, timestamp - timestamp % {H} + {H} AS window_end, id,
+       count(*) AS count FROM readings GROUP BY 1, 2, 3""", "readings"))
+def q_window_count(spark, sf):
+    from streamweave.operators.aggregates import window_count
+    return window_count(td.readings(spark, sf), "1 hour", "id")

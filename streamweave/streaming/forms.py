@@ -77,6 +77,18 @@ def hot_items_counts_stream(behaviors: DataFrame, size: str = "5 hours", slide:
     return c.select("itemId", F.col("window_end").alias("windowEnd"), "count")
 
 
+def dedup_hot_items_counts_stream(behaviors: DataFrame, size: str = "5 hours",
+                                  slide: str = "2 hours") -> DataFrame:
+    """E2 stage 1: (itemId, timestamp) de-duplicated within the watermark,
+    then sliding counts; two chained stateful operators."""
+    pv = behaviors.where(F.col("behavior") == "pv").select("itemId", "timestamp")
+    ev = with_event_time(pv, unit="s").withWatermark("event_time", "0 seconds")
+    first = ev.dropDuplicatesWithinWatermark(["itemId", "timestamp"])
+    win = F.window("event_time", spark_interval(size), spark_interval(slide))
+    c = _bounds(first.groupBy(win, "itemId").agg(F.count(F.lit(1)).alias("count")))
+    return c.select("itemId", F.col("window_end").alias("windowEnd"), "count")
+
+
 def hot_items_sink(path: str, n: int = 5) -> IdempotentParquetSink:
     """E1 stage 2 (ST13): rank each micro-batch's final window counts. In
     append mode every window's counts arrive complete in one batch, so the

@@ -37,3 +37,15 @@ def test_early_firing_processor(spark, sf_dir, event_files, tmp_path):  # noqa:
     want = windows.early_firing(td.readings(spark, sf_dir), "1 day", 2)
     assert want.count() > 0
     same(got.where("id <> 'sensor_-1'"), want)
+
+
+def test_dedup_hot_items_stream(spark, sf_dir, event_files, tmp_path):  # noqa: F811
+    from streamweave.plans.hot_items import dedup_hot_items
+    counts = forms.dedup_hot_items_counts_stream(td.behaviors_of(stream(spark, event_files)))
+    got = run(counts, tmp_path / "c")
+    sink = forms.hot_items_sink(str(tmp_path / "top"))
+    from streamweave.streaming.runner import run_available_now
+    run_available_now(forms.dedup_hot_items_counts_stream(td.behaviors_of(stream(spark, event_files))), sink,
+                      str(tmp_path / "ck2"))
+    same(sink.read(spark).drop("batch_id").where("itemId <> -1"), dedup_hot_items(td.behaviors(spark, sf_dir)))
+    assert got.count() > 0
