@@ -20,7 +20,8 @@ third of the data.
    keeps the data's partitioning and order, and combined.
 
 The result is exact for any associative aggregate. Keys may be null: the
-window and join run on null-safe surrogate columns.
+window and join run on a struct of the keys, and rows with a null order
+value go to a leading chunk, so no row is lost.
 """
 
 from __future__ import annotations
@@ -67,14 +68,16 @@ def time_chunks(ms_col: str, width_ms: int) -> Column:
 
 
 def _surrogates(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
-    cols = []
-    for i, k in enumerate(keys):
-        dtype = df.schema[k].dataType.simpleString()
-        default = F.lit("") if dtype == "string" else F.lit(0).cast(dtype)
-        df = (df.withColumn(f"__k{i}", F.coalesce(F.col(k), default))
-                .withColumn(f"__n{i}", F.col(k).isNull()))
-        cols += [f"__k{i}", f"__n{i}"]
-    return df, cols
+    """One non-null struct of the keys: struct equality treats null fields
+    as equal, so null keys group and join like any other value."""
+    if not keys:
+        return df, []
+    return df.withColumn("__key", F.struct(*[F.col(k) for k in keys])), ["__key"]
+
+
+# Rows whose order value is null sort first in a window; they go to a
+# leading chunk, so they are kept (never lost to a null join key).
+_NULL_CHUNK = -(1 << 63)
 
 
 def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column | None,
@@ -91,12 +94,12 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column |
     """
     if chunk is None:
         base = df
-        sk = [c for c in df.columns if c.startswith("__k") or c.startswith("__n")]
-        if "__chunk" not in df.columns or not sk:
+        sk = ["__key"] if keys else []
+        if "__chunk" not in df.columns or (keys and "__key" not in df.columns):
             raise ValueError("chunk=None needs the columns of a previous scan with carry=True")
     else:
         base, sk = _surrogates(df, list(keys))
-        base = base.withColumn("__chunk", chunk)
+        base = base.withColumn("__chunk", F.coalesce(chunk, F.lit(_NULL_CHUNK)))
     part = sk + ["__chunk"]
     w_in = Window.partitionBy(*part).orderBy(*order)
     w_run = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -28,6 +28,12 @@ def test_jump_alert(spark):
             ("sensor_4", -7.0, 14.0), ("sensor_4", 7.0, -7.0)]
 
 
+def test_scan_keeps_null_order_rows(spark):
+    df = spark.createDataFrame([("a", None), ("a", 5), ("a", 9)], "k string, seq long")
+    out = keyed_scan(df, ["k"], ["seq"], seq_chunks("seq", 4), [Scan("n", "count")])
+    assert sorted((r.seq is None, r.n) for r in out.collect()) == [(False, 2), (False, 3), (True, 1)]
+
+
 def test_scan_null_keys(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), (None, 4)], "k string, seq long")
     out = keyed_scan(df, ["k"], ["seq"], seq_chunks("seq", 2), [Scan("n", "count"), Scan("p", "lag", F.col("seq"), -1)])
