@@ -41,7 +41,7 @@ def _fields(line: Column, n: int) -> list[Column]:
 
 def _strict(value: Column, typ: str, pattern: str | None = None) -> Column:
     """Cast that fails the job on bad input, whatever the ANSI setting."""
-    ok = value.try_cast(typ) if hasattr(value, "try_cast") else F.expr("NULL")
+    ok = value.try_cast(typ)
     cond = ok.isNull()
     if pattern is not None:
         cond = cond | ~value.rlike(pattern)

@@ -53,3 +53,17 @@ def test_window_min_plan_defaults(spark):
     df = spark.createDataFrame(rows, "id string, timestamp long, temperature double, seq long")
     fired, late = window_min.window_min_with_late_data(df, "10 seconds", "0 ms", "5 seconds")
     assert fired.count() == 3 and late.count() == 0
+
+
+def test_stream_word_count_processing_time_trigger(spark, tmp_path):
+    d = tmp_path / "in"
+    d.mkdir()
+    (d / "a.txt").write_text("\n".join(WORD_LINES) + "\n")
+    q = word_count.stream_word_count(spark, str(d), str(tmp_path / "out"), str(tmp_path / "ck"),
+                                     trigger_interval="300 milliseconds")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    out = IdempotentParquetSink(str(tmp_path / "out")).read(spark)
+    assert {r.word: r["count"] for r in out.where("word = 'Hello'").collect()} == {"Hello": 4}
