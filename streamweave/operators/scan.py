@@ -67,11 +67,24 @@ def time_chunks(ms_col: str, width_ms: int) -> Column:
     return F.expr(f"`{ms_col}` div {int(width_ms)}")
 
 
+_FLAT_DEFAULTS = {"string": "", "bigint": 0, "int": 0, "smallint": 0, "tinyint": 0, "double": 0.0,
+                  "float": 0.0, "boolean": False}
+
+
 def _surrogates(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
-    """One non-null struct of the keys: struct equality treats null fields
-    as equal, so null keys group and join like any other value."""
+    """Non-null stand-ins for the keys, so null keys group and join like
+    any other value. One primitive key: (coalesce(k, default), k is null),
+    cheaper to hash and sort; otherwise one struct of the keys (struct
+    equality treats null fields as equal)."""
     if not keys:
         return df, []
+    if len(keys) == 1:
+        dtype = df.schema[keys[0]].dataType.simpleString()
+        if dtype in _FLAT_DEFAULTS:
+            k = F.col(keys[0])
+            out = (df.withColumn("__key", F.coalesce(k, F.lit(_FLAT_DEFAULTS[dtype]).cast(dtype)))
+                     .withColumn("__knull", k.isNull()))
+            return out, ["__key", "__knull"]
     return df.withColumn("__key", F.struct(*[F.col(k) for k in keys])), ["__key"]
 
 
@@ -94,7 +107,7 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column |
     """
     if chunk is None:
         base = df
-        sk = ["__key"] if keys else []
+        sk = ([] if not keys else ["__key", "__knull"] if "__knull" in df.columns else ["__key"])
         if "__chunk" not in df.columns or (keys and "__key" not in df.columns):
             raise ValueError("chunk=None needs the columns of a previous scan with carry=True")
     else:
