@@ -61,18 +61,15 @@ def firing_changelog_min_by(df: DataFrame, size: str, delay: str, lateness: str,
     """
     c = classify_arrivals(df, size, delay, lateness, time_col=time_col, chunk_rows=chunk_rows)
     rec = F.struct(F.col(field).alias("v"), F.col("seq").alias("s"), F.col(time_col).alias("t"))
-    on = (c.where(F.col("arrival") == ON_TIME)
-          .groupBy(key, "window_start", "window_end")
-          .agg(F.min(rec).alias("__m"), F.max("seq").alias("trigger_seq")))
-    late = c.where(F.col("arrival") == LATE)
-    run = keyed_scan(late, [key, "window_start"], ["seq"], seq_chunks("seq", chunk_rows),
-                     [Scan("__lm", "min", rec)])
-    late_rows = (run.join(on.select(key, "window_start", F.col("__m").alias("__om")),
-                          [key, "window_start"], "left")
-                 .select(key, "window_start", "window_end", F.col("seq").alias("trigger_seq"),
-                         F.least(F.col("__om"), F.col("__lm")).alias("__m"))
-                 .withColumn("firing", F.lit(LATE)))
-    on_rows = on.select(key, "window_start", "window_end", "trigger_seq", "__m").withColumn("firing", F.lit(ON_TIME))
-    out = on_rows.unionByName(late_rows)
-    return out.select(key, "window_start", "window_end", "firing", "trigger_seq",
-                      F.col("__m.t").alias(time_col), F.col("__m.v").alias(field), F.col("__m.s").alias("seq"))
+    kept = c.where(F.col("arrival") != TOO_LATE)
+    # One pass: the running min per (key, window) in arrival order is, at
+    # each late row, that late firing's result, and at the window's last
+    # on-time row, the on-time result (every on-time row of a window arrives
+    # before its late rows: the watermark only grows).
+    run = keyed_scan(kept, [key, "window_start"], ["seq"], seq_chunks("seq", chunk_rows),
+                     [Scan("__m", "min", rec),
+                      Scan("__last_on_time", "total_max", F.when(F.col("arrival") == ON_TIME, F.col("seq")))])
+    fired = run.where((F.col("arrival") == LATE) | (F.col("seq") == F.col("__last_on_time")))
+    return fired.select(key, "window_start", "window_end", F.col("arrival").alias("firing"),
+                        F.col("seq").alias("trigger_seq"), F.col("__m.t").alias(time_col),
+                        F.col("__m.v").alias(field), F.col("__m.s").alias("seq"))

@@ -39,7 +39,9 @@ class Scan:
 
     kind: ``count`` (rows so far, inclusive), ``sum``, ``max``, ``min``
     (running, inclusive; ``max_before`` is the max over strictly earlier
-    rows; max/min accept structs, so ``max`` of
+    rows; ``total_max`` is the max over the key's whole input, taken from
+    the chunk summaries, never from one task's rows; max/min accept
+    structs, so ``max`` of
     ``struct(value, -seq, payload)`` is a rolling maxBy that keeps the first
     tie), ``lag`` (previous row's value, ``default`` for the first row of
     the key) and ``first`` (value at the key's first row).
@@ -146,6 +148,8 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column |
             summary.append(F.max_by(F.struct(s.expr.alias("v")), order_key).alias(f"__t_{n}"))
         elif s.kind == "first":
             summary.append(F.min_by(F.struct(s.expr.alias("v")), order_key).alias(f"__t_{n}"))
+        elif s.kind == "total_max":
+            summary.append(F.max(s.expr).alias(f"__t_{n}"))
         else:
             raise ValueError(f"unknown scan kind {s.kind}")
 
@@ -167,6 +171,9 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column |
         elif s.kind == "first":
             prefix.append(F.first(t).over(w_c.rowsBetween(Window.unboundedPreceding, Window.currentRow))
                           .alias(f"__p_{s.name}"))
+        elif s.kind == "total_max":
+            prefix.append(F.max(t).over(w_c.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+                          .alias(f"__p_{s.name}"))
     summ = summ.select(*part, *prefix)
 
     # Sort-merge join: the windowed side is already partitioned and sorted
@@ -186,6 +193,8 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column |
         elif s.kind == "lag":
             got = F.coalesce(i, p)
             val = F.when(got.isNull(), F.lit(s.default)).otherwise(got.getField("v"))
+        elif s.kind == "total_max":
+            val = p
         else:  # first
             val = p.getField("v")
         out.append(val.alias(n))
