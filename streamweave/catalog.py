@@ -355,7 +355,7 @@ def q_sessions(spark, sf):
 
 
 @register("count_window_10_2", O.with_views("""
-SELECT id, seq, size, min_temperature, max_temperature FROM (
+SELECT id, seq, size, min_temperature, max_temperature, id || CAST(size AS VARCHAR) AS value FROM (
   SELECT id, seq, row_number() OVER w AS rn, count(*) OVER f AS size,
          min(temperature) OVER f AS min_temperature, max(temperature) OVER f AS max_temperature
   FROM readings WINDOW w AS (PARTITION BY id ORDER BY seq),

@@ -78,7 +78,7 @@ def count_window(df: DataFrame, key: str = "id", size: int = 10, slide: int = 2,
     the last ``size`` rows at most; an incomplete tail never fires.
 
     Output per firing: (key, seq of the firing row, size, min/max of
-    ``field``). Rows are numbered per key with a chunked scan, then cut into
+    ``field``, and the reference's text ``id + size``). Rows are numbered per key with a chunked scan, then cut into
     blocks of ``block_rows`` with a halo of ``size - 1`` rows copied from
     the previous block, so each frame is computed inside one block.
     """
@@ -99,6 +99,7 @@ def count_window(df: DataFrame, key: str = "id", size: int = 10, slide: int = 2,
                     F.min(field).over(w).alias(f"min_{field}"),
                     F.max(field).over(w).alias(f"max_{field}"))
             .where(~F.col("__halo") & (F.col("__rn") % slide == 0))
+            .withColumn("value", F.concat(F.col(key).cast("string"), F.col("size").cast("string")))
             .drop("__rn", "__halo"))
 
 

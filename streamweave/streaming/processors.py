@@ -108,7 +108,7 @@ class CountWindow(StatefulProcessor):
 
     @staticmethod
     def schema() -> str:
-        return "id string, seq long, size long, min_temperature double, max_temperature double"
+        return "id string, seq long, size long, min_temperature double, max_temperature double, value string"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.buf = handle.getListState("buf", "t double")
@@ -126,11 +126,11 @@ class CountWindow(StatefulProcessor):
             buf.append(float(temp))
             buf = buf[-self.size:]
             if n % self.slide == 0:
-                out.append((key[0], int(seq), len(buf), min(buf), max(buf)))
+                out.append((key[0], int(seq), len(buf), min(buf), max(buf), f"{key[0]}{len(buf)}"))
         self.buf.put([(t,) for t in buf])
         self.count.update((n,))
         if out:
-            yield pd.DataFrame(out, columns=["id", "seq", "size", "min_temperature", "max_temperature"])
+            yield pd.DataFrame(out, columns=["id", "seq", "size", "min_temperature", "max_temperature", "value"])
 
     def close(self) -> None:
         pass
