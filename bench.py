@@ -55,7 +55,7 @@ def timed(fn, repeat: int) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus),
                           extra={"spark.driver.memory": "8g"})
     run_noop(catalog.QUERIES["word_count"](spark, sf_dir))  # warm-up: JVM, codegen, Python workers
