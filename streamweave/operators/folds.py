@@ -95,7 +95,8 @@ def rising_alerts(df: DataFrame, interval: str = "10 seconds", key: str = "id",
         group, armed = None, None
         out_k, out_t = [], []
         for b in batches:
-            for k, sg, t, s, temp, last in zip(b[key], b["__seg"], b[time_col], b["seq"], b[field], b["__last"]):
+            cols = [b[c].tolist() for c in (key, "__seg", time_col, "seq", field, "__last")]
+            for k, sg, t, s, temp, last in zip(*cols):
                 g = (k, sg)
                 if g != group:
                     if armed is not None:
@@ -148,7 +149,8 @@ def login_fail_warnings(df: DataFrame, window: str = "2 seconds", max_fails: int
                 out.append((k, o[0], o[1], f"login fail in {label} for {o[2]} times"))
 
         for b in batches:
-            for k, sg, t, s, st in zip(b[key], b["__seg"], b[time_col], b["seq"], b[state_col]):
+            cols = [b[c].tolist() for c in (key, "__seg", time_col, "seq", state_col)]
+            for k, sg, t, s, st in zip(*cols):
                 g = (k, sg)
                 if g != group:
                     if group is not None:

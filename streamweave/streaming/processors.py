@@ -121,7 +121,7 @@ class CountWindow(StatefulProcessor):
         buf = [t[0] for t in self.buf.get()] if self.buf.exists() else []
         n = self.count.get()[0] if self.count.exists() else 0
         out = []
-        for seq, temp in zip(b["seq"], b["temperature"]):
+        for seq, temp in zip(b["seq"].tolist(), b["temperature"].tolist()):
             n += 1
             buf.append(float(temp))
             buf = buf[-self.size:]
@@ -160,7 +160,7 @@ class RisingAlert(StatefulProcessor):
         last = self.last.get()[0] if self.last.exists() else JAVA_DOUBLE_MIN_VALUE
         armed = self.armed.get()[0] if self.armed.exists() else None
         out = []
-        for t, temp in zip(b["timestamp"], b["temperature"]):
+        for t, temp in zip(b["timestamp"].tolist(), b["temperature"].tolist()):
             t = int(t)
             if armed is not None and t > armed:
                 out.append(armed)
@@ -220,7 +220,7 @@ class LoginFail(StatefulProcessor):
             return
         o = list(self.open.get()) if self.open.exists() else None
         out = []
-        for t, st in zip(b["timestamp"], b["loginState"]):
+        for t, st in zip(b["timestamp"].tolist(), b["loginState"].tolist()):
             t = int(t)
             if o is not None and t > o[0] + self.w:
                 self._close(key, o, out)
@@ -337,7 +337,7 @@ class SeenFilter(StatefulProcessor):
         if b.empty:
             return
         out = []
-        for t, s in zip(b["timestamp"], b["seq"]):
+        for t, s in zip(b["timestamp"].tolist(), b["seq"].tolist()):
             k = (int(t),)
             if not self.seen.containsKey(k):
                 self.seen.updateValue(k, (int(s),))
@@ -366,7 +366,7 @@ class RollingMaxBy(StatefulProcessor):
             return
         best = self.best.get() if self.best.exists() else None
         out = []
-        for ts, temp, s in zip(b["timestamp"], b["temperature"], b["seq"]):
+        for ts, temp, s in zip(b["timestamp"].tolist(), b["temperature"].tolist(), b["seq"].tolist()):
             if best is None or temp > best[1]:
                 best = (int(ts), float(temp), int(s))
             out.append((int(s), key[0], *best))
@@ -429,7 +429,7 @@ class EarlyFiring(StatefulProcessor):
             n, m, end = 0, -np.inf, int(b["window_end"].iloc[0])
             self.handle.registerTimer(end + self.keep)
         out = []
-        for s, temp in zip(b["seq"], b["temperature"]):
+        for s, temp in zip(b["seq"].tolist(), b["temperature"].tolist()):
             n, m = n + 1, max(m, float(temp))
             if n % self.every == 0:
                 out.append((key[0], int(key[1]), end, int(s), n, m))
