@@ -59,3 +59,19 @@ def test_console_and_memory_streams(spark, tmp_path):
         .option("checkpointLocation", str(tmp_path / "ck2")).start()
     c.awaitTermination(120)
     assert c.exception() is None
+
+
+def test_keyed_upsert_log_as_stream_sink(spark, tmp_path):
+    import os
+
+    from streamweave.streaming.runner import run_available_now
+    d = tmp_path / "in"
+    d.mkdir()
+    r = sensor_df(spark)
+    r.where("seq <= 5").coalesce(1).write.parquet(str(d / "a"))
+    src = spark.readStream.schema(r.schema).parquet(str(d / "a"))
+    log = keyed.KeyedUpsertLog(str(tmp_path / "hset"), "id", "temperature")
+    run_available_now(src, log, str(tmp_path / "ck"))
+    assert {x.id: x.temperature for x in log.read(spark).collect()} == {
+        "sensor_1": 1.0, "sensor_2": 5.0, "sensor_3": 4.0}
+    assert os.path.isdir(tmp_path / "hset" / "batch_id=0")
