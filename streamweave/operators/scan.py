@@ -185,7 +185,7 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column |
         n = s.name
         p, i = F.col(f"__p_{n}"), F.col(f"__i_{n}") if n in inner else None
         if s.kind in ("count", "sum"):
-            val = F.when(p.isNull(), i).otherwise(p + i)
+            val = F.when(p.isNull(), i).when(i.isNull(), p).otherwise(p + i)
         elif s.kind in ("max", "max_before"):
             val = F.greatest(p, i)
         elif s.kind == "min":

@@ -34,6 +34,12 @@ def test_scan_keeps_null_order_rows(spark):
     assert sorted((r.seq is None, r.n) for r in out.collect()) == [(False, 2), (False, 3), (True, 1)]
 
 
+def test_scan_sum_skips_nulls_across_chunks(spark):
+    df = spark.createDataFrame([("a", 1, 5), ("a", 2, None), ("a", 5, None), ("a", 6, 2)], "k string, seq long, v long")
+    out = keyed_scan(df, ["k"], ["seq"], seq_chunks("seq", 4), [Scan("s", "sum", F.col("v"))])
+    assert [r.s for r in out.orderBy("seq").collect()] == [5, 5, 5, 7]
+
+
 def test_scan_null_keys(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), (None, 4)], "k string, seq long")
     out = keyed_scan(df, ["k"], ["seq"], seq_chunks("seq", 2), [Scan("n", "count"), Scan("p", "lag", F.col("seq"), -1)])
