@@ -59,15 +59,24 @@ def main() -> None:
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus),
                           extra={"spark.driver.memory": "8g"})
     run_noop(catalog.QUERIES["word_count"](spark, sf_dir))  # warm-up: JVM, codegen, Python workers
-    out = {}
+    out, errors = {}, {}
     for name in HEADLINE:
-        out[name] = round(timed(lambda: run_noop(catalog.QUERIES[name](spark, sf_dir)), repeat), 3)
-    scratch = tempfile.mkdtemp(prefix="bench-stream-")
-    t = timed(lambda: forms.hot_items_stream_run(spark, sf_dir, tempfile.mkdtemp(dir=scratch)), 1)
-    out["hot_items_stream"] = round(t, 3)
+        try:
+            out[name] = round(timed(lambda: run_noop(catalog.QUERIES[name](spark, sf_dir)), repeat), 3)
+        except Exception as e:  # noqa: BLE001 -- report, keep measuring the others
+            out[name], errors[name] = None, f"{type(e).__name__}: {str(e)[:200]}"
+    try:
+        scratch = tempfile.mkdtemp(prefix="bench-stream-")
+        t = timed(lambda: forms.hot_items_stream_run(spark, sf_dir, tempfile.mkdtemp(dir=scratch)), 1)
+        out["hot_items_stream"] = round(t, 3)
+    except Exception as e:  # noqa: BLE001
+        out["hot_items_stream"], errors["hot_items_stream"] = None, f"{type(e).__name__}: {str(e)[:200]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(out.values()), 3), "unit": "sec",
-                      "queries": out, "sf": float(m.group(1)) if m else sf_dir}))
+    line = {"metric": "headline_queries_total", "value": round(sum(v for v in out.values() if v is not None), 3),
+            "unit": "sec", "queries": out, "sf": float(m.group(1)) if m else sf_dir}
+    if errors:
+        line["errors"] = errors
+    print(json.dumps(line))
     spark.stop()
 
 
