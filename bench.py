@@ -15,14 +15,14 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
+import uuid
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from streamweave import catalog  # noqa: E402
-from streamweave.session import build_session  # noqa: E402
+from streamweave.session import build_session, checkpoint_dir  # noqa: E402
 from streamweave.streaming import forms  # noqa: E402
 
 HEADLINE = [
@@ -66,8 +66,10 @@ def main() -> None:
         except Exception as e:  # noqa: BLE001 -- report, keep measuring the others
             out[name], errors[name] = None, f"{type(e).__name__}: {str(e)[:200]}"
     try:
-        scratch = tempfile.mkdtemp(prefix="bench-stream-")
-        t = timed(lambda: forms.hot_items_stream_run(spark, sf_dir, tempfile.mkdtemp(dir=scratch)), 1)
+        # Stream output and checkpoint under the session's checkpoint folder
+        # (shared storage on a cluster; a scratch folder only when unset).
+        scratch = f"{checkpoint_dir(spark).rstrip('/')}/bench-stream-{uuid.uuid4().hex}"
+        t = timed(lambda: forms.hot_items_stream_run(spark, sf_dir, scratch), 1)
         out["hot_items_stream"] = round(t, 3)
     except Exception as e:  # noqa: BLE001
         out["hot_items_stream"], errors["hot_items_stream"] = None, f"{type(e).__name__}: {str(e)[:200]}"
