@@ -72,6 +72,52 @@ class _OrderGuard:
         self.last = cur
 
 
+def keyed_fold(df: DataFrame, key: str, time_col: str, fields: list[str], lag_expr, starts_here, ends_here,
+               step, finish, out_schema: str, out_cols: list[str], chunk_width: int = DEFAULT_CHUNK_MS,
+               derive: dict | None = None) -> DataFrame:
+    """Bounded keyed process function: run a state machine per key over rows
+    in (time, seq) order, cut exactly at rows where it is in its initial
+    state (see the module doc).
+
+    ``lag_expr`` is what a row needs of its predecessor; ``starts_here(prev)``
+    / ``ends_here(prev)`` (Column predicates over the lagged struct and the
+    row) mark segment boundaries; ``step(key, state, t, values, out)``
+    returns the new state (None = initial) and appends output tuples to
+    ``out``; ``finish(key, state, out)`` closes a segment (pending timers
+    fire at the end of the input). ``derive`` adds columns computed from
+    the lagged predecessor ``__prev`` (e.g. the previous value), usable in
+    ``fields``.
+    """
+    seg = _segments(df, key, time_col, lag_expr, starts_here=starts_here, ends_here=ends_here,
+                    chunk_ms=chunk_width)
+    for name, col in (derive or {}).items():
+        seg = seg.withColumn(name, col)
+    names = [key, "__seg", time_col, "seq", *fields]
+    rows = _sorted_segments(seg.select(*names), key, time_col)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        guard = _OrderGuard()
+        group, state, out = None, None, []
+        for b in batches:
+            for k, sg, t, s, *vals in zip(*[b[c].tolist() for c in names]):
+                g = (k, sg)
+                if g != group:
+                    if group is not None:
+                        finish(group[0], state, out)
+                    group, state = g, None
+                guard.check(g, t, s)
+                state = step(k, state, int(t), vals, out)
+            if out:
+                yield pd.DataFrame(out, columns=out_cols)
+                out = []
+        if group is not None:
+            finish(group[0], state, out)
+        if out:
+            yield pd.DataFrame(out, columns=out_cols)
+
+    return rows.mapInPandas(run, out_schema)
+
+
 def rising_alerts(df: DataFrame, interval: str = "10 seconds", key: str = "id", time_col: str = "timestamp",
                   field: str = "temperature", chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame:
     """ST10: per key, an alert at ``deadline`` when a rise armed a timer at
@@ -81,41 +127,32 @@ def rising_alerts(df: DataFrame, interval: str = "10 seconds", key: str = "id",
     """
     n = duration_ms(interval)
     lag = F.struct(F.col(field).alias("temp"), F.col(time_col).alias("t"))
-    # A fall ends a segment after it; a gap > interval starts one.
-    seg = _segments(df, key, time_col, lag,
-                    starts_here=lambda p: F.col(time_col) - p["t"] > n,
-                    ends_here=lambda p: F.coalesce(F.col(field) < p["temp"], F.lit(False)),
-                    chunk_ms=chunk_ms)
-    seg = seg.withColumn("__last", F.coalesce(F.col("__prev.temp"), F.lit(JAVA_DOUBLE_MIN_VALUE)))
-    rows = _sorted_segments(seg.select(key, "__seg", time_col, "seq", field, "__last"), key, time_col)
-    out_schema = f"{key} {df.schema[key].dataType.simpleString()}, alert_time bigint"
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        guard = _OrderGuard()
-        group, armed = None, None
-        out_k, out_t = [], []
-        for b in batches:
-            cols = [b[c].tolist() for c in (key, "__seg", time_col, "seq", field, "__last")]
-            for k, sg, t, s, temp, last in zip(*cols):
-                g = (k, sg)
-                if g != group:
-                    if armed is not None:
-                        out_k.append(group[0]); out_t.append(armed)
-                    group, armed = g, None
-                guard.check(g, t, s)
-                if armed is not None and t > armed:
-                    out_k.append(k); out_t.append(armed); armed = None
-                if temp > last and armed is None:
-                    armed = int(t) + n
-                elif temp < last and armed is not None:
-                    armed = None
-            if out_k:
-                yield pd.DataFrame({key: out_k, "alert_time": out_t})
-                out_k, out_t = [], []
+
+    def step(k, armed, t, vals, out):
+        temp, last = vals
+        if armed is not None and t > armed:  # the timer fired before this row
+            out.append((k, armed))
+            armed = None
+        if temp > last and armed is None:
+            return t + n
+        if temp < last and armed is not None:
+            return None
+        return armed
+
+    def finish(k, armed, out):
         if armed is not None:
-            yield pd.DataFrame({key: [group[0]], "alert_time": [armed]})
+            out.append((k, armed))
 
-    return rows.mapInPandas(fold, out_schema)
+    # A fall ends a segment after it; a gap > interval starts one. "last" is
+    # the previous reading's temperature, Double.MIN_VALUE for the first.
+    return keyed_fold(
+        df, key, time_col, [field, "__last"], lag,
+        starts_here=lambda p: F.col(time_col) - p["t"] > n,
+        ends_here=lambda p: F.coalesce(F.col(field) < p["temp"], F.lit(False)),
+        step=step, finish=finish,
+        out_schema=f"{key} {df.schema[key].dataType.simpleString()}, alert_time bigint",
+        out_cols=[key, "alert_time"], chunk_width=chunk_ms,
+        derive={"__last": F.coalesce(F.col("__prev.temp"), F.lit(JAVA_DOUBLE_MIN_VALUE))})
 
 
 def login_fail_warnings(df: DataFrame, window: str = "2 seconds", max_fails: int = 1, key: str = "userId",
@@ -124,55 +161,32 @@ def login_fail_warnings(df: DataFrame, window: str = "2 seconds", max_fails: int
     """ST14 (D7): the first failure opens [t, t + window]; later failures in
     it join; a success in it cancels; when it closes with >= ``max_fails``
     failures emit (userId, firstFailTime, lastFailTime, warningMsg).
-    ``timestamp`` is in seconds here, as in LoginEvent; the scan chunk
-    unit: ``chunk_width`` is in units of the time column."""
+    ``timestamp`` is in seconds, as in LoginEvent, and so is
+    ``chunk_width`` (the scan chunk of the time column)."""
     w_s = duration_ms(window) // 1000
     label = duration_label(window)
-    lag = F.struct((F.col(state_col) == "success").alias("ok"), F.col(time_col).alias("t"))
-    # A success ends a segment after it (seen from the next row as prev.ok);
-    # a gap > window starts one.
-    seg = _segments(df, key, time_col, lag,
-                    starts_here=lambda p: p["ok"] | (F.col(time_col) - p["t"] > w_s),
-                    ends_here=lambda p: F.lit(False),
-                    chunk_ms=chunk_width)
-    rows = _sorted_segments(seg.select(key, "__seg", time_col, "seq", state_col), key, time_col)
-    out_schema = (f"{key} {df.schema[key].dataType.simpleString()}, firstFailTime bigint, "
-                  "lastFailTime bigint, warningMsg string")
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        guard = _OrderGuard()
-        group, opened = None, None  # opened = [start, last, count]
-        out = []
 
-        def close(k, o):
-            if o is not None and o[2] >= max_fails:
-                out.append((k, o[0], o[1], f"login fail in {label} for {o[2]} times"))
+    def close(k, o, out):
+        if o is not None and o[2] >= max_fails:
+            out.append((k, o[0], o[1], f"login fail in {label} for {o[2]} times"))
 
-        for b in batches:
-            cols = [b[c].tolist() for c in (key, "__seg", time_col, "seq", state_col)]
-            for k, sg, t, s, st in zip(*cols):
-                g = (k, sg)
-                if g != group:
-                    if group is not None:
-                        close(group[0], opened)
-                    group, opened = g, None
-                guard.check(g, t, s)
-                t = int(t)
-                if opened is not None and t > opened[0] + w_s:
-                    close(k, opened); opened = None
-                if st == "fail":
-                    if opened is None:
-                        opened = [t, t, 1]
-                    else:
-                        opened[1] = t; opened[2] += 1
-                elif opened is not None:
-                    opened = None
-            if out:
-                yield pd.DataFrame(out, columns=[key, "firstFailTime", "lastFailTime", "warningMsg"])
-                out = []
-        if group is not None:
-            close(group[0], opened)
-        if out:
-            yield pd.DataFrame(out, columns=[key, "firstFailTime", "lastFailTime", "warningMsg"])
+    def step(k, opened, t, vals, out):
+        (st,) = vals
+        if opened is not None and t > opened[0] + w_s:  # the timer fired before this row
+            close(k, opened, out)
+            opened = None
+        if st == "fail":
+            return [t, t, 1] if opened is None else [opened[0], t, opened[2] + 1]
+        return None  # a success cancels, or meets an idle machine
 
-    return rows.mapInPandas(fold, out_schema)
+    lag = F.struct((F.col(state_col) == "success").alias("ok"), F.col(time_col).alias("t"))
+    # A success ends a segment after it (seen from the next row as prev.ok);
+    # a gap > window starts one.
+    return keyed_fold(
+        df, key, time_col, [state_col], lag,
+        starts_here=lambda p: p["ok"] | (F.col(time_col) - p["t"] > w_s),
+        ends_here=lambda p: F.lit(False),
+        step=step, finish=close,
+        out_schema=(f"{key} {df.schema[key].dataType.simpleString()}, firstFailTime bigint, "
+                    "lastFailTime bigint, warningMsg string"),
+        out_cols=[key, "firstFailTime", "lastFailTime", "warningMsg"], chunk_width=chunk_width)
