@@ -79,9 +79,11 @@ def keyed_fold(df: DataFrame, key: str, time_col: str, fields: list[str], lag_ex
     in (time, seq) order, cut exactly at rows where it is in its initial
     state (see the module doc).
 
-    ``lag_expr`` is what a row needs of its predecessor; ``starts_here(prev)``
-    / ``ends_here(prev)`` (Column predicates over the lagged struct and the
-    row) mark segment boundaries; ``step(key, state, t, values, out)``
+    ``lag_expr`` is what a row needs of its predecessor. Segment boundaries
+    are Column predicates over the row's columns and ``prev`` (its
+    predecessor's lagged struct, null for a key's first row):
+    ``starts_here(prev)`` -- the row starts a new segment; ``ends_here(prev)``
+    -- the row is the last of its segment (the next row starts one); ``step(key, state, t, values, out)``
     returns the new state (None = initial) and appends output tuples to
     ``out``; ``finish(key, state, out)`` closes a segment (pending timers
     fire at the end of the input). ``derive`` adds columns computed from

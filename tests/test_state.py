@@ -120,3 +120,24 @@ def test_partition_helpers(spark):
     out = partitioning.map_partitions_with_resource(
         r.select("seq"), open_fn, lambda res, b: b.assign(seq=b.seq * res), lambda res: None, "seq long")
     assert sorted(x.seq for x in out.collect()) == [i * 10 for i in range(1, 11)]
+
+
+def test_keyed_fold_custom_machine(spark):
+    rows = [("a", 1, 1, 2.0), ("a", 2, 2, 3.0), ("a", 3, 3, -1.0), ("a", 4, 4, 5.0), ("b", 1, 5, 1.0),
+            ("a", 9, 6, 1.0), ("b", 2, 7, -2.0), ("b", 3, 8, 4.0)]
+    df = spark.createDataFrame(rows, "k string, t long, seq long, v double")
+
+    def step(k, st, t, vals, out):
+        return (st or 0.0) + vals[0]
+
+    def finish(k, st, out):
+        out.append((k, st))
+
+    for width in (1000, 2):
+        got = folds.keyed_fold(
+            df, "k", "t", ["v"], F.struct(F.col("v").alias("v")),
+            starts_here=lambda p: F.lit(False), ends_here=lambda p: F.col("v") < 0,
+            step=step, finish=finish, out_schema="k string, total double", out_cols=["k", "total"],
+            chunk_width=width)
+        # a: [2, 3, -1] | [5, 1]; b: [1, -2] | [4]
+        assert sorted(tuple(r) for r in got.collect()) == [("a", 4.0), ("a", 6.0), ("b", -1.0), ("b", 4.0)]
