@@ -59,3 +59,20 @@ def test_csv_stream_and_processing_time_stream(spark, tmp_path):
     run_available_now(pt, s2, str(tmp_path / "ck2"), output_mode="update")
     got = {r.id: r["count"] for r in s2.read(spark).collect()}
     assert got == {"sensor_1": 1, "sensor_2": 2, "sensor_3": 3, "sensor_4": 4}
+
+
+def test_generated_stream(spark, tmp_path):
+    import time
+
+    from streamweave.sources.generator import generated_stream
+    q = (generated_stream(spark, rows_per_second=50).writeStream.format("memory").queryName("sw_gen")
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(processingTime="500 milliseconds").start())
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and spark.table("sw_gen").count() == 0:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    r = spark.table("sw_gen").agg(F.count("*").alias("n"), F.max("temperature").alias("hi"),
+                                  F.min(F.expr("id like 'senor_%'").cast("int")).alias("ok")).first()
+    assert r.n > 0 and r.hi < 1.0 and r.ok == 1
