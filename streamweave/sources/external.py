@@ -22,7 +22,7 @@ def kafka_source_options(brokers: str, topic: str, starting_offsets: str = "earl
 
 def kafka_lines(spark: SparkSession, brokers: str, topic: str, starting_offsets: str = "earliest",
                 group_id: str | None = None) -> DataFrame:
-    """``FlinkKafkaConsumer<String>``: (value, seq) where seq orders records
+    """A Kafka topic of string records: (value, seq) where seq orders records
     within a partition (offset) and partitions by number."""
     raw = spark.readStream.format("kafka").options(
         **kafka_source_options(brokers, topic, starting_offsets, group_id)).load()
