@@ -22,8 +22,9 @@ def kafka_source_options(brokers: str, topic: str, starting_offsets: str = "earl
 
 def kafka_lines(spark: SparkSession, brokers: str, topic: str, starting_offsets: str = "earliest",
                 group_id: str | None = None) -> DataFrame:
-    """A Kafka topic of string records: (value, seq) where seq orders records
-    within a partition (offset) and partitions by number."""
+    """A Kafka topic of string records: (value, partition, seq). ``seq`` is
+    the offset, the arrival order within a partition; keyed operators that
+    need a total order use (partition, seq)."""
     raw = spark.readStream.format("kafka").options(
         **kafka_source_options(brokers, topic, starting_offsets, group_id)).load()
     return raw.select(F.col("value").cast("string").alias("value"),
