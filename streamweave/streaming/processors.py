@@ -320,10 +320,16 @@ class FirstVisitPerDay(StatefulProcessor):
 
 class SeenFilter(StatefulProcessor):
     """ST11 with MapState (the reference's form): per item, a map of seen
-    timestamps; the first row of each (item, timestamp) passes."""
+    timestamps; the first row of each (item, timestamp) passes.
 
-    def __init__(self, ttl_ms: int | None = None):
+    ``retention_s`` bounds the map: after each batch, timestamps older than
+    the newest seen minus ``retention_s`` are removed (exact when input is
+    ascending, as the reference assumes; 0 keeps only the newest second,
+    the reference's own behaviour). None keeps every timestamp."""
+
+    def __init__(self, ttl_ms: int | None = None, retention_s: int | None = None):
         self.ttl = ttl_ms
+        self.retention = retention_s
 
     @staticmethod
     def schema() -> str:
@@ -342,6 +348,11 @@ class SeenFilter(StatefulProcessor):
             if not self.seen.containsKey(k):
                 self.seen.updateValue(k, (int(s),))
                 out.append((key[0], int(t), int(s)))
+        if self.retention is not None:
+            seen = [k[0] for k in self.seen.keys()]
+            horizon = max(seen) - self.retention
+            for old in (x for x in seen if x < horizon):
+                self.seen.removeKey((old,))
         if out:
             yield pd.DataFrame(out, columns=["itemId", "timestamp", "seq"])
 

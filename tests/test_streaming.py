@@ -143,7 +143,7 @@ def test_dedup_and_window_min_and_sessions(spark, sf_dir, event_files, tmp_path)
 def test_seen_filter_and_daily_visits(spark, sf_dir, event_files, tmp_path):
     use_rocksdb_state(spark)
     b = td.behaviors_of(stream(spark, event_files)).where("behavior = 'pv'")
-    got = run(P.apply(b, "itemId", P.SeenFilter(), P.SeenFilter.schema()), tmp_path / "f")
+    got = run(P.apply(b, "itemId", P.SeenFilter(retention_s=0), P.SeenFilter.schema()), tmp_path / "f")
     want = state.dedup_first(td.behaviors(spark, sf_dir).where("behavior = 'pv'"), ["itemId", "timestamp"])
     assert rows(got.where("itemId <> -1")) == rows(want.select("itemId", "timestamp", "seq"))
     a = td.behaviors_of(stream(spark, event_files))
