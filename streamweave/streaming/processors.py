@@ -286,9 +286,9 @@ class DelayTimer(StatefulProcessor):
 
 class FirstVisitPerDay(StatefulProcessor):
     """A10/ST12: count a visit only when the key's last counted day differs.
-    With ``ttl_ms`` the state expires (timeMode ProcessingTime); in this
-    build such a query did not terminate under ``availableNow``, so use a
-    processing-time trigger with TTL, or ``ttl_ms=None`` and timeMode None."""
+    With ``ttl_ms`` the state expires (timeMode ProcessingTime); run it with
+    a processing-time trigger -- in this build such a query did not finish
+    under ``availableNow``. ``ttl_ms=None`` works in timeMode None."""
 
     def __init__(self, ttl_ms: int | None = 86_400_000):
         self.ttl = ttl_ms

@@ -183,3 +183,29 @@ def test_late_router_per_row_batches(spark, tmp_path):
     assert sorted(r.seq for r in late.read(spark).collect()) == [5]
     assert sorted((r.seq, r.arrival) for r in main.read(spark).collect()) == [
         (1, "on_time"), (2, "on_time"), (3, "late"), (4, "on_time"), (6, "on_time"), (7, "late")]
+
+
+def test_first_visit_with_ttl_state(spark, sf_dir, tmp_path):
+    """ST12: value state with a TTL, processing-time mode, processing-time
+    trigger (polled until the expected rows arrived, then stopped)."""
+    import time
+
+    from pyspark.sql import functions as F
+    use_rocksdb_state(spark)
+    d = tmp_path / "in"
+    d.mkdir()
+    pq.write_table(pq.read_table(f"{sf_dir}/events.parquet"), d / "p0.parquet")
+    src = forms.events_stream(spark, str(d))
+    q = (P.apply(td.behaviors_of(src), "userId", P.FirstVisitPerDay(86_400_000), P.FirstVisitPerDay.schema(),
+                 "ProcessingTime")
+         .writeStream.format("memory").queryName("sw_ttl").outputMode("append")
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(processingTime="1 second").start())
+    want = td.behaviors(spark, sf_dir).select("userId", F.expr("timestamp div 86400").alias("day")).distinct()
+    n_want = want.count()
+    try:
+        deadline = time.time() + 120
+        while time.time() < deadline and spark.table("sw_ttl").count() < n_want:
+            time.sleep(1)
+    finally:
+        q.stop()
+    same(spark.table("sw_ttl"), want)
