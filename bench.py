@@ -76,6 +76,9 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", sf_dir)
     line = {"metric": "headline_queries_total", "value": round(sum(v for v in out.values() if v is not None), 3),
             "unit": "sec", "queries": out, "sf": float(m.group(1)) if m else sf_dir}
+    if out.get("hot_items_stream"):
+        n = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+        line["hot_items_stream_rows_per_sec"] = round(n / out["hot_items_stream"])
     if errors:
         line["errors"] = errors
     print(json.dumps(line))
