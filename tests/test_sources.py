@@ -76,3 +76,17 @@ def test_kafka_options():
     o = external.kafka_source_options("localhost:9092", "sensor", group_id="consumer-group")
     assert o["subscribe"] == "sensor" and o["startingOffsets"] == "earliest"
     assert o["kafka.group.id"] == "consumer-group"
+
+
+def test_read_lines_across_many_blocks(spark, tmp_path):
+    lines = [f"line {i} " + "x" * (i % 17) for i in range(2000)]
+    (tmp_path / "big.txt").write_text("\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        df = text.read_lines(spark, str(tmp_path))
+        assert df.rdd.getNumPartitions() > 10
+        got = [(r.seq, r.value) for r in df.orderBy("seq").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == list(enumerate(lines))
