@@ -75,3 +75,12 @@ def test_keyed_upsert_log_as_stream_sink(spark, tmp_path):
     assert {x.id: x.temperature for x in log.read(spark).collect()} == {
         "sensor_1": 1.0, "sensor_2": 5.0, "sensor_3": 4.0}
     assert os.path.isdir(tmp_path / "hset" / "batch_id=0")
+
+
+def test_kafka_stream_writer_is_built(spark, tmp_path):
+    from pyspark.sql.streaming import DataStreamWriter
+    d = tmp_path / "in"
+    sensor_df(spark).write.parquet(str(d))
+    src = spark.readStream.schema(sensor_df(spark).schema).parquet(str(d))
+    w = shaping.write_kafka_stream(src, "broker:9092", "sensor", str(tmp_path / "ck"))
+    assert isinstance(w, DataStreamWriter)  # starting it needs the Kafka connector on the classpath
