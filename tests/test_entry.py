@@ -7,7 +7,9 @@ import pytest
 import __spark_entry__ as entry
 from tools.oracle_check import TABLES, canon
 
-ALL = sorted(entry.oracle_sql())
+from streamweave import catalog
+
+ALL = sorted(catalog.ORACLES)
 
 
 def test_entry_smoke(spark):
@@ -17,7 +19,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():
-    q, o = entry.queries(), entry.oracle_sql()
+    q, o = catalog.QUERIES, catalog.ORACLES
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"subtask_index"}
 
