@@ -1,26 +1,67 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and reread as the next one's input."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and reread as the next one's input.
+
+Each stage calls one operator of ``streamweave.llm`` and applies its decisions to all rows that came in; all but the
+last return the columns they got. Null and empty texts, repeated rows, null ids and further columns pass through as
+the operators' docstrings say.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streamweave.llm.common import scratch, stored
+from streamweave.llm.decontam import contaminated_spans
+from streamweave.llm.line_dedup import drop_repeated_runs
 from streamweave.llm.near_dedup import near_duplicates
+from streamweave.llm.packing import packed
+from streamweave.llm.quality import quality_model, quality_scores
+from streamweave.llm.queries import THRESHOLD
+
+
+def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows whose doc_id is in ``kept``, repeated ones once, and those without an id: no operator can name them."""
+    named = docs.join(kept.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    model = quality_model(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return only(docs, quality_scores(docs, model).where(F.col("score") >= THRESHOLD))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated line runs go, and with them documents that lose all their lines."""
+    new = drop_repeated_runs(docs, keep=docs.columns).where("n_deleted = 0 or n_deleted < n_lines")
+    return new.select(*(F.col("text") if c == "text" else F.col(f"rest.`{c}`") for c in docs.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of least doc_id of each group of near-duplicates (5-word shingles, similarity 0.8)."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """The document of least doc_id of each group of near-duplicates stays (5-word shingles, similarity 0.8)."""
+    return only(docs, near_duplicates(docs).where("kept"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a window of a benchmark item go."""
+    hits = contaminated_spans(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return only(docs, hits.where(F.size("spans") == 0))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents' token sequences, each with its place."""
+    return packed(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), keep_ids=False).drop("ids")
 
 
-STAGES = [("near_dedup", near_dedup)]
+STAGES = [("quality", quality), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
+          ("decontamination", decontamination), ("packing", packing)]
 
 #: SQL can't express the stages; tests hold the pipeline against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applies the stages to ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = scratch(spark)
     for name, stage in STAGES[:-1]:

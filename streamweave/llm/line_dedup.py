@@ -125,22 +125,24 @@ def deleted_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -
             .groupBy(*ROW).agg(F.collect_list("at").alias("gone")))
 
 
-def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, text, n_lines, n_deleted), one row for each row of ``docs``.
+def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
+                       keep: list[str] | None = None) -> DataFrame:
+    """(doc_id, text, n_lines, n_deleted), one row for each row of ``docs``, and, if asked for, a struct ``rest``
+    of the columns ``keep`` of that row.
 
     Lines in a run of ``min_words`` words or more that occurs at an earlier place (smaller doc_id, then line
     number; overlaps count) go; shorter repeats stay. Words are runs of characters other than white space.
     A null text stays null with 0 lines, an empty one has one line. Repeated rows are one document and keep the
     same lines; of rows that share a doc_id but not the text none is earlier. Rows with a null doc_id stay as they
     are. An empty table gives an empty result; other columns are ignored."""
+    rest = [F.struct(*(F.col(f"`{c}`") for c in keep)).alias("rest")] if keep else []
     gone = deleted_lines(docs.where(F.col(id_col).isNotNull()), id_col, text_col, min_words)
     lines = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("raw"),
-                        F.split(text_col, "\n", -1).alias("lines"))
+                        F.split(text_col, "\n", -1).alias("lines"), *rest)
     size = F.greatest(F.size("lines"), F.lit(0))
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
     text = F.when(F.col("gone").isNull(), F.array_join("lines", "\n")).otherwise(
         F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n"))
     return lines.join(gone, ROW, "left").select(
         "doc_id", text.alias("text"), size.cast("bigint").alias("n_lines"),
-        F.greatest(F.size("gone"), F.lit(0)).cast("bigint").alias("n_deleted"))
+        F.greatest(F.size("gone"), F.lit(0)).cast("bigint").alias("n_deleted"), *(["rest"] if keep else []))

@@ -10,11 +10,15 @@ from streamweave.llm.ann import nearest
 from streamweave.llm.line_dedup import drop_repeated_runs
 from streamweave.llm.near_dedup import near_duplicates
 from streamweave.llm.packing import packed
+from streamweave.llm.pii import pseudonymized
 from streamweave.llm.quality import held_out, quality_model, quality_scores
+from streamweave.llm.secret_scan import scan_secrets
 from streamweave.llm.sharding import sharded
 
 #: A score from this on predicts label 1.
 THRESHOLD = 0.3
+#: The queries' key; a deployment passes its own secret.
+KEY = b"registered queries"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +57,10 @@ def op6_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(table(spark, sf_dir, "documents"), shards=8)
 
 
+def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymized(table(spark, sf_dir, "documents"), KEY)
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_model(docs, table(spark, sf_dir, "labels"))
@@ -61,12 +69,16 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= THRESHOLD).cast("int").alias("predicted")))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeated_runs(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_chat_formatting, op3_minhash_near_dedup, op4_packing, op5_permutation_index,
-    op6_kd_tree_sharding, op8_quality_classifier, op10_line_dedup)}
+    op6_kd_tree_sharding, op7_pii_pseudonyms, op8_quality_classifier, op9_secret_scan, op10_line_dedup)}
 
 ORACLES: dict[str, str] = {}

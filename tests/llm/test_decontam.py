@@ -1,0 +1,62 @@
+import random
+
+import pytest
+
+from brute import contamination
+from streamweave.llm import decontam
+from streamweave.llm.decontam import contaminated_spans, digest
+
+
+def tables(spark, docs, items):
+    return (spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+
+
+def run(spark, docs, items):
+    return sorted(tuple(r) for r in digest(contaminated_spans(*tables(spark, docs, items))).collect())
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    word = lambda: rng.choice(["a", "b", "c", "dé", "x1", "Y", "zz", "w" + str(rng.randrange(60))])
+    items = [(i, " ".join(word() for _ in range(rng.choice((1, 2, 4, 9, 10, 11, 30))))) for i in range(12)]
+    items += [(50, None), (51, ""), (52, "..!"), (53, items[0][1])]
+    docs = []
+    for d in range(40):
+        own = [word() for _ in range(rng.randrange(40))]
+        if d % 3 == 0:
+            w = rng.choice(items[:12])[1].split()
+            a = rng.randrange(len(w))
+            own[5:5] = w[a:a + rng.choice((3, 10, 40))]
+        docs.append((d, rng.choice((" ", ", ", "--", "\n")).join(own)))
+    return docs + [(90, None), (91, ""), (92, "!?"), (93, ("lorem " * 30_000) + items[0][1])], items
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_equals_brute_force(spark, seed):
+    docs, items = corpus(seed)
+    assert run(spark, docs, items) == sorted(contamination(docs, items))
+
+
+def test_windows_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "BLOCK", 20)
+    docs, items = corpus(4)
+    assert run(spark, docs, items) == sorted(contamination(docs, items))
+
+
+def test_spans_and_edges(spark):
+    item = "one two three four five six seven eight nine ten eleven"
+    docs = [(1, "Zero ONE two three four five six seven eight nine ten"), (1, "Zero ONE two three four five six seven eight nine ten"),
+            (2, "one two three four five six seven eight nine"), (None, item + " " + item), (3, "ten " + item.replace(" ", "\n"))]
+    out = {(r.doc_id, r.n_words, tuple((s.start, s.end) for s in r.spans), tuple(r["items"]))
+           for r in contaminated_spans(*tables(spark, docs, [(7, item), (None, item)])).collect()}
+    assert out == {(1, 11, ((1, 11),), ("7",)), (2, 9, (), ()), (None, 22, ((0, 22),), ("7",)), (3, 12, ((1, 12),), ("7",))}
+
+
+def test_a_window_does_not_cross_texts(spark):
+    docs = [(1, "a b c d e"), (2, "f g h i j")]
+    assert [r[2] for r in run(spark, docs, [(1, "a b c d e f g h i j")])] == [0, 0]
+
+
+def test_empty_tables(spark):
+    assert run(spark, [], [(1, "a b")]) == []
+    assert [r[1:4] for r in run(spark, [(1, "a b")], [])] == [(2, 0, 0)]
