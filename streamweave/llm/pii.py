@@ -124,8 +124,8 @@ class Pseudonyms:
 
     def _phone(self, value):
         digits = re.sub("[^0-9]", "", value)
-        # North American numbers: area and office begin with 2 to 9.
-        valid = lambda x: str(x).zfill(10)[0] > "1" and str(x).zfill(10)[3] > "1"
+        # Ten digits; neither area nor office begins with 0.
+        valid = lambda x: str(x).zfill(10)[0] > "0" and str(x).zfill(10)[3] > "0"
         if not valid(int(digits)):
             return None
         return refilled(value, str(self._walk("phone", 10 ** 10, int(digits), valid)).zfill(10))
