@@ -124,8 +124,8 @@ class Pseudonyms:
 
     def _phone(self, value):
         digits = re.sub("[^0-9]", "", value)
-        # Ten digits; neither area nor office begins with 0.
-        valid = lambda x: str(x).zfill(10)[0] > "0" and str(x).zfill(10)[3] > "0"
+        # Without a country code only North American numbers count: area and office begin with 2 to 9.
+        valid = lambda x: str(x).zfill(10)[0] > "1" and str(x).zfill(10)[3] > "1"
         if not valid(int(digits)):
             return None
         return refilled(value, str(self._walk("phone", 10 ** 10, int(digits), valid)).zfill(10))
@@ -134,9 +134,6 @@ class Pseudonyms:
         digits = re.sub("[^0-9]", "", value)
         if not 8 <= len(digits) <= 15:
             return None
-        if digits[0] == "1" and len(digits) == 11:
-            new = self._phone(digits[1:])
-            return None if new is None else refilled(value, "1" + new)
         code = re.match(r"\+([0-9]{1,3}?)(?=[ .(-]|[0-9]{7})", value)
         code = len(code[1]) if code else 2
         rest = digits[code:]
