@@ -10,7 +10,10 @@ to the 30-day ``events`` table (SURVEY §7.1): 5 s/2 s -> 5 h/2 h,
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import Any, Iterator, Tuple
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from streamweave import oracles as O
@@ -44,7 +47,7 @@ r AS (SELECT windowEnd, row_number() OVER (PARTITION BY windowEnd ORDER BY count
              itemId, count FROM c)
 SELECT windowEnd, rank, itemId, count FROM r WHERE rank <= 5""", "behaviors"))
 def q_hot_items(spark, sf):
-    return hot.hot_items(td.behaviors(spark, sf))
+    return hot.hot_items(td.pageviews(spark, sf))
 
 
 @register("hot_items_text", O.with_views(f"""{_COUNTS_5H_2H},
@@ -54,7 +57,7 @@ SELECT windowEnd, string_agg(CAST(windowEnd AS VARCHAR) || '-' || CAST(itemId AS
                              CAST(count AS VARCHAR) || ';', '' ORDER BY rank) AS value
 FROM r WHERE rank <= 5 GROUP BY windowEnd""", "behaviors"))
 def q_hot_items_text(spark, sf):
-    return hot.hot_items_lines(td.behaviors(spark, sf))
+    return hot.hot_items_lines(td.pageviews(spark, sf))
 
 
 @register("hot_items_distinct_seconds", O.with_views(f"""
@@ -65,7 +68,7 @@ r AS (SELECT windowEnd, row_number() OVER (PARTITION BY windowEnd ORDER BY count
              itemId, count FROM c)
 SELECT windowEnd, rank, itemId, count FROM r WHERE rank <= 5""", "behaviors"))
 def q_hot_items_distinct(spark, sf):
-    return hot.hot_items_distinct_seconds(td.behaviors(spark, sf))
+    return hot.hot_items_distinct_seconds(td.pageviews(spark, sf))
 
 
 @register("dedup_hot_items", O.with_views(f"""
@@ -78,14 +81,14 @@ r AS (SELECT windowEnd, row_number() OVER (PARTITION BY windowEnd ORDER BY count
              itemId, count FROM c)
 SELECT windowEnd, rank, itemId, count FROM r WHERE rank <= 5""", "behaviors"))
 def q_dedup_hot_items(spark, sf):
-    return hot.dedup_hot_items(td.behaviors(spark, sf))
+    return hot.dedup_hot_items(td.pageviews(spark, sf))
 
 
 @register("item_view_counts", O.with_views(f"""{_COUNTS_5H_2H}
 SELECT itemId, windowEnd, count FROM c""", "behaviors"))
 def q_item_view_counts(spark, sf):
     from streamweave.operators.windows import item_view_counts
-    pv = td.behaviors(spark, sf).where("behavior = 'pv'")
+    pv = td.pageviews(spark, sf)
     return item_view_counts(pv, "5 hours", "2 hours")
 
 
@@ -94,8 +97,11 @@ SELECT userId, itemId, categoryId, behavior, timestamp, seq FROM (
   SELECT *, row_number() OVER (PARTITION BY itemId, timestamp ORDER BY seq) AS k
   FROM behaviors WHERE behavior = 'pv') WHERE k = 1""", "behaviors"))
 def q_dedup(spark, sf):
+    from pyspark.sql import functions as F
     from streamweave.operators.state import dedup_first
-    return dedup_first(td.behaviors(spark, sf).where("behavior = 'pv'"), ["itemId", "timestamp"])
+    # The kind is one constant: without it all columns have a fixed width.
+    b = td.pageviews(spark, sf)
+    return dedup_first(b.drop("behavior"), ["itemId", "timestamp"]).withColumn("behavior", F.lit("pv")).select(b.columns)
 
 
 # ---------------------------------------------------------------- sources
@@ -136,18 +142,21 @@ def q_parse_login(spark, sf):
 _UTF16_LEN = ("length(value) + length(regexp_replace(value, '[^\\x{10000}-\\x{10FFFF}]', '', 'g'))")
 
 
-@register("line_length", O.with_views(f"SELECT seq, CAST({_UTF16_LEN} AS INTEGER) AS length FROM lines", "lines"))
+@register("line_length", O.with_views(f"SELECT doc_id, line_no, CAST({_UTF16_LEN} AS INTEGER) AS length FROM lines",
+                                      "lines"))
 def q_line_length(spark, sf):
     from streamweave.operators.transforms import line_length
-    return line_length(td.lines(spark, sf).select("seq", "value"))
+    return line_length(td.lines(spark, sf))
 
 
-@register("split_words", O.with_views("SELECT seq, word FROM words", "words"))
+@register("split_words", O.with_views("SELECT doc_id, line_no, pos, word FROM words", "words"))
 def q_split_words(spark, sf):
-    return td.words(spark, sf)
+    from streamweave.operators.transforms import split_words
+    return split_words(td.lines(spark, sf), keep=("doc_id", "line_no"))
 
 
-@register("words_with_prefix_w", O.with_views("SELECT seq, word FROM words WHERE starts_with(word, 'w')", "words"))
+@register("words_with_prefix_w", O.with_views(
+    "SELECT doc_id, line_no, pos, word FROM words WHERE starts_with(word, 'w')", "words"))
 def q_prefix(spark, sf):
     from streamweave.operators.transforms import starts_with
     return starts_with(td.words(spark, sf), "w", col="word")
@@ -157,22 +166,24 @@ def q_prefix(spark, sf):
     "SELECT userId, itemId, categoryId, behavior, timestamp, seq FROM behaviors WHERE behavior = 'pv'", "behaviors"))
 def q_pv(spark, sf):
     from streamweave.operators.transforms import field_equals
-    return field_equals(td.behaviors(spark, sf), "behavior", "pv")
+    return field_equals(td.pageviews(spark, sf), "behavior", "pv")
 
 
 @register("table_select_where", O.with_views(
     "SELECT id, temperature FROM readings WHERE id = 'sensor_4'", "readings"))
 def q_table_select(spark, sf):
-    from streamweave.operators.transforms import project, where
-    return where(project(td.readings(spark, sf), "id,temperature"), "id = 'sensor_4'")
+    from streamweave.plans.table_sql import table_api
+    # The id is derived from user_id: the raw predicate reaches the scan.
+    raw = td.table(spark, sf, "events").where("user_id = 4")
+    return table_api(td.readings_of(raw), "id,temperature", "id = 'sensor_4'")
 
 
 @register("sql_not_equal", O.with_views(
     "SELECT id, temperature FROM readings WHERE id <> 'sensor_4'", "readings"))
 def q_sql(spark, sf):
-    from streamweave.operators.transforms import sql_on_view
-    return sql_on_view(spark, td.readings(spark, sf), "sensor",
-                       "select id,temperature from sensor where id <> 'sensor_4'")
+    from streamweave.plans.table_sql import sql_api
+    raw = td.table(spark, sf, "events").where("user_id <> 4")
+    return sql_api(spark, td.readings_of(raw), "sensor", "select id,temperature from sensor where id <> 'sensor_4'")
 
 
 _HIGH = 250.0
@@ -252,7 +263,8 @@ def q_word_count(spark, sf):
 
 
 @register("rolling_word_count", O.with_views(
-    "SELECT word, seq, count(*) OVER (PARTITION BY word ORDER BY seq) AS count FROM words", "words"))
+    "SELECT word, doc_id, line_no, pos, count(*) OVER (PARTITION BY word ORDER BY doc_id, line_no, pos) AS count "
+    "FROM words", "words"))
 def q_rolling_word_count(spark, sf):
     from streamweave.operators.aggregates import rolling_word_count
     return rolling_word_count(td.words(spark, sf))
@@ -301,7 +313,7 @@ SELECT timestamp - timestamp % {H} AS window_start, timestamp - timestamp % {H}
 FROM readings GROUP BY 1, 2, 3""", "readings"))
 def q_window_sum(spark, sf):
     from streamweave.operators.aggregates import window_sum
-    return window_sum(td.readings(spark, sf), "1 hour")
+    return window_sum(td.readings(spark, sf), "1 hour", scale=2)  # the data has two decimals
 
 
 @register("window_distinct_seconds", O.with_views(f"""
@@ -310,7 +322,7 @@ SELECT ws AS window_start, ws + {5 * H} AS window_end, itemId, count(DISTINCT ti
   FROM behaviors WHERE behavior = 'pv') GROUP BY 1, 2, 3""", "behaviors"))
 def q_window_distinct(spark, sf):
     from streamweave.operators.aggregates import window_distinct_buckets
-    pv = td.behaviors(spark, sf).where("behavior = 'pv'")
+    pv = td.pageviews(spark, sf)
     return window_distinct_buckets(pv, "5 hours", "itemId", slide="2 hours")
 
 
@@ -328,7 +340,7 @@ SELECT (timestamp * 1000) - (timestamp * 1000) % {24 * H} AS window_start, itemI
 FROM behaviors WHERE behavior = 'pv' GROUP BY 1, 2, 4""", "behaviors"))
 def q_rollup(spark, sf):
     from streamweave.operators.aggregates import rollup_counts, window_count
-    pv = td.behaviors(spark, sf).where("behavior = 'pv'")
+    pv = td.pageviews(spark, sf)
     hourly = window_count(pv, "1 hour", "itemId", unit="s")
     return rollup_counts(hourly, "itemId", 24 * H)
 
@@ -345,7 +357,7 @@ def q_window_size(spark, sf):
 
 @register("session_windows_1h", O.with_views(f"""
 SELECT id, min(timestamp) AS session_start, max(timestamp) + {H} AS session_end, count(*) AS count FROM (
-  SELECT *, sum(CASE WHEN prev IS NULL OR timestamp - prev >= {H} THEN 1 ELSE 0 END)
+  SELECT *, sum(CASE WHEN prev IS NULL OR timestamp - prev > {H} THEN 1 ELSE 0 END)
               OVER (PARTITION BY id ORDER BY timestamp, seq) AS sid FROM (
     SELECT *, lag(timestamp) OVER (PARTITION BY id ORDER BY timestamp, seq) AS prev FROM readings))
 GROUP BY id, sid""", "readings"))
@@ -386,7 +398,7 @@ SELECT id, window_start, window_start + {H} AS window_end, count(*) AS kept, min
 WHERE k <= 2 GROUP BY id, window_start""", "readings"))
 def q_keep_last(spark, sf):
     from streamweave.operators.windows import keep_last
-    return keep_last(td.readings(spark, sf), "1 hour", 2)
+    return keep_last(td.readings(spark, sf), "1 hour", 2, scale=2)  # the data has two decimals
 
 
 # ---------------------------------------------------------------- lateness
@@ -457,8 +469,20 @@ def q_count_per_key(spark, sf):
     "SELECT id, timestamp, temperature, seq, count(*) OVER (PARTITION BY id ORDER BY seq) - 1 AS list_size_before "
     "FROM readings", "readings"))
 def q_list_state(spark, sf):
-    from streamweave.operators.state import list_state_size
-    return list_state_size(td.readings(spark, sf))
+    from streamweave.operators.state import last_values
+    return last_values(td.readings(spark, sf)).drop("values")
+
+
+@register("list_state_values", O.with_views("""
+SELECT id, seq, count(*) OVER f AS kept, first_value(temperature) OVER f AS oldest, last_value(temperature) OVER f AS newest
+FROM readings WINDOW f AS (PARTITION BY id ORDER BY seq ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)""", "readings"))
+def q_list_values(spark, sf):
+    from pyspark.sql import functions as F
+    from streamweave.operators.state import last_values
+    v = F.col("values")
+    return last_values(td.readings(spark, sf), 3).select(
+        "id", "seq", F.size(v).cast("bigint").alias("kept"), F.get(v, F.lit(0)).alias("oldest"),
+        F.get(v, F.size(v) - 1).alias("newest"))
 
 
 @register("temperature_jumps", O.with_views("""
@@ -543,16 +567,104 @@ for _m in (1, 2, 3):
     "FROM readings", "readings"))
 def q_partition_custom(spark, sf):
     from pyspark.sql import functions as F
-    from streamweave.operators.partitioning import partition_custom
+    from streamweave.operators.partitioning import partition_custom, sensor_number_partition
     r = td.readings(spark, sf).select("id", "seq")
-    k = F.pmod(F.split("id", "_").getItem(1).cast("int") - 1, F.lit(8))
-    return partition_custom(r, 8, k).withColumn("partition", F.spark_partition_id())
+    # Sensor numbers are wrapped to 1..8 first; the operator checks the range.
+    number = F.pmod(F.split("id", "_").getItem(1).cast("int") - 1, F.lit(8)) + 1
+    r = r.withColumn("wrapped", F.concat(F.lit("sensor_"), number.cast("string")))
+    out = partition_custom(r, 8, sensor_number_partition(8, "wrapped"))
+    return out.select("id", "seq", F.spark_partition_id().alias("partition"))
 
 
-@register("subtask_index")
+@register("subtask_index", O.with_views(
+    "SELECT id, CAST(1 AS BIGINT) AS subtasks, count(*) AS rows FROM readings GROUP BY id", "readings"))
 def q_subtask(spark, sf):
-    from streamweave.operators.partitioning import key_by, with_subtask_index
-    return with_subtask_index(key_by(td.readings(spark, sf), 4, "id"))
+    from streamweave.operators.partitioning import key_placement
+    return key_placement(td.readings(spark, sf), 4)
+
+
+# ---------------------------------------------------------------- order by (partition, offset)
+_TOPIC = """topic AS (SELECT id, timestamp, temperature, CAST(seq % 2 AS INTEGER) AS part, seq // 2 AS off FROM readings)"""
+
+
+def _topic(spark, sf):
+    """readings as two partitions of a topic, with equal offsets in both."""
+    from pyspark.sql import functions as F
+    return td.readings(spark, sf).select("id", "timestamp", "temperature", (F.col("seq") % 2).cast("int").alias("part"),
+                                         F.expr("seq div 2").alias("off"))
+
+
+@register("topic_count_per_key", O.with_views(f"""{_TOPIC}
+SELECT *, count(*) OVER (PARTITION BY id ORDER BY part, off) AS count FROM topic""", "readings"))
+def q_topic_count(spark, sf):
+    from streamweave.operators.state import count_per_key
+    return count_per_key(_topic(spark, sf), order=("part", "off"))
+
+
+@register("topic_count_window", O.with_views(f"""{_TOPIC}
+SELECT id, part, off, size, min_temperature, max_temperature, id || CAST(size AS VARCHAR) AS value FROM (
+  SELECT id, part, off, row_number() OVER w AS rn, count(*) OVER f AS size,
+         min(temperature) OVER f AS min_temperature, max(temperature) OVER f AS max_temperature
+  FROM topic WINDOW w AS (PARTITION BY id ORDER BY part, off),
+                    f AS (PARTITION BY id ORDER BY part, off ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))
+WHERE rn % 2 = 0""", "readings"))
+def q_topic_count_window(spark, sf):
+    from streamweave.operators.windows import count_window
+    return count_window(_topic(spark, sf), "id", 10, 2, order=("part", "off"))
+
+
+@register("topic_dedup_per_day", O.with_views(f"""{_TOPIC}
+SELECT id, day, part, off, temperature FROM (
+  SELECT *, row_number() OVER (PARTITION BY id, day ORDER BY part, off) AS k
+  FROM (SELECT *, timestamp // {24 * H} AS day FROM topic)) WHERE k = 1""", "readings"))
+def q_topic_dedup(spark, sf):
+    from pyspark.sql import functions as F
+    from streamweave.operators.state import dedup_first
+    t = _topic(spark, sf).select("id", F.expr(f"timestamp div {24 * H}").alias("day"), "part", "off", "temperature")
+    return dedup_first(t, ["id", "day"], order=("part", "off"))
+
+
+@register("topic_late_router", O.with_views(f"""{_TOPIC},
+wm AS (SELECT *, max(timestamp) OVER (ORDER BY part, off ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {_DELAY}
+                 AS watermark, timestamp - timestamp % {H} AS window_start FROM topic)
+SELECT id, part, off, watermark,
+       CASE WHEN watermark IS NULL OR watermark < window_start + {H} - 1 THEN 'on_time'
+            WHEN watermark < window_start + {H} - 1 + {_LATENESS} THEN 'late' ELSE 'too_late' END AS arrival
+FROM wm""", "readings"))
+def q_topic_late(spark, sf):
+    from streamweave.operators.lateness import classify_arrivals
+    c = classify_arrivals(_topic(spark, sf), "1 hour", "30 minutes", "2 hours", order=("part", "off"))
+    return c.select("id", "part", "off", "watermark", "arrival")
+
+
+# ---------------------------------------------------------------- user functions
+@register("window_median_1d", O.with_views(f"""
+SELECT id, timestamp - timestamp % {24 * H} + {24 * H} AS window_end, count(*) AS n, median(temperature) AS median_temperature
+FROM readings GROUP BY 1, 2""", "readings"))
+def q_window_median(spark, sf):
+    """A full-window function, needed as the median has no small accumulator. A group is one key's day."""
+    from streamweave.operators.windows import window_apply
+    r = td.readings(spark, sf).select("id", "timestamp", "temperature")
+    return window_apply(r, "1 day", "id", median_of_window, "id string, window_end bigint, n bigint, median_temperature double")
+
+
+def median_of_window(key: Tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    v = np.concatenate([b["temperature"].to_numpy() for b in batches])
+    yield pd.DataFrame({"id": [key[2]], "window_end": [key[1]], "n": [len(v)], "median_temperature": [float(np.median(v))]})
+
+
+@register("user_aggregate_max", O.with_views(
+    "SELECT id, max(temperature) AS top FROM readings GROUP BY id", "readings"))
+def q_user_aggregate(spark, sf):
+    """A Python aggregate in two phases over salted groups."""
+    import pandas as pd
+
+    from streamweave.functions.udf import aggregate
+
+    def top(v: pd.Series) -> float:
+        return float(v.max())
+
+    return aggregate(td.readings(spark, sf), "id", "temperature", top, top, "double", name="top")
 
 
 @register("keyed_upsert_latest", O.with_views(
@@ -569,6 +681,21 @@ def q_jdbc_rows(spark, sf):
     return student_rows(td.readings(spark, sf))
 
 
+@register("keyed_strings", O.with_views(
+    "SELECT CAST(seq AS VARCHAR) AS key, id || CAST(timestamp AS VARCHAR) AS value FROM readings", "readings"))
+def q_keyed_strings(spark, sf):
+    from pyspark.sql import functions as F
+    from streamweave.sinks.keyed import keyed_strings
+    return keyed_strings(td.readings(spark, sf), "seq", F.concat("id", F.col("timestamp").cast("string")))
+
+
+@register("document_rows", O.with_views(
+    "SELECT 'sensor' AS index, 'readingdata' AS type, id, CAST(timestamp AS VARCHAR) AS ts FROM readings", "readings"))
+def q_document_rows(spark, sf):
+    from streamweave.sinks.shaping import document_rows
+    return document_rows(td.readings(spark, sf)).selectExpr("index", "type", "source['id'] AS id", "source['ts'] AS ts")
+
+
 @register("item_view_count_text", O.with_views(f"""{_COUNTS_5H_2H}
 SELECT itemId, windowEnd, 'ItemViewCount{{itemId=' || CAST(itemId AS VARCHAR) || ', windowEnd=' ||
        CAST(windowEnd AS VARCHAR) || ', count=' || CAST(count AS VARCHAR) || '}}' AS value FROM c""", "behaviors"))
@@ -576,7 +703,7 @@ def q_item_view_count_text(spark, sf):
     from pyspark.sql import functions as F
     from streamweave.functions.text import item_view_count_text
     from streamweave.operators.windows import item_view_counts
-    c = item_view_counts(td.behaviors(spark, sf).where("behavior = 'pv'"), "5 hours", "2 hours")
+    c = item_view_counts(td.pageviews(spark, sf), "5 hours", "2 hours")
     return c.select("itemId", "windowEnd",
                     item_view_count_text(F.col("itemId"), F.col("windowEnd"), F.col("count")).alias("value"))
 

@@ -48,8 +48,10 @@ def aggregate(df: DataFrame, key: str, col: str, partial: Callable[[pd.Series],
     """Reduce/Aggregate per key with Python functions, in two phases like
     the reference's AggregateFunction (add ... merge ... getResult):
 
-    1. ``partial(values) -> scalar`` per (key, salt), the salt a hash of the
-       row spread over ``salts`` groups, so a hot key is split;
+    1. ``partial(values) -> scalar`` per (key, salt); rows are dealt over
+       ``salts`` groups by their place in the input, so a hot key is split
+       evenly, also if its rows are all equal. A group's values must fit
+       into a task: raise ``salts`` with the data;
     2. ``merge(partials) -> scalar`` per key over at most ``salts`` values.
 
     ``partial`` and ``merge`` must give the same result for any split of
@@ -58,6 +60,6 @@ def aggregate(df: DataFrame, key: str, col: str, partial: Callable[[pd.Series],
     """
     p_udf = F.pandas_udf(partial, return_type)
     m_udf = F.pandas_udf(merge, return_type)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(int(salts)))
+    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(int(salts)))
     parts = df.groupBy(F.col(key), salt.alias("__salt")).agg(p_udf(F.col(col)).alias("__p"))
     return parts.groupBy(key).agg(m_udf(F.col("__p")).alias(name))

@@ -8,15 +8,18 @@ map-side) and, where the reference emits one row per input, a
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from streamweave.operators.scan import DEFAULT_CHUNK_ROWS, Scan, keyed_scan, seq_chunks
 from streamweave.operators.windows import window_columns
 
 
-def exact_sum(col: Column, scale: int | None) -> Column:
-    """Sum that does not depend on row order: exact decimal when the scale
-    of the data is known, returned as double."""
+def exact_sum(col: Column, scale: int | None = None) -> Column:
+    """The sum of the doubles as they are. A caller that knows its data's
+    decimal scale may pass it: the sum is then exact in any row order (and
+    returned as double)."""
     if scale is None:
         return F.sum(col)
     return F.sum(col.cast(f"decimal(18,{scale})")).cast("double")
@@ -29,20 +32,22 @@ def word_count(words: DataFrame, col: str = "word") -> DataFrame:
     return words.groupBy(F.col(col).alias("word")).agg(F.count(F.lit(1)).alias("count"))
 
 
-WORD_DOC_SHIFT = 34      # fixed layout of word seq numbers, see sources.testdata
 DOCS_PER_CHUNK = 256
 
 
-def rolling_word_count(words: DataFrame, col: str = "word", docs_per_chunk: int = DOCS_PER_CHUNK,
-                       doc_shift: int = WORD_DOC_SHIFT) -> DataFrame:
+def rolling_word_count(words: DataFrame, col: str = "word", order: Sequence[str] = ("doc_id", "line_no", "pos"),
+                       per_chunk: int = DOCS_PER_CHUNK) -> DataFrame:
     """A2 ``keyBy(word).sum(1)``: per input word, its count so far.
 
-    Word seqs are (doc, line, position) bit-packed; chunks are ranges of
-    ``docs_per_chunk`` documents, so a frequent word is split across chunks
-    while the chunk summary stays far smaller than the input."""
-    df = words.select(F.col(col).alias("word"), "seq")
-    return keyed_scan(df, ["word"], ["seq"], seq_chunks("seq", docs_per_chunk, shift=doc_shift),
-                      [Scan("count", "count")])
+    Words are in the order of the ``order`` columns, compared as they are (no
+    packed number that could overflow). Chunks are ranges of ``per_chunk``
+    values of the first of them (documents, or lines of a text file), so a
+    frequent word is split while the chunk summary stays far smaller than
+    the input. Text is split into words once: the totals come from the
+    chunks' running counts."""
+    df = words.select(F.col(col).alias("word"), *order)
+    return keyed_scan(df, ["word"], list(order), seq_chunks(order[0], per_chunk), [Scan("count", "count")],
+                      one_pass=True)
 
 
 # ---- A3 / A4 / A5 rolling aggregates on readings -------------------------
@@ -67,10 +72,8 @@ def rolling_max(df: DataFrame, key: str = "id", field: str = "temperature",
     first record."""
     others = [c for c in df.columns if c not in (key, field, "seq")]
     out = keyed_scan(df, [key], ["seq"], seq_chunks("seq", chunk_rows),
-                     [Scan("__max", "max", F.col(field)),
-                      Scan("__first", "first", F.struct(*[F.col(c) for c in others]))])
-    return out.select(F.col("seq").alias("input_seq"), F.col(key),
-                      *[F.col("__first").getField(c).alias(c) for c in others],
+                     [Scan("__max", "max", F.col(field)), *[Scan(f"__first_{c}", "first", F.col(c)) for c in others]])
+    return out.select(F.col("seq").alias("input_seq"), F.col(key), *[F.col(f"__first_{c}").alias(c) for c in others],
                       F.col("__max").alias(field))
 
 
@@ -94,7 +97,10 @@ def rolling_max_final(df: DataFrame, key: str = "id", field: str = "temperature"
 
 def window_min_by(df: DataFrame, size: str, key: str = "id", field: str = "temperature",
                   time_col: str = "timestamp", slide: str | None = None) -> DataFrame:
-    """A6 ``timeWindow(size).minBy(field)``: whole record, first tie."""
+    """A6 ``timeWindow(size).minBy(field)``: whole record, first tie. The tie
+    needs (field, seq) compared together, which Spark buffers as a struct:
+    map tasks sort before the partial aggregate, and one record per group
+    and task is shuffled."""
     w = window_columns(df, time_col, size, slide)
     rec = F.struct(F.col(field).alias("v"), F.col("seq").alias("s"),
                    F.struct(*[F.col(c) for c in df.columns]).alias("r"))
@@ -104,7 +110,7 @@ def window_min_by(df: DataFrame, size: str, key: str = "id", field: str = "tempe
 
 
 def window_sum(df: DataFrame, size: str, key: str = "id", field: str = "temperature",
-               time_col: str = "timestamp", slide: str | None = None, scale: int | None = 2) -> DataFrame:
+               time_col: str = "timestamp", slide: str | None = None, scale: int | None = None) -> DataFrame:
     """A7 ``timeWindow(size).sum(field)``."""
     w = window_columns(df, time_col, size, slide)
     return w.groupBy("window_start", "window_end", key).agg(exact_sum(F.col(field), scale).alias(f"sum_{field}"))

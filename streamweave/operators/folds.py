@@ -1,36 +1,38 @@
 """Keyed sequential folds: the rising-temperature alert (ST10, D3) and the
-login-failure warning (ST14, D7).
-
-Both are state machines per key over rows in (timestamp, seq) order, so no
-closed SQL form exists. Running them per key would put a hot key in one
-task; instead each key is cut, exactly, at rows where the machine is known
-to be in its initial state:
-
-* rising alert: after a fall (it disarms or leaves the machine unarmed),
-  or when the gap to the previous row exceeds the interval (a pending
-  timer has fired);
-* login warning: after a success (it cancels or meets an idle machine), or
-  when the gap to the previous row exceeds the window.
-
-Segment ids come from two chunked scans (a lag, then a running sum of
-boundary flags). Segments are hash-partitioned, sorted inside their
-partition and folded by ``mapInPandas`` with O(1) state: memory is one
-Arrow batch, and a hot key's segments spread over all tasks. Only a single
-reset-free run is sequential, which the machine's definition requires.
+login-failure warning (ST14, D7), and a generic keyed fold.
+
+Both alerts are state machines per key over rows in (timestamp, seq) order.
+Their rows are first reduced, JVM-side, to what can change the machine:
+
+* rows of one (key, instant) become one row: for readings whether a fall came
+  and whether a rise came after the last fall, for logins whether a success
+  came and how many failures came after the last one;
+* readings that neither fall nor rise go.
+
+So what is left per key is bounded by time, not by data size. A fall (a
+success) ends a run and is its end mark; run numbers come from a chunked
+scan. Inside a run both machines are the same greedy walk: the first row opens
+[t, t + width], rows in it join, the next row after it opens the next window,
+and the end mark cancels the window it falls into. ``greedy_windows`` walks
+runs in Arrow batches with O(1) state: runs that fit into one window (nearly
+all) are answered for the whole batch at once, longer ones window by window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from streamweave.functions.time import duration_label, duration_ms
 from streamweave.operators.scan import Scan, keyed_scan, time_chunks
 
 JAVA_DOUBLE_MIN_VALUE = 4.9e-324  # fixed value: Java's Double.MIN_VALUE, the initial "last" (D3)
 DEFAULT_CHUNK_MS = 3_600_000
+#: Chunk of the generic fold, which sees all rows: at most a second of a key's rows in one task.
+FOLD_CHUNK_MS = 1_000
 
 
 def _flag(c):
@@ -73,11 +75,13 @@ class _OrderGuard:
 
 
 def keyed_fold(df: DataFrame, key: str, time_col: str, fields: list[str], lag_expr, starts_here, ends_here,
-               step, finish, out_schema: str, out_cols: list[str], chunk_width: int = DEFAULT_CHUNK_MS,
+               step, finish, out_schema: str, out_cols: list[str], chunk_width: int = FOLD_CHUNK_MS,
                derive: dict | None = None) -> DataFrame:
     """Bounded keyed process function: run a state machine per key over rows
     in (time, seq) order, cut exactly at rows where it is in its initial
-    state (see the module doc).
+    state. For machines that need every row; the machine runs row by row in
+    Python, and a run without such a cut is folded in one task (reduce rows
+    first where the machine allows it, as the alerts below do).
 
     ``lag_expr`` is what a row needs of its predecessor. Segment boundaries
     are Column predicates over the row's columns and ``prev`` (its
@@ -120,41 +124,120 @@ def keyed_fold(df: DataFrame, key: str, time_col: str, fields: list[str], lag_ex
     return rows.mapInPandas(run, out_schema)
 
 
+def greedy_windows(rows: DataFrame, key: str, width: int) -> DataFrame:
+    """(key, first, last, total) of the windows of each run.
+
+    ``rows``: (key, __run, __t, __n, __end), times unique per run. The first
+    row of a run opens [t, t + width]; ``total`` adds up __n in it; a window
+    that holds the run's end mark (__end, at most one, after all other rows)
+    is cancelled. Windows left open at the end of the input count."""
+    dtype = rows.schema[key].dataType.simpleString()
+    rows = rows.select(F.col(key).cast("string").alias("__key"), "__run", "__t", "__n", "__end")
+    rows = rows.repartition("__key", "__run").sortWithinPartitions("__key", "__run", "__t", "__end")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, opened = None, None  # the run that goes on in the next batch; its open window [first, last, total]
+
+        def walk(o, t, n, end):
+            """One run's rows from where ``o`` stands; returns closed windows and the open one."""
+            out, at = [], 0
+            upto = np.concatenate([[0], np.cumsum(n)])
+            while at < len(t):
+                if o is None:
+                    o = [int(t[at]), int(t[at]), 0]
+                to = int(np.searchsorted(t, o[0] + width, "right"))
+                if to > at:
+                    o[1], o[2] = int(t[to - 1]), o[2] + int(upto[to] - upto[at])
+                    at = to
+                if at < len(t):
+                    out.append(tuple(o))
+                    o = None
+            if end is not None and o is not None:
+                if end > o[0] + width:
+                    out.append(tuple(o))
+                o = None
+            return out, o
+
+        for b in batches:
+            if not len(b):
+                continue
+            k, r = b["__key"].to_numpy(object), b["__run"].to_numpy()
+            t, n, e = b["__t"].to_numpy(), b["__n"].to_numpy(), b["__end"].to_numpy(bool)
+            cut = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (r[1:] != r[:-1])])
+            stop = np.r_[cut[1:], len(b)]
+            closed = []
+            if group is not None and (k[0], r[0]) != group:
+                if opened is not None:
+                    closed.append((group[0], *opened))
+                group, opened = None, None
+            # Runs that begin and end in this batch and fit into one window.
+            ends = e[stop - 1]
+            stop_rows = stop - ends
+            some = stop_rows > cut
+            first, last = t[cut], t[np.maximum(stop_rows - 1, cut)]
+            whole = np.ones(len(cut), bool)
+            whole[-1] = False
+            if group is not None:
+                whole[0] = False
+            easy = whole & (~some | (last - first <= width))
+            keep = easy & some & ~(ends & (t[stop - 1] <= first + width))
+            upto = np.concatenate([[0], np.cumsum(n)])
+            closed += zip(k[cut[keep]], first[keep].tolist(), last[keep].tolist(),
+                          (upto[stop_rows[keep]] - upto[cut[keep]]).tolist())
+            for i in np.flatnonzero(~easy).tolist():
+                a, z = cut[i], stop_rows[i]
+                out, o = walk(opened if i == 0 and group is not None else None, t[a:z], n[a:z],
+                              int(t[stop[i] - 1]) if ends[i] else None)
+                closed += [(k[a], *x) for x in out]
+                if i == len(cut) - 1:
+                    group, opened = (k[a], r[a]), o
+                elif o is not None:
+                    closed.append((k[a], *o))
+            if closed:
+                yield pd.DataFrame(closed, columns=["__key", "first", "last", "total"])
+        if opened is not None:
+            yield pd.DataFrame([(group[0], *opened)], columns=["__key", "first", "last", "total"])
+
+    out = rows.mapInPandas(run, "__key string, first bigint, last bigint, total bigint")
+    return out.select(F.col("__key").cast(dtype).alias(key), "first", "last", "total")
+
+
+def _runs(marks: DataFrame, key: str, time_col: str, chunk, ends: str, opens: str) -> DataFrame:
+    """Rows of ``greedy_windows`` from one row per (key, time): ``ends`` closes the run before it, ``opens`` > 0
+    is what the row adds to the run that begins or goes on."""
+    marks = keyed_scan(marks, [key], [time_col], chunk, [Scan("__run", "sum", F.col(ends).cast("bigint"))])
+    row = lambda run, n, end: F.struct(run.alias("run"), n.cast("bigint").alias("n"), F.lit(end).alias("end"))
+    both = F.array(F.when(F.col(ends), row(F.col("__run") - 1, F.lit(0), True)),
+                   F.when(F.col(opens) > 0, row(F.col("__run"), F.col(opens), False)))
+    out = marks.select(key, F.col(time_col).alias("__t"), F.explode(F.filter(both, lambda x: x.isNotNull())).alias("x"))
+    return out.select(key, F.col("x.run").alias("__run"), "__t", F.col("x.n").alias("__n"), F.col("x.end").alias("__end"))
+
+
 def rising_alerts(df: DataFrame, interval: str = "10 seconds", key: str = "id", time_col: str = "timestamp",
                   field: str = "temperature", chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame:
     """ST10: per key, an alert at ``deadline`` when a rise armed a timer at
     t (deadline t + interval) and no fall came at or before it (D3).
 
-    Output: (key, alert_time ms). The first reading arms iff temp > 0.
+    Output: (key, alert_time ms). The first reading arms iff temp > 0; null
+    readings neither rise nor fall.
     """
     n = duration_ms(interval)
-    lag = F.struct(F.col(field).alias("temp"), F.col(time_col).alias("t"))
-
-    def step(k, armed, t, vals, out):
-        temp, last = vals
-        if armed is not None and t > armed:  # the timer fired before this row
-            out.append((k, armed))
-            armed = None
-        if temp > last and armed is None:
-            return t + n
-        if temp < last and armed is not None:
-            return None
-        return armed
-
-    def finish(k, armed, out):
-        if armed is not None:
-            out.append((k, armed))
-
-    # A fall ends a segment after it; a gap > interval starts one. "last" is
-    # the previous reading's temperature, Double.MIN_VALUE for the first.
-    return keyed_fold(
-        df, key, time_col, [field, "__last"], lag,
-        starts_here=lambda p: F.col(time_col) - p["t"] > n,
-        ends_here=lambda p: F.coalesce(F.col(field) < p["temp"], F.lit(False)),
-        step=step, finish=finish,
-        out_schema=f"{key} {df.schema[key].dataType.simpleString()}, alert_time bigint",
-        out_cols=[key, "alert_time"], chunk_width=chunk_ms,
-        derive={"__last": F.coalesce(F.col("__prev.temp"), F.lit(JAVA_DOUBLE_MIN_VALUE))})
+    before = F.lag(field).over(Window.partitionBy(key, time_col).orderBy("seq"))
+    rows = df.select(key, F.col(time_col).alias("__t"), "seq", F.col(field).alias("__v"),
+                     (F.col(field) < before).alias("__fall"), (F.col(field) > before).alias("__rise"))
+    instants = rows.groupBy(key, "__t").agg(
+        F.min_by("__v", "seq").alias("__first"), F.max_by("__v", "seq").alias("__last"),
+        F.max(F.when(F.col("__fall"), F.col("seq"))).alias("__f"),
+        F.max(F.when(F.col("__rise"), F.col("seq"))).alias("__r"))
+    seen = keyed_scan(instants, [key], ["__t"], time_chunks("__t", chunk_ms), [Scan("__prev", "lag", F.col("__last"))])
+    prev = F.coalesce("__prev", F.lit(JAVA_DOUBLE_MIN_VALUE))
+    fall, rise = F.coalesce(F.col("__first") < prev, F.lit(False)), F.coalesce(F.col("__first") > prev, F.lit(False))
+    marks = seen.select(
+        key, "__t", (fall | F.col("__f").isNotNull()).alias("__ends"),
+        F.when(F.col("__f").isNotNull(), F.coalesce(F.col("__r") > F.col("__f"), F.lit(False)))
+        .otherwise(rise | F.col("__r").isNotNull()).cast("int").alias("__opens"))
+    runs = _runs(marks.where("__ends or __opens > 0"), key, "__t", time_chunks("__t", chunk_ms), "__ends", "__opens")
+    return greedy_windows(runs, key, n).select(key, (F.col("first") + F.lit(n)).alias("alert_time"))
 
 
 def login_fail_warnings(df: DataFrame, window: str = "2 seconds", max_fails: int = 1, key: str = "userId",
@@ -164,31 +247,18 @@ def login_fail_warnings(df: DataFrame, window: str = "2 seconds", max_fails: int
     it join; a success in it cancels; when it closes with >= ``max_fails``
     failures emit (userId, firstFailTime, lastFailTime, warningMsg).
     ``timestamp`` is in seconds, as in LoginEvent, and so is
-    ``chunk_width`` (the scan chunk of the time column)."""
+    ``chunk_width`` (the scan chunk of the time column). Every state but
+    ``fail`` counts as a success."""
     w_s = duration_ms(window) // 1000
     label = duration_label(window)
-
-    def close(k, o, out):
-        if o is not None and o[2] >= max_fails:
-            out.append((k, o[0], o[1], f"login fail in {label} for {o[2]} times"))
-
-    def step(k, opened, t, vals, out):
-        (st,) = vals
-        if opened is not None and t > opened[0] + w_s:  # the timer fired before this row
-            close(k, opened, out)
-            opened = None
-        if st == "fail":
-            return [t, t, 1] if opened is None else [opened[0], t, opened[2] + 1]
-        return None  # a success cancels, or meets an idle machine
-
-    lag = F.struct((F.col(state_col) == "success").alias("ok"), F.col(time_col).alias("t"))
-    # A success ends a segment after it (seen from the next row as prev.ok);
-    # a gap > window starts one.
-    return keyed_fold(
-        df, key, time_col, [state_col], lag,
-        starts_here=lambda p: p["ok"] | (F.col(time_col) - p["t"] > w_s),
-        ends_here=lambda p: F.lit(False),
-        step=step, finish=close,
-        out_schema=(f"{key} {df.schema[key].dataType.simpleString()}, firstFailTime bigint, "
-                    "lastFailTime bigint, warningMsg string"),
-        out_cols=[key, "firstFailTime", "lastFailTime", "warningMsg"], chunk_width=chunk_width)
+    ok = F.coalesce(F.col(state_col) != "fail", F.lit(True))
+    last_ok = F.max(F.when(ok, F.col("seq"))).over(Window.partitionBy(key, time_col))
+    rows = df.select(key, F.col(time_col).alias("__t"), ok.alias("__ok"),
+                     (~ok & F.coalesce(F.col("seq") > last_ok, F.lit(True))).alias("__fail"))
+    marks = rows.groupBy(key, "__t").agg(F.bool_or("__ok").alias("__ends"),
+                                         F.sum(F.col("__fail").cast("int")).alias("__opens"))
+    runs = _runs(marks, key, "__t", time_chunks("__t", chunk_width), "__ends", "__opens")
+    found = greedy_windows(runs, key, w_s).where(F.col("total") >= max_fails)
+    return found.select(key, F.col("first").alias("firstFailTime"), F.col("last").alias("lastFailTime"),
+                        F.concat(F.lit(f"login fail in {label} for "), F.col("total").cast("string"),
+                                 F.lit(" times")).alias("warningMsg"))

@@ -17,20 +17,23 @@ The global running max is a chunked scan (no one-partition window).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window, functions as F
 
 from streamweave.functions.time import duration_ms
-from streamweave.operators.scan import DEFAULT_CHUNK_ROWS, Scan, keyed_scan, seq_chunks
+from streamweave.operators.scan import DEFAULT_CHUNK_ROWS, Scan, keyed_scan, order_chunks
 from streamweave.operators.windows import window_columns
 
 ON_TIME, LATE, TOO_LATE = "on_time", "late", "too_late"
 
 
-def classify_arrivals(df: DataFrame, size: str, delay: str, lateness: str = "0 ms",
-                      time_col: str = "timestamp", chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """Per row its tumbling window, the watermark it met and its class."""
+def classify_arrivals(df: DataFrame, size: str, delay: str, lateness: str = "0 ms", time_col: str = "timestamp",
+                      chunk_rows: int = DEFAULT_CHUNK_ROWS, order: Sequence[str] = ("seq",)) -> DataFrame:
+    """Per row its tumbling window, the watermark it met and its class.
+    ``order``: the arrival order, e.g. (partition, offset) of a topic."""
     d, lt = duration_ms(delay), duration_ms(lateness)
-    wm = keyed_scan(df, [], ["seq"], seq_chunks("seq", chunk_rows),
+    wm = keyed_scan(df, [], list(order), order_chunks(list(order), chunk_rows),
                     [Scan("__max_before", "max_before", F.col(time_col))])
     wm = wm.withColumn("watermark", F.col("__max_before") - F.lit(d)).drop("__max_before")
     w = window_columns(wm, time_col, size)
@@ -61,15 +64,17 @@ def firing_changelog_min_by(df: DataFrame, size: str, delay: str, lateness: str,
     """
     c = classify_arrivals(df, size, delay, lateness, time_col=time_col, chunk_rows=chunk_rows)
     rec = F.struct(F.col(field).alias("v"), F.col("seq").alias("s"), F.col(time_col).alias("t"))
-    kept = c.where(F.col("arrival") != TOO_LATE)
-    # One pass: the running min per (key, window) in arrival order is, at
-    # each late row, that late firing's result, and at the window's last
-    # on-time row, the on-time result (every on-time row of a window arrives
-    # before its late rows: the watermark only grows).
-    run = keyed_scan(kept, [key, "window_start"], ["seq"], seq_chunks("seq", chunk_rows),
-                     [Scan("__m", "min", rec),
-                      Scan("__last_on_time", "total_max", F.when(F.col("arrival") == ON_TIME, F.col("seq")))])
-    fired = run.where((F.col("arrival") == LATE) | (F.col("seq") == F.col("__last_on_time")))
-    return fired.select(key, "window_start", "window_end", F.col("arrival").alias("firing"),
-                        F.col("seq").alias("trigger_seq"), F.col("__m.t").alias(time_col),
-                        F.col("__m.v").alias(field), F.col("__m.s").alias("seq"))
+    late = F.col("arrival") == LATE
+    # On-time rows of a window become one row map-side; a late row stays one.
+    kept = (c.where(F.col("arrival") != TOO_LATE)
+            .groupBy(key, "window_start", "window_end", F.when(late, F.col("seq")).alias("__late"))
+            .agg(F.min(rec).alias("__m"), F.max("seq").alias("trigger_seq")))
+    # In arrival order, the on-time row first (the watermark only grows): the
+    # running minimum is each firing's result.
+    upto = Window.partitionBy(key, "window_start").orderBy(F.col("__late").asc_nulls_first()) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fired = kept.withColumn("__m", F.min("__m").over(upto))
+    return fired.select(key, "window_start", "window_end",
+                        F.when(F.col("__late").isNull(), F.lit(ON_TIME)).otherwise(F.lit(LATE)).alias("firing"),
+                        "trigger_seq", F.col("__m.t").alias(time_col), F.col("__m.v").alias(field),
+                        F.col("__m.s").alias("seq"))

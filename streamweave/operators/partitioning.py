@@ -13,6 +13,13 @@ def with_subtask_index(df: DataFrame, key: str = "id") -> DataFrame:
     return df.select(F.col(key), F.spark_partition_id().alias("subtask"))
 
 
+def key_placement(df: DataFrame, n: int, key: str = "id") -> DataFrame:
+    """(key, subtasks, rows): after ``key_by`` with parallelism n, in how
+    many subtasks each key's rows are (one), and how many there are."""
+    placed = with_subtask_index(key_by(df, n, key), key)
+    return placed.groupBy(key).agg(F.count_distinct("subtask").alias("subtasks"), F.count(F.lit(1)).alias("rows"))
+
+
 def map_partitions_with_resource(df: DataFrame, open_fn: Callable[[], object],
                                  map_fn: Callable[[object, pd.DataFrame], pd.DataFrame],
                                  close_fn: Callable[[object], None], schema) -> DataFrame:
@@ -49,8 +56,9 @@ def shuffle(df: DataFrame, n: int) -> DataFrame:
 
 
 def global_partition(df: DataFrame) -> DataFrame:
-    """U4 ``global()``: everything in one partition. For small results only."""
-    return df.coalesce(1)
+    """U4 ``global()``: everything in one partition. For small results only.
+    A shuffle, so the work before it stays in as many tasks as it had."""
+    return df.repartition(1)
 
 
 def key_by(df: DataFrame, n: int, *keys: str) -> DataFrame:

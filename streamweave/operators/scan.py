@@ -53,15 +53,22 @@ class Scan:
     default: object = None
 
 
-def seq_chunks(seq_col: str, width: int = DEFAULT_CHUNK_ROWS, shift: int = 0) -> Column:
+def seq_chunks(seq_col: str, width: int = DEFAULT_CHUNK_ROWS) -> Column:
     """Chunk id for arrival order: at most ``width`` seq values per chunk.
 
     For a dense seq (0, 1, 2, ...) that bounds a (key, chunk) to ``width``
-    rows. A bit-packed seq (``major << shift | minor``) is chunked on its
-    major part: ``shift`` drops the minor bits first and ``width`` then
-    counts majors (e.g. documents of a word stream). ``div`` truncates, so
-    the chunk id is monotone in seq, as the scan requires."""
-    return F.expr(f"shiftright(`{seq_col}`, {int(shift)}) div {int(width)}")
+    rows. ``div`` truncates, so the chunk id is monotone in seq, as the scan
+    requires. In a longer order (documents, lines, words) the first column
+    is chunked: ``width`` then counts documents."""
+    return F.expr(f"`{seq_col}` div {int(width)}")
+
+
+def order_chunks(order: list[str], width: int = DEFAULT_CHUNK_ROWS) -> Column | list[Column]:
+    """Chunks of an arrival order: of one column (``seq``), or of the leading
+    columns as they are with the last one cut (a topic's ``partition,
+    offset``: a chunk holds ``width`` offsets of one partition)."""
+    cut = seq_chunks(order[-1], width)
+    return cut if len(order) == 1 else [*map(F.col, order[:-1]), cut]
 
 
 def time_chunks(ms_col: str, width_ms: int) -> Column:
@@ -95,17 +102,23 @@ def _surrogates(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
 _NULL_CHUNK = -(1 << 63)
 
 
-def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column | None,
-               scans: list[Scan], carry: bool = False) -> DataFrame:
+def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column | list[Column] | None,
+               scans: list[Scan], carry: bool = False, one_pass: bool = False) -> DataFrame:
     """Append the running columns of ``scans`` to ``df`` (one row per input).
 
     ``order`` must be a total order within a key (end it with ``seq``), and
-    ``chunk`` a monotone non-decreasing function of it.
+    ``chunk`` a monotone non-decreasing function of it; a list of columns is
+    compared in order (see ``order_chunks``).
 
     ``carry=True`` keeps the (key, chunk) partition columns in the output;
     a following scan over the same keys and chunks passes ``chunk=None`` to
     reuse them, and Spark then sees that the rows are already partitioned
     by them: the second scan adds no shuffle of the data.
+
+    ``one_pass=True`` (counts and sums) takes the totals from the chunks'
+    running values instead of a second pass over ``df``. Use it when ``df``
+    is costly to make and holds no column but keys, order and summed ones:
+    then both branches need the same columns and Spark reuses the exchange.
     """
     if chunk is None:
         base = df
@@ -114,11 +127,21 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column |
             raise ValueError("chunk=None needs the columns of a previous scan with carry=True")
     else:
         base, sk = _surrogates(df, list(keys))
-        base = base.withColumn("__chunk", F.coalesce(chunk, F.lit(_NULL_CHUNK)))
+        base = base.withColumn("__chunk", F.struct(*chunk) if isinstance(chunk, list)
+                               else F.coalesce(chunk, F.lit(_NULL_CHUNK)))
     part = sk + ["__chunk"]
+    whole = {}
+    if one_pass and "__knull" in sk:  # the key travels once, as its stand-in
+        whole = {keys[0]: F.when(~F.col("__knull"), F.col("__key")).alias(keys[0])}
+        base = base.drop(keys[0])
     w_in = Window.partitionBy(*part).orderBy(*order)
     w_run = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    order_key = F.struct(*[F.col(c) for c in order])
+    # A single whole-number order column orders the summaries by itself:
+    # primitive buffers, so the partial aggregate hashes instead of sorting.
+    if len(order) == 1 and base.schema[order[0]].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint"):
+        order_key = F.coalesce(F.col(order[0]).cast("bigint"), F.lit(_NULL_CHUNK))
+    else:
+        order_key = F.struct(*[F.col(c) for c in order])
 
     # In-chunk running values, and the per-(key, chunk) totals. The totals
     # come from ``base`` with map-side partial aggregation: their shuffle is
@@ -145,16 +168,24 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column |
             summary.append(F.max(s.expr).alias(f"__t_{n}"))
         elif s.kind == "lag":
             inner[n] = F.lag(F.struct(s.expr.alias("v")), 1).over(w_in)
-            summary.append(F.max_by(F.struct(s.expr.alias("v")), order_key).alias(f"__t_{n}"))
+            summary.append(F.max_by(s.expr, order_key).alias(f"__t_{n}"))
         elif s.kind == "first":
-            summary.append(F.min_by(F.struct(s.expr.alias("v")), order_key).alias(f"__t_{n}"))
+            summary.append(F.min_by(s.expr, order_key).alias(f"__t_{n}"))
         elif s.kind == "total_max":
             summary.append(F.max(s.expr).alias(f"__t_{n}"))
         else:
             raise ValueError(f"unknown scan kind {s.kind}")
 
     windowed = base.select("*", *[c.alias(f"__i_{n}") for n, c in inner.items()])
-    summ = base.groupBy(*part).agg(*summary)
+    if one_pass:
+        if any(s.kind not in ("count", "sum") for s in scans):
+            raise ValueError("one_pass takes counts and sums")
+        # A running count's last value is its largest.
+        last = [(F.max(f"__i_{s.name}") if s.kind == "count" else F.max_by(f"__i_{s.name}", order_key)).alias(f"__t_{s.name}")
+                for s in scans]
+        summ = windowed.groupBy(*part).agg(*last)
+    else:
+        summ = base.groupBy(*part).agg(*summary)
     w_c = Window.partitionBy(*sk).orderBy("__chunk")
     before = w_c.rowsBetween(Window.unboundedPreceding, -1)
     prefix = []
@@ -167,9 +198,9 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column |
         elif s.kind == "min":
             prefix.append(F.min(t).over(before).alias(f"__p_{s.name}"))
         elif s.kind == "lag":
-            prefix.append(F.lag(t, 1).over(w_c).alias(f"__p_{s.name}"))
+            prefix.append(F.lag(F.struct(t.alias("v")), 1).over(w_c).alias(f"__p_{s.name}"))
         elif s.kind == "first":
-            prefix.append(F.first(t).over(w_c.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+            prefix.append(F.first(F.struct(t.alias("v"))).over(w_c.rowsBetween(Window.unboundedPreceding, Window.currentRow))
                           .alias(f"__p_{s.name}"))
         elif s.kind == "total_max":
             prefix.append(F.max(t).over(w_c.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
@@ -199,4 +230,4 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column |
             val = p.getField("v")
         out.append(val.alias(n))
     carried = part if (carry and chunk is not None) else []
-    return joined.select(*df.columns, *carried, *out)
+    return joined.select(*[whole.get(c, F.col(c)) for c in df.columns], *carried, *out)

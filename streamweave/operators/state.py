@@ -1,6 +1,6 @@
 """Keyed and operator state in bounded form.
 
-ST1 running count, ST2 count per key, ST4 list state size, ST6 reducing
+ST1 running count, ST2 count per key, ST4 list state (last n values), ST6 reducing
 state (= A5), ST7 temperature jump alert, ST11 de-duplicating filter.
 All running forms are chunked scans; de-duplication is a partial
 aggregate. The streaming forms are in ``streamweave.streaming``.
@@ -10,9 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from streamweave.operators.scan import DEFAULT_CHUNK_ROWS, Scan, keyed_scan, seq_chunks
+from streamweave.operators.scan import DEFAULT_CHUNK_ROWS, Scan, keyed_scan, order_chunks, seq_chunks
 
 
 def running_count(df: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
@@ -22,17 +22,29 @@ def running_count(df: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFr
     return keyed_scan(df, [], ["seq"], seq_chunks("seq", chunk_rows), [Scan("count", "count")])
 
 
-def count_per_key(df: DataFrame, key: str = "id", chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """ST2 ValueState counter: per input, the count of its key so far."""
-    return keyed_scan(df, [key], ["seq"], seq_chunks("seq", chunk_rows), [Scan("count", "count")])
+def count_per_key(df: DataFrame, key: str = "id", chunk_rows: int = DEFAULT_CHUNK_ROWS,
+                  order: Sequence[str] = ("seq",)) -> DataFrame:
+    """ST2 ValueState counter: per input, the count of its key so far.
+    ``order``: the arrival order, e.g. (partition, offset) of a topic."""
+    return keyed_scan(df, [key], list(order), order_chunks(list(order), chunk_rows), [Scan("count", "count")])
 
 
-def list_state_size(df: DataFrame, key: str = "id", chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """ST4 ListState: each element sees the list before its own add; the
-    bounded form reports that list's length (its content is one constant
-    per element in the reference), which keeps output linear in the input."""
-    out = keyed_scan(df, [key], ["seq"], seq_chunks("seq", chunk_rows), [Scan("__n", "count")])
-    return out.withColumn("list_size_before", F.col("__n") - 1).drop("__n")
+def last_values(df: DataFrame, n: int = 3, key: str = "id", field: str = "temperature",
+                block_rows: int = DEFAULT_CHUNK_ROWS, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """ST4 ListState: each element sees the list before its own add; the list
+    keeps its last ``n`` values. Output: the row, ``values`` (oldest first)
+    and ``list_size_before`` (how many the key has had so far).
+
+    Rows are numbered per key, cut into blocks of ``block_rows`` with a halo
+    of ``n`` rows from the block before, and each block builds its lists."""
+    numbered = keyed_scan(df, [key], ["seq"], seq_chunks("seq", chunk_rows), [Scan("__rn", "count")])
+    pos = F.expr(f"(__rn - 1) % {int(block_rows)}")
+    copies = F.when(pos >= block_rows - n, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    blocks = (numbered.withColumn("__copy", F.explode(copies))
+              .withColumn("__blk", F.expr(f"(__rn - 1) div {int(block_rows)}") + F.col("__copy")))
+    w = Window.partitionBy(key, "__blk").orderBy("__rn").rowsBetween(-n, -1)
+    return (blocks.withColumn("values", F.collect_list(field).over(w)).where("__copy = 0")
+            .select(*df.columns, "values", (F.col("__rn") - 1).alias("list_size_before")))
 
 
 def temperature_jumps(df: DataFrame, threshold: float = 10.0, key: str = "id", field: str = "temperature",
@@ -45,11 +57,22 @@ def temperature_jumps(df: DataFrame, threshold: float = 10.0, key: str = "id", f
             .select(key, "lastTemp", F.col(field).alias("temperature"), "seq"))
 
 
-def dedup_first(df: DataFrame, keys: Sequence[str], order: str = "seq") -> DataFrame:
+_FIXED_WIDTH = ("bigint", "int", "smallint", "tinyint", "double", "float", "boolean", "date", "timestamp", "timestamp_ntz")
+
+
+def dedup_first(df: DataFrame, keys: Sequence[str], order: str | Sequence[str] = "seq") -> DataFrame:
     """ST11 stateful de-duplicating filter: the first row (by ``order``) of
-    each key passes. A min over struct(order, row) is partially aggregated
-    map-side, so a hot key sends one row per map task."""
-    rest = [c for c in df.columns if c != order]
-    agg = F.min(F.struct(F.col(order).alias("__o"), *[F.col(c) for c in rest])).alias("__f")
-    return df.groupBy(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)]).agg(agg).select(
-        *[F.col("__f").getField(c).alias(c) for c in rest], F.col("__f.__o").alias(order)).select(*df.columns)
+    each key passes. Partially aggregated map-side, so a hot key sends one
+    row per map task. With one order column and fixed-width columns beside the
+    keys the aggregate hashes (``min_by`` per column); other rows, or an order
+    of several columns such as (partition, offset), are compared as structs,
+    for which map tasks sort first."""
+    order = [order] if isinstance(order, str) else list(order)
+    types = dict(df.dtypes)
+    rest = [c for c in df.columns if c not in order and c not in keys]
+    if len(order) == 1 and all(types[c] in _FIXED_WIDTH for c in [*rest, *order]):
+        first = [F.min(order[0]).alias(order[0])] + [F.min_by(c, order[0]).alias(c) for c in rest]
+        return df.groupBy(*keys).agg(*first).select(*df.columns)
+    agg = F.min(F.struct(*order, *[c for c in df.columns if c not in order])).alias("__f")
+    return (df.groupBy(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)]).agg(agg)
+            .select(*[F.col("__f").getField(c).alias(c) for c in df.columns]))

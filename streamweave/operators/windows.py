@@ -3,19 +3,19 @@
 Time windows are Spark's ``window`` / ``session_window`` columns over an
 event-time TIMESTAMP, epoch-aligned like the reference's; results carry
 ``window_start`` / ``window_end`` as epoch milliseconds, as the
-reference's ``windowEnd`` does. Count windows and session windows over
-keys use ``keyed_scan`` so a hot key is split into chunks.
+reference's ``windowEnd`` does. Count windows use ``keyed_scan`` so a hot
+key is split into chunks; session windows merge chunk by chunk of time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
 from streamweave.functions.time import duration_ms, spark_interval
-from streamweave.operators.scan import DEFAULT_CHUNK_ROWS, Scan, keyed_scan, seq_chunks, time_chunks
+from streamweave.operators.scan import DEFAULT_CHUNK_ROWS, Scan, keyed_scan, order_chunks, seq_chunks
 
 DEFAULT_CHUNK_MS = 3_600_000  # event-time chunk of a keyed scan: one hour
 
@@ -52,39 +52,53 @@ def processing_time_window(df: DataFrame, size: str) -> DataFrame:
 
 def session_windows(df: DataFrame, key: str, gap: str, time_col: str = "timestamp",
                     chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame:
-    """W4 session windows per key: a new session starts when the gap to the
-    key's previous event (by time, then seq) is >= ``gap``.
+    """W4 session windows per key: a session goes on while the gap to the
+    key's previous event is <= ``gap`` (touching sessions merge, as in
+    ``session_window`` and in the stream form).
 
     Output: (key, session_start, session_end = last event + gap, count),
-    times in epoch ms. Unlike ``session_window`` in a batch plan, which
-    sorts all rows of a key in one task, both passes are chunked scans.
+    times in epoch ms. Three steps over ever smaller tables: rows of one
+    (key, time) are counted map-side; inside a chunk of time they become the
+    chunk's own sessions; those are merged along the key. No step's groups
+    grow with the number of rows: a chunk has at most ``chunk_ms`` distinct
+    times, and chunk_ms / gap + 1 sessions go on to the merge.
     """
     g = duration_ms(gap)
-    order = [time_col, "seq"]
-    chunk = time_chunks(time_col, chunk_ms)
-    s1 = keyed_scan(df, [key], order, chunk, [Scan("__prev", "lag", F.col(time_col))], carry=True)
-    s1 = s1.withColumn("__start", F.when(F.col("__prev").isNull() | (F.col(time_col) - F.col("__prev") >= g),
-                                         F.col(time_col)))
-    s2 = keyed_scan(s1, [key], order, None, [Scan("session_start", "max", F.col("__start"))])
-    return (s2.groupBy(key, "session_start")
-            .agg(F.max(time_col).alias("__last"), F.count(F.lit(1)).alias("count"))
-            .select(key, "session_start", (F.col("__last") + F.lit(g)).alias("session_end"), "count"))
+    times = df.groupBy(key, F.col(time_col).cast("bigint").alias("__t")).agg(F.count(F.lit(1)).alias("__n"))
+    times = times.withColumn("__chunk", F.expr(f"__t div {int(chunk_ms)}"))
+
+    def merged(spans: DataFrame, part: list[str]) -> DataFrame:
+        """(first, last, n) spans in order -> maximal groups of spans within the gap."""
+        w = Window.partitionBy(*part).orderBy("__first")
+        so_far = w.rowsBetween(Window.unboundedPreceding, -1)
+        new = F.coalesce(F.col("__first") - F.max("__last").over(so_far) > g, F.lit(True))
+        ids = spans.withColumn("__new", F.when(new, F.col("__first")))
+        ids = ids.withColumn("__id", F.max("__new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        return ids.groupBy(*part, "__id").agg(F.min("__first").alias("__first"), F.max("__last").alias("__last"),
+                                              F.sum("__n").alias("__n")).drop("__id")
+
+    spans = merged(times.select(key, "__chunk", F.col("__t").alias("__first"), F.col("__t").alias("__last"), "__n"),
+                   [key, "__chunk"])
+    return merged(spans.drop("__chunk"), [key]).select(
+        key, F.col("__first").alias("session_start"), (F.col("__last") + F.lit(g)).alias("session_end"),
+        F.col("__n").alias("count"))
 
 
 def count_window(df: DataFrame, key: str = "id", size: int = 10, slide: int = 2,
                  field: str = "temperature", chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                 block_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                 block_rows: int = DEFAULT_CHUNK_ROWS, order: Sequence[str] = ("seq",)) -> DataFrame:
     """W5 ``countWindow(size, slide)``: at every ``slide``-th row of a key,
     the last ``size`` rows at most; an incomplete tail never fires.
 
-    Output per firing: (key, seq of the firing row, size, min/max of
-    ``field``, and the reference's text ``id + size``). Rows are numbered per key with a chunked scan, then cut into
+    Output per firing: (key, order columns of the firing row, size, min/max
+    of ``field``, and the text ``id + size``). Rows are numbered per key with a chunked scan, then cut into
     blocks of ``block_rows`` with a halo of ``size - 1`` rows copied from
     the previous block, so each frame is computed inside one block.
     """
     if block_rows < size:
         raise ValueError("block_rows must be >= size")
-    numbered = keyed_scan(df, [key], ["seq"], seq_chunks("seq", chunk_rows), [Scan("__rn", "count")])
+    order = list(order)
+    numbered = keyed_scan(df, [key], order, order_chunks(order, chunk_rows), [Scan("__rn", "count")])
     pos = F.expr(f"(__rn - 1) % {int(block_rows)}")
     # Each row goes to its block; the last size-1 rows of a block are also
     # copied (as halo) into the next one. One pass, no union of two plans.
@@ -94,7 +108,7 @@ def count_window(df: DataFrame, key: str = "id", size: int = 10, slide: int = 2,
               .withColumn("__halo", F.col("__copy") == 1))
     w = Window.partitionBy(key, "__blk").orderBy("__rn").rowsBetween(-(size - 1), Window.currentRow)
     return (blocks
-            .select(key, "seq", "__rn", "__halo",
+            .select(key, *order, "__rn", "__halo",
                     F.count(F.lit(1)).over(w).alias("size"),
                     F.min(field).over(w).alias(f"min_{field}"),
                     F.max(field).over(w).alias(f"max_{field}"))
@@ -146,7 +160,7 @@ def early_firing(df: DataFrame, size: str, every: int, key: str = "id", field: s
 
 
 def keep_last(df: DataFrame, size: str, m: int, key: str = "id", field: str = "temperature",
-              time_col: str = "timestamp", scale: int | None = 2) -> DataFrame:
+              time_col: str = "timestamp", scale: int | None = None) -> DataFrame:
     """W12 (re-aimed evictor): keep the last ``m`` arrivals of each (key,
     window), then aggregate. The rank filter is planned as a partial
     WindowGroupLimit before the shuffle, so at most m rows per group move."""

@@ -22,13 +22,12 @@ LOGINS = ("SELECT user_id AS userId, CAST(NULL AS VARCHAR) AS ip, "
           "CASE WHEN event_type = 'error' THEN 'fail' ELSE 'success' END AS loginState, "
           "epoch_us(ts) // 1000000 AS timestamp, event_id AS seq FROM events")
 
-LINES = ("SELECT doc_id, CAST(line_no AS BIGINT) - 1 AS line_no, value, "
-         "(doc_id << 20) | (CAST(line_no AS BIGINT) - 1) AS seq FROM ("
+LINES = ("SELECT doc_id, CAST(line_no AS BIGINT) - 1 AS line_no, value FROM ("
          "SELECT doc_id, unnest(string_split(text, chr(10))) AS value, "
          "generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents)")
 
 # Java split(" "): trailing empty strings dropped, a line of spaces has no words.
-WORDS = ("SELECT word, (doc_id << 34) + (line_no << 17) + CAST(pos AS BIGINT) - 1 AS seq FROM ("
+WORDS = ("SELECT doc_id, line_no, CAST(pos AS INTEGER) - 1 AS pos, word FROM ("
          "SELECT doc_id, line_no, unnest(parts) AS word, generate_subscripts(parts, 1) AS pos FROM ("
          "SELECT doc_id, line_no, CASE WHEN value <> '' AND rtrim(value, ' ') = '' THEN []::VARCHAR[] "
          "ELSE string_split(rtrim(value, ' '), ' ') END AS parts FROM lines))")

@@ -1,8 +1,9 @@
 """E1 hot items and E2 de-duplicated hot items (bounded forms).
 
 read -> parse -> event time -> keep ``pv`` -> per-item sliding count ->
-top n per window -> text. The filter and projection reach the Parquet
-scan; the sliding Expand runs before the partial aggregate, so the shuffle
+top n per window -> text. The projection reaches the Parquet scan; so does
+the filter if the caller maps ``testdata.pageviews``, which filters the raw
+column (a filter on the mapped ``behavior`` cannot be pushed). The sliding Expand runs before the partial aggregate, so the shuffle
 carries one row per (item, window) per map task; the top-n is a
 two-phase WindowGroupLimit.
 """
@@ -11,7 +12,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from streamweave.operators.state import dedup_first
 from streamweave.operators.topn import hot_items_text, hot_items_top_n
 from streamweave.operators.windows import item_view_counts, window_columns
 
@@ -41,6 +41,6 @@ def hot_items_lines(behaviors: DataFrame, **kw) -> DataFrame:
 def dedup_hot_items(behaviors: DataFrame, size: str = "5 hours", slide: str = "2 hours", n: int = 5,
                     behavior: str = "pv") -> DataFrame:
     """As E1 with the (itemId, timestamp) de-duplicating filter first."""
-    pv = behaviors.where(F.col("behavior") == behavior).select("itemId", "timestamp", "seq")
-    first = dedup_first(pv, ["itemId", "timestamp"])
+    # The key is all that the counts need, so the first of each key is the key.
+    first = behaviors.where(F.col("behavior") == behavior).select("itemId", "timestamp").distinct()
     return hot_items_top_n(item_view_counts(first, size, slide), n)

@@ -3,7 +3,7 @@ streaming job (ST15) over a folder of text files."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from streamweave.operators.aggregates import rolling_word_count, word_count
 from streamweave.operators.transforms import split_words
@@ -12,9 +12,8 @@ from streamweave.streaming.runner import IdempotentParquetSink, start
 
 
 def words_of_text_lines(lines: DataFrame) -> DataFrame:
-    """Words of ``read_lines`` output; seq = line seq << 20 | position."""
-    w = split_words(lines)
-    return w.select("word", (F.shiftleft(F.col("seq"), 20) + F.col("pos")).alias("seq"))
+    """Words of ``read_lines`` output: (seq of the line, pos, word)."""
+    return split_words(lines)
 
 
 def batch_word_count(spark: SparkSession, path: str) -> DataFrame:
@@ -22,7 +21,7 @@ def batch_word_count(spark: SparkSession, path: str) -> DataFrame:
 
 
 def rolling_text_word_count(spark: SparkSession, path: str) -> DataFrame:
-    return rolling_word_count(words_of_text_lines(read_lines(spark, path)), doc_shift=20, docs_per_chunk=1 << 20)
+    return rolling_word_count(words_of_text_lines(read_lines(spark, path)), order=("seq", "pos"), per_chunk=1 << 16)
 
 
 def stream_word_count(spark: SparkSession, folder: str, out: str, checkpoint: str,
@@ -30,8 +29,6 @@ def stream_word_count(spark: SparkSession, folder: str, out: str, checkpoint: st
     """Counts per word over text files arriving in ``folder``; update mode
     into an idempotent per-batch sink; resumable from ``checkpoint``."""
     lines = read_lines_stream(spark, folder)
-    words = lines.select(F.explode(F.split(F.rtrim("value"), " ", -1)).alias("word"),
-                         F.col("value").alias("__v")).where(~((F.col("__v") != "") & (F.rtrim("__v") == "")))
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    counts = word_count(split_words(lines))
     return start(counts, IdempotentParquetSink(out), checkpoint, output_mode="update",
                  trigger_interval=trigger_interval, available_now=available_now)

@@ -6,8 +6,6 @@ Library code never creates a session on its own; callers pass one in.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -39,15 +37,15 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator and is used as is. Only when
-    it is unset (local tests) a scratch folder is made and registered.
-    """
+    Driver and executors must both see it, so there is no fallback to a
+    machine's own temporary folder: an unset setting is an error (tests and
+    the bench pass a folder of their own)."""
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="streamweave-ckpt-")
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(path)
     return sc._jsc.sc().getCheckpointDir().get()

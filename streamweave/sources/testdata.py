@@ -3,8 +3,9 @@
 readings   events -> SensorReading(id, timestamp ms, temperature, seq)
 behaviors  events -> UserBehavior(userId, itemId, categoryId, behavior, timestamp s, seq)
 logins     events -> LoginEvent(userId, ip, loginState, timestamp s, seq)
-lines      documents -> text lines (doc_id, line_no, value, seq)
-words      lines -> one row per word, Java split semantics (D1)
+pageviews  behaviors of one kind, filtered on the raw column (pushed down)
+lines      documents -> text lines (doc_id, line_no, value)
+words      lines -> one row per word (doc_id, line_no, pos, word), D1
 readings_shuffled  readings in a permuted arrival order (late data tests)
 
 All time conversions are time-zone independent (NTZ arithmetic).
@@ -14,14 +15,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from streamweave.functions.text import java_split_words
 from streamweave.functions.time import epoch_ms, epoch_seconds
+from streamweave.operators.transforms import split_words
 
-# Fixed values shared with the SQL oracles: bit layout of derived seq numbers
-# and the arrival permutation used for late-data tests.
-LINE_SHIFT = 20          # lines: seq = doc_id << 20 | line_no
-WORD_DOC_SHIFT = 34      # words: seq = doc_id << 34 | line_no << 17 | word_pos
-WORD_LINE_SHIFT = 17
+# Fixed values shared with the SQL oracles: the arrival permutation used for
+# late-data tests.
 SHUFFLE_MULT = 7919
 SHUFFLE_MOD = 61
 
@@ -94,27 +92,23 @@ def logins_of(ev: DataFrame) -> DataFrame:
         F.col("event_id").alias("seq"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan with fewer partitions than the cluster has cores (one
-    large row group) before CPU-heavy narrow work such as splitting text.
-    Partition counts come from planning, not from a job; on a big input the
-    scan is already wide and nothing is added."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- e.g. Spark Connect has no RDD view; then leave the plan as is
-        return df
-    return df.repartition(cores) if parts < cores else df
+def pageviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pageviews_of(table(spark, sf_dir, "events"))
+
+
+def pageviews_of(ev: DataFrame) -> DataFrame:
+    """behaviors whose behavior is ``pv``. The raw values that map to it are
+    filtered first, so the Parquet scan skips row groups without them."""
+    return behaviors_of(ev.where(F.col("event_type").isin("view", "pv")))
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_of(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return lines_of(table(spark, sf_dir, "documents"))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
     return (docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "value"))
-            .select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "value",
-                    F.shiftleft(F.col("doc_id"), LINE_SHIFT).bitwiseOR(F.col("line_no")).alias("seq")))
+            .select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "value"))
 
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +116,4 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def words_of(ln: DataFrame) -> DataFrame:
-    return (ln.select("doc_id", "line_no", F.posexplode(java_split_words(F.col("value"))).alias("pos", "word"))
-            .select("word",
-                    (F.shiftleft(F.col("doc_id"), WORD_DOC_SHIFT)
-                     + F.shiftleft(F.col("line_no"), WORD_LINE_SHIFT) + F.col("pos")).alias("seq")))
+    return split_words(ln, keep=("doc_id", "line_no"))

@@ -96,7 +96,8 @@ def register_csv_table(spark: SparkSession, path: str, name: str,
 def register_csv_stream(spark: SparkSession, path: str, name: str,
                         schema: StructType = schemas.CSV_SENSOR_TABLE) -> DataFrame:
     """S11 streaming: the same table over files arriving in a folder."""
-    df = spark.readStream.schema(schema).option("mode", "FAILFAST").csv(path)
+    df = spark.readStream.schema(schema).option("mode", "FAILFAST").option("ignoreLeadingWhiteSpace", "true") \
+        .option("ignoreTrailingWhiteSpace", "true").csv(path)
     df.createOrReplaceTempView(name)
     return df
 

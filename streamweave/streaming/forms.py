@@ -3,8 +3,12 @@
 Sources are file streams (parquet or text folders); Kafka and sockets are
 in ``streamweave.sources.external``. Event time is a TIMESTAMP column
 ``event_time`` (watermarks reject TIMESTAMP_NTZ). Windows emit in append
-mode when the watermark passes their end; the last windows of a bounded
-replay stay open unless a later row advances the watermark.
+mode when the watermark passes their end; the windows that a bounded
+replay leaves open are read from the query's state (``open_windows``).
+
+Input in ascending time is watermarked one millisecond behind its newest
+row (``ASCENDING``): with no lag at all, rows of a later micro-batch that
+share the newest row's instant would count as late and be dropped.
 """
 
 from __future__ import annotations
@@ -12,11 +16,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streamweave.functions.time import duration_ms, spark_interval
+from streamweave.operators.aggregates import exact_sum
 from streamweave.operators.topn import hot_items_top_n
 from streamweave.sources import testdata as td
+from streamweave.operators.windows import window_columns
+from streamweave.streaming.processors import WindowMin, apply_multi
 from streamweave.streaming.runner import IdempotentParquetSink, run_available_now
 
 
+ASCENDING = "1 millisecond"
+
+
 def events_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None,
                   file_glob: str | None = None) -> DataFrame:
     """Events files arriving in ``folder`` (optionally only names matching
@@ -40,7 +50,7 @@ def _bounds(df: DataFrame) -> DataFrame:
 
 
 def window_counts_stream(df: DataFrame, key: str, size: str, slide: str | None = None,
-                         delay: str = "0 seconds", unit: str = "s") -> DataFrame:
+                         delay: str = ASCENDING, unit: str = "s") -> DataFrame:
     """W1/W3/W8 + A8 on a stream: count per (window, key), append mode."""
     ev = with_event_time(df, unit=unit).withWatermark("event_time", spark_interval(delay))
     win = F.window("event_time", spark_interval(size)) if slide is None else \
@@ -49,16 +59,16 @@ def window_counts_stream(df: DataFrame, key: str, size: str, slide: str | None =
 
 
 def window_sum_stream(readings: DataFrame, size: str, key: str = "id", field: str = "temperature",
-                      delay: str = "0 seconds", scale: int | None = 2) -> DataFrame:
+                      delay: str = ASCENDING, scale: int | None = None) -> DataFrame:
     """A7 on a stream: sum of ``field`` per (window, key), append mode."""
     ev = with_event_time(readings).withWatermark("event_time", spark_interval(delay))
-    total = F.sum(F.col(field).cast(f"decimal(18,{scale})")).cast("double") if scale is not None else F.sum(field)
-    agg = ev.groupBy(F.window("event_time", spark_interval(size)), key).agg(total.alias(f"sum_{field}"))
+    agg = ev.groupBy(F.window("event_time", spark_interval(size)), key).agg(
+        exact_sum(F.col(field), scale).alias(f"sum_{field}"))
     return _bounds(agg).select("window_start", "window_end", key, f"sum_{field}")
 
 
 def distinct_buckets_stream(df: DataFrame, key: str, size: str, slide: str, bucket: int = 1000,
-                            delay: str = "0 seconds") -> DataFrame:
+                            delay: str = ASCENDING) -> DataFrame:
     """A9 on a stream: distinct ``timestamp / bucket`` per (window, key).
     Streaming has no distinct aggregate; two chained stateful aggregations
     do it: count per (window, key, bucket), then rows per (window, key)."""
@@ -73,7 +83,7 @@ def distinct_buckets_stream(df: DataFrame, key: str, size: str, slide: str, buck
 def hot_items_counts_stream(behaviors: DataFrame, size: str = "5 hours", slide: str = "2 hours") -> DataFrame:
     """E1 stage 1: ItemViewCount rows, final per window (ascending time, T3)."""
     pv = behaviors.where(F.col("behavior") == "pv").select("itemId", "timestamp")
-    c = window_counts_stream(pv, "itemId", size, slide, "0 seconds", unit="s")
+    c = window_counts_stream(pv, "itemId", size, slide, unit="s")
     return c.select("itemId", F.col("window_end").alias("windowEnd"), "count")
 
 
@@ -82,7 +92,7 @@ def dedup_hot_items_counts_stream(behaviors: DataFrame, size: str = "5 hours",
     """E2 stage 1: (itemId, timestamp) de-duplicated within the watermark,
     then sliding counts; two chained stateful operators."""
     pv = behaviors.where(F.col("behavior") == "pv").select("itemId", "timestamp")
-    ev = with_event_time(pv, unit="s").withWatermark("event_time", "0 seconds")
+    ev = with_event_time(pv, unit="s").withWatermark("event_time", ASCENDING)
     first = ev.dropDuplicatesWithinWatermark(["itemId", "timestamp"])
     win = F.window("event_time", spark_interval(size), spark_interval(slide))
     c = _bounds(first.groupBy(win, "itemId").agg(F.count(F.lit(1)).alias("count")))
@@ -97,12 +107,24 @@ def hot_items_sink(path: str, n: int = 5) -> IdempotentParquetSink:
     return IdempotentParquetSink(path, lambda b: hot_items_top_n(b, n))
 
 
+def open_windows(spark: SparkSession, checkpoint: str, key: str) -> DataFrame:
+    """(key, window_end, count) of the windows a stopped ``window_counts_stream``
+    has not emitted yet: what its state still holds."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select(F.col(f"key.{key}").alias(key), F.unix_millis(F.col("key.window.end")).alias("window_end"),
+                        F.col("value.count").alias("count"))
+
+
 def hot_items_stream_run(spark: SparkSession, sf_dir: str, out_dir: str, max_files_per_trigger: int | None = None):
-    """Hot items over the events file as a stream, to completion."""
+    """Hot items over the events file as a stream, to completion: every window
+    is emitted when the watermark passes it, and at the end of the input the
+    open ones are flushed from the state, as one more batch of the sink."""
     ev = events_stream(spark, sf_dir, max_files_per_trigger, file_glob="events.parquet")
-    counts = hot_items_counts_stream(td.behaviors_of(ev))
-    sink = hot_items_sink(f"{out_dir}/out")
-    run_available_now(counts, sink, f"{out_dir}/checkpoint")
+    counts = hot_items_counts_stream(td.pageviews_of(ev))
+    sink, checkpoint = hot_items_sink(f"{out_dir}/out"), f"{out_dir}/checkpoint"
+    run_available_now(counts, sink, checkpoint)
+    rest = open_windows(spark, checkpoint, "itemId").withColumnRenamed("window_end", "windowEnd")
+    sink(rest, sink.last_batch(spark) + 1)
     return sink
 
 
@@ -113,24 +135,33 @@ def word_count_stream(lines: DataFrame) -> DataFrame:
     return w.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
-def window_min_stream(readings: DataFrame, size: str, delay: str, lateness: str = "0 ms") -> DataFrame:
-    """minBy per (id, window); watermark = delay + lateness,
-    update mode re-emits a window when a (late but allowed) row changes it."""
-    wm = f"{duration_ms(delay) + duration_ms(lateness)} milliseconds"
-    ev = with_event_time(readings).withWatermark("event_time", wm)
-    rec = F.struct(F.col("temperature").alias("v"), F.col("seq").alias("s"), F.col("timestamp").alias("t"))
-    agg = ev.groupBy(F.window("event_time", spark_interval(size)), "id").agg(F.min(rec).alias("m"))
-    return _bounds(agg).select("id", "window_start", "window_end", F.col("m.t").alias("timestamp"),
-                               F.col("m.v").alias("temperature"), F.col("m.s").alias("seq"))
-
-
-def dedup_stream(df: DataFrame, keys: list[str], delay: str = "0 seconds", unit: str = "s") -> DataFrame:
-    """ST11 on a stream: first row per key within the watermark."""
+def window_min_stream(readings: DataFrame, size: str, delay: str = "1 millisecond", lateness: str = "0 ms") -> DataFrame:
+    """The firings of minBy per (id, window), as in
+    ``operators.lateness``: one result when the watermark (newest time -
+    ``delay``) passes the window, one more for each late row that is still
+    allowed. Rows that are too late come out as ``too_late`` with their own
+    values (W10): one stateful query, no second watermark beside the
+    engine's. Needs the RocksDB state store.
+
+    The engine's watermark runs ``size + lateness`` behind the window
+    clock, so it drops no row of a window that may still fire; a row later
+    than that has been too late for long, and the engine counts it as dropped.
+    """
+    size_ms, late_ms = duration_ms(size), duration_ms(lateness)
+    wm = f"{duration_ms(delay) + late_ms + size_ms} milliseconds"
+    rows = window_columns(readings, "timestamp", size)
+    rows = with_event_time(rows).withWatermark("event_time", wm)
+    return apply_multi(rows, ["id", "window_start"], WindowMin(size_ms, late_ms), WindowMin.schema(), "EventTime")
+
+
+def dedup_stream(df: DataFrame, keys: list[str], delay: str = ASCENDING, unit: str = "s") -> DataFrame:
+    """ST11 on a stream: first row per key within the watermark (with a
+    delay above 0: see ``ASCENDING``)."""
     ev = with_event_time(df, unit=unit).withWatermark("event_time", spark_interval(delay))
     return ev.dropDuplicatesWithinWatermark(keys).drop("event_time")
 
 
-def session_stream(readings: DataFrame, gap: str, delay: str = "0 seconds") -> DataFrame:
+def session_stream(readings: DataFrame, gap: str, delay: str = ASCENDING) -> DataFrame:
     """W4 on a stream: session windows per id (append)."""
     ev = with_event_time(readings).withWatermark("event_time", spark_interval(delay))
     s = ev.groupBy(F.session_window("event_time", spark_interval(gap)).alias("w"), "id").agg(

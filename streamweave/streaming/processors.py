@@ -3,9 +3,10 @@ streams, one output per input row where the reference emits one.
 
 Rows of one key inside one micro-batch come unordered; each processor
 sorts them (by ``seq``, or by (timestamp, seq) for event-time folds).
-That buffer is bounded by the trigger size (``maxFilesPerTrigger`` /
-``maxBytesPerTrigger``), not by the key's history, which lives in the
-state store (RocksDB: ``runner.use_rocksdb_state``).
+That buffer is bounded by the trigger size, not by the key's history, which
+lives in the state store (RocksDB: ``runner.use_rocksdb_state``): give the
+source ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` when a backlog of
+one key would not fit into a task.
 
 Use with ``df.groupBy(key).transformWithStateInPandas(Processor(...),
 outputStructType=Processor.schema(...), outputMode="Append",
@@ -120,17 +121,19 @@ class CountWindow(StatefulProcessor):
             return
         buf = [t[0] for t in self.buf.get()] if self.buf.exists() else []
         n = self.count.get()[0] if self.count.exists() else 0
-        out = []
-        for seq, temp in zip(b["seq"].tolist(), b["temperature"].tolist()):
-            n += 1
-            buf.append(float(temp))
-            buf = buf[-self.size:]
-            if n % self.slide == 0:
-                out.append((key[0], int(seq), len(buf), min(buf), max(buf), f"{key[0]}{len(buf)}"))
-        self.buf.put([(t,) for t in buf])
-        self.count.update((n,))
-        if out:
-            yield pd.DataFrame(out, columns=["id", "seq", "size", "min_temperature", "max_temperature", "value"])
+        temps = np.concatenate([buf, b["temperature"].to_numpy(float)])
+        # Row i of the batch ends the window of the last ``size`` of temps[:len(buf) + i + 1].
+        padded = np.concatenate([np.full(self.size - 1, np.nan), temps])
+        frames = np.lib.stride_tricks.sliding_window_view(padded, self.size)[len(buf):]
+        fired = np.flatnonzero((n + 1 + np.arange(len(b))) % self.slide == 0)
+        sizes = np.minimum(self.size, len(buf) + 1 + fired)
+        self.buf.put([(float(t),) for t in temps[-self.size:]])
+        self.count.update((n + len(b),))
+        if len(fired):
+            yield pd.DataFrame({
+                "id": key[0], "seq": b["seq"].to_numpy()[fired], "size": sizes,
+                "min_temperature": np.nanmin(frames[fired], axis=1), "max_temperature": np.nanmax(frames[fired], axis=1),
+                "value": [f"{key[0]}{k}" for k in sizes.tolist()]})
 
     def close(self) -> None:
         pass
@@ -375,14 +378,19 @@ class RollingMaxBy(StatefulProcessor):
         b = _batch(rows, ["seq"])
         if b.empty:
             return
-        best = self.best.get() if self.best.exists() else None
-        out = []
-        for ts, temp, s in zip(b["timestamp"].tolist(), b["temperature"].tolist(), b["seq"].tolist()):
-            if best is None or temp > best[1]:
-                best = (int(ts), float(temp), int(s))
-            out.append((int(s), key[0], *best))
-        self.best.update(best)
-        yield pd.DataFrame(out, columns=["input_seq", "id", "timestamp", "temperature", "seq"])
+        names = ["timestamp", "temperature", "seq"]
+        seqs = b["seq"].to_numpy()
+        if self.best.exists():  # the record held so far stands before the batch
+            b = pd.concat([pd.DataFrame([tuple(self.best.get())], columns=names), b[names]], ignore_index=True)
+        temps = b["temperature"].to_numpy(float)
+        before = np.concatenate([[-np.inf], np.maximum.accumulate(temps)[:-1]])
+        leads = temps > before
+        leads[0] = True
+        held = np.maximum.accumulate(np.where(leads, np.arange(len(temps)), 0))
+        out = b[names].iloc[held].reset_index(drop=True)
+        self.best.update((int(out["timestamp"].iloc[-1]), float(out["temperature"].iloc[-1]), int(out["seq"].iloc[-1])))
+        out = out.iloc[len(out) - len(seqs):]
+        yield pd.DataFrame({"input_seq": seqs, "id": key[0], **{c: out[c].to_numpy() for c in names}})
 
     def close(self) -> None:
         pass
@@ -414,6 +422,106 @@ class RollingReduce(StatefulProcessor):
         pass
 
 
+class RollingMax(StatefulProcessor):
+    """A4 ``max(temperature)`` per input row: the running maximum; the other
+    fields stay from the key's first record."""
+
+    @staticmethod
+    def schema() -> str:
+        return "input_seq long, id string, timestamp long, temperature double"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.acc = handle.getValueState("acc", "first_ts long, m double")
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        b = _batch(rows, ["seq"])
+        if b.empty:
+            return
+        ts, start = self.acc.get() if self.acc.exists() else (int(b["timestamp"].iloc[0]), -np.inf)
+        run = np.maximum.accumulate(np.concatenate([[start], b["temperature"].to_numpy(float)]))[1:]
+        self.acc.update((int(ts), float(run[-1])))
+        yield pd.DataFrame({"input_seq": b["seq"].to_numpy(), "id": key[0], "timestamp": int(ts), "temperature": run})
+
+    def close(self) -> None:
+        pass
+
+
+class WindowMin(StatefulProcessor):
+    """W9/E3 per (id, window_start): minBy at the window's close, then once per
+    allowed late row; later rows come out as ``too_late``.
+
+    The engine's watermark runs ``size + lateness`` behind the window clock
+    (see ``forms.window_min_stream``), so the clock is the watermark plus
+    that. The close is an event-time timer; a second one clears the state
+    when the window can take no more rows. Before the first watermark every
+    row is on time."""
+
+    def __init__(self, size_ms: int, late_ms: int):
+        self.size, self.late, self.lag = size_ms, late_ms, size_ms + late_ms
+
+    @staticmethod
+    def schema() -> str:
+        return ("id string, window_start long, window_end long, firing string, trigger_seq long, timestamp long, "
+                "temperature double, seq long")
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.best = handle.getValueState("best", "temperature double, seq long, timestamp long")
+        self.last = handle.getValueState("last", "seq long, closed boolean")
+
+    def _row(self, key, firing, trigger, best):
+        return (key[0], int(key[1]), int(key[1]) + self.size, firing, int(trigger), int(best[2]), float(best[0]), int(best[1]))
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        b = _batch(rows, ["seq"])
+        if b.empty:
+            return
+        end = int(key[1]) + self.size
+        mark = timerValues.getCurrentWatermarkInMs()
+        clock = mark + self.lag if mark > 0 else None
+        out, names = [], [c.split()[0] for c in self.schema().split(", ")]
+        records = list(zip(b["temperature"].tolist(), b["seq"].tolist(), b["timestamp"].tolist()))
+        if clock is not None and clock >= end - 1 + self.late:
+            out = [self._row(key, "too_late", r[1], r) for r in records]
+        elif clock is None or clock < end - 1:
+            best = min([*([tuple(self.best.get())] if self.best.exists() else []), *records])
+            if not self.best.exists():
+                self.handle.registerTimer(end - 1 - self.lag)
+                self.handle.registerTimer(end - 1 + self.late - self.lag)
+            self.best.update(best)
+            self.last.update((int(max(r[1] for r in records)), False))
+        else:
+            if not self.best.exists():  # no on-time row: the window opens late
+                self.handle.registerTimer(end - 1 + self.late - self.lag)
+            elif not self.last.get()[1]:  # rows come before the batch's timers: close the window first
+                out.append(self._row(key, "on_time", self.last.get()[0], tuple(self.best.get())))
+            for r in records:
+                best = min([*([tuple(self.best.get())] if self.best.exists() else []), r])
+                self.best.update(best)
+                self.last.update((int(r[1]), True))
+                out.append(self._row(key, "late", r[1], best))
+        if out:
+            yield pd.DataFrame(out, columns=names)
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
+        close = int(key[1]) + self.size - 1 - self.lag
+        if expiredTimerInfo.getExpiryTimeInMs() > close or self.late == 0:
+            if self.late == 0 and self.last.exists() and not self.last.get()[1]:
+                yield self._frame(key)
+            self.best.clear()
+            self.last.clear()
+        elif self.last.exists() and not self.last.get()[1]:
+            yield self._frame(key)
+            self.last.update((int(self.last.get()[0]), True))
+
+    def _frame(self, key):
+        return pd.DataFrame([self._row(key, "on_time", self.last.get()[0], tuple(self.best.get()))],
+                            columns=[c.split()[0] for c in self.schema().split(", ")])
+
+    def close(self) -> None:
+        pass
+
+
 class EarlyFiring(StatefulProcessor):
     """W11 on a stream: per (id, window_start) emit the running count and max
     at every ``every``-th arrival; an event-time timer at the window end plus
@@ -439,15 +547,13 @@ class EarlyFiring(StatefulProcessor):
         else:
             n, m, end = 0, -np.inf, int(b["window_end"].iloc[0])
             self.handle.registerTimer(end + self.keep)
-        out = []
-        for s, temp in zip(b["seq"].tolist(), b["temperature"].tolist()):
-            n, m = n + 1, max(m, float(temp))
-            if n % self.every == 0:
-                out.append((key[0], int(key[1]), end, int(s), n, m))
-        self.acc.update((n, m, end))
-        if out:
-            yield pd.DataFrame(out, columns=["id", "window_start", "window_end", "fired_at_seq", "count",
-                                             "max_temperature"])
+        counts = n + np.arange(1, len(b) + 1)
+        tops = np.maximum.accumulate(np.concatenate([[m], b["temperature"].to_numpy(float)]))[1:]
+        self.acc.update((int(counts[-1]), float(tops[-1]), end))
+        hit = counts % self.every == 0
+        if hit.any():
+            yield pd.DataFrame({"id": key[0], "window_start": int(key[1]), "window_end": end,
+                                "fired_at_seq": b["seq"].to_numpy()[hit], "count": counts[hit], "max_temperature": tops[hit]})
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
         self.acc.clear()

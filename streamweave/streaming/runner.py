@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from streamweave.operators.transforms import tag_side_output
 from streamweave.session import checkpoint_dir
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -40,6 +41,32 @@ class IdempotentParquetSink:
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path)
 
+    def last_batch(self, spark: SparkSession) -> int:
+        """The highest batch written so far, -1 before the first."""
+        fs = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        store = fs.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not store.exists(fs):
+            return -1
+        names = [f.getPath().getName() for f in store.listStatus(fs)]
+        return max((int(n.split("=")[1]) for n in names if n.startswith("batch_id=")), default=-1)
+
+
+class SideOutputSink:
+    """P10 foreachBatch sink: both outputs of a batch in one pass.
+
+    Rows get ``output`` = 'main' | 'side' and are written once, partitioned
+    by it, under their batch id; a replayed batch replaces both."""
+
+    def __init__(self, path: str, main: Column):
+        self.path, self.main = path.rstrip("/"), main
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        (tag_side_output(batch, self.main).write.partitionBy("output").mode("overwrite")
+         .parquet(f"{self.path}/batch_id={int(batch_id)}"))
+
+    def read(self, spark: SparkSession, output: str) -> DataFrame:
+        return spark.read.parquet(self.path).where(F.col("output") == output).drop("output", "batch_id")
+
 
 def start(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, *,
           output_mode: str = "append", trigger_interval: str | None = None, available_now: bool = False,
@@ -59,9 +86,11 @@ def start(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str
 
 
 def run_available_now(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
-                      output_mode: str = "append", timeout_s: int = 300) -> None:
+                      output_mode: str = "append", timeout_s: int | None = None) -> None:
+    """Runs until the input there is has been processed. ``timeout_s`` stops a
+    run that takes longer and raises; by default a run may take any time."""
     q = start(df, sink, checkpoint, output_mode=output_mode, available_now=True)
-    q.awaitTermination(timeout_s)
+    q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if q.isActive:
         q.stop()
         raise TimeoutError("stream did not finish")

@@ -13,8 +13,9 @@ SF001 = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = build_session(master="local[4]", shuffle_partitions=4)
+def spark(tmp_path_factory):
+    s = build_session(master="local[4]", shuffle_partitions=4,
+                      extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint"))})
     yield s
     s.stop()
 

@@ -18,10 +18,10 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
+def test_every_query_has_an_oracle():
     q, o = catalog.QUERIES, catalog.ORACLES
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"subtask_index"}
+    assert set(q) == set(o)
 
 
 @pytest.mark.parametrize("name", ALL)

@@ -3,15 +3,18 @@ import os
 from streamweave.plans import table_sql, window_min, word_count
 from streamweave.sources.text import read_lines_stream
 from streamweave.streaming.runner import IdempotentParquetSink, run_available_now
-from tests.fixtures import SENSOR_LINES, WORD_LINES, lines_df
+from tests.fixtures import SENSOR_LINES, WORD_COUNTS, WORD_LINES, lines_df
+
+SELECT = "id,temperature", "id = 'sensor_4'"
+NOT_EQUAL = "select id, temperature from sensor_stream where id <> 'sensor_4'"
 
 
 def test_text_word_count_batch_and_rolling(spark, tmp_path):
     (tmp_path / "words.txt").write_text("\n".join(WORD_LINES) + "\n")
     wc = {r.word: r["count"] for r in word_count.batch_word_count(spark, str(tmp_path)).collect()}
-    assert wc["Hello"] == 4 and wc["World"] == 2 and len(wc) == 12
+    assert wc == WORD_COUNTS
     rc = word_count.rolling_text_word_count(spark, str(tmp_path))
-    assert [r["count"] for r in rc.where("word = 'Hello'").orderBy("seq").collect()] == [1, 2, 3, 4]
+    assert [r["count"] for r in rc.where("word = 'oak'").orderBy("seq").collect()] == [1, 2, 3, 4]
 
 
 def test_stream_word_count_resumes(spark, tmp_path):
@@ -30,7 +33,7 @@ def test_stream_word_count_resumes(spark, tmp_path):
     out = IdempotentParquetSink(str(tmp_path / "out")).read(spark)
     final = {r.word: r.c for r in out.groupBy("word").agg({"count": "max"}).withColumnRenamed("max(count)", "c")
              .collect()}
-    assert final["Hello"] == 4 and final["World"] == 2 and final["weqrfaesd"] == 1 and len(final) == 12
+    assert final == WORD_COUNTS
 
 
 def test_table_and_sql_on_stream(spark, tmp_path):
@@ -39,13 +42,13 @@ def test_table_and_sql_on_stream(spark, tmp_path):
     (d / "sensor.txt").write_text("\n".join(SENSOR_LINES) + "\n")
     readings = table_sql.from_lines(read_lines_stream(spark, str(d)))
     t = IdempotentParquetSink(str(tmp_path / "t"))
-    run_available_now(table_sql.table_api(readings), t, str(tmp_path / "ck1"))
+    run_available_now(table_sql.table_api(readings, *SELECT), t, str(tmp_path / "ck1"))
     assert t.read(spark).count() == 4
     s = IdempotentParquetSink(str(tmp_path / "s"))
-    run_available_now(table_sql.sql_api(spark, readings, "sensor_stream"), s, str(tmp_path / "ck2"))
-    assert s.read(spark).count() == 6
+    run_available_now(table_sql.sql_api(spark, readings, "sensor_stream", NOT_EQUAL), s, str(tmp_path / "ck2"))
+    assert s.read(spark).count() == 8
     batch = table_sql.from_lines(lines_df(spark, SENSOR_LINES))
-    assert table_sql.table_api(batch).count() == 4
+    assert table_sql.table_api(batch, *SELECT).count() == 4
 
 
 def test_window_min_plan_defaults(spark):
@@ -66,4 +69,4 @@ def test_stream_word_count_processing_time_trigger(spark, tmp_path):
     finally:
         q.stop()
     out = IdempotentParquetSink(str(tmp_path / "out")).read(spark)
-    assert {r.word: r["count"] for r in out.where("word = 'Hello'").collect()} == {"Hello": 4}
+    assert {r.word: r["count"] for r in out.where("word = 'oak'").collect()} == {"oak": 4}

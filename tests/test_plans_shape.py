@@ -38,11 +38,38 @@ def test_keyed_scan_shuffles_the_data_once(spark, sf_dir, static_plans):
     assert "SortMergeJoin" in p and "BroadcastExchange" not in p
 
 
-def test_chained_scans_reuse_partitioning(spark, sf_dir, static_plans):
+def scans(p: str) -> int:
+    return len(re.findall(r"FileScan", p))
+
+
+def test_session_windows_are_one_scan_and_few_exchanges(spark, sf_dir, static_plans):
     p = plan(spark, catalog.QUERIES["session_windows_1h"](spark, sf_dir))
-    top = p.split("SortMergeJoin")[1]  # the outer join's data side comes first
-    first_join_side = top.split("SortMergeJoin")[0]
-    assert "Exchange" not in first_join_side
+    assert scans(p) == 1 and exchanges(p) <= 5 and "SortMergeJoin" not in p and "SortAggregate" not in p
+
+
+def test_firing_changelog_has_at_most_six_exchanges(spark, sf_dir, static_plans):
+    p = plan(spark, catalog.QUERIES["firing_changelog_min"](spark, sf_dir))
+    assert exchanges(p) <= 6 and p.count("SortMergeJoin") == 1
+
+
+def test_text_is_split_into_words_once(spark, sf_dir, static_plans):
+    p = plan(spark, catalog.QUERIES["rolling_word_count"](spark, sf_dir))
+    assert "RoundRobin" not in p and "ReusedExchange" in p and scans(p) == 1
+
+
+@pytest.mark.parametrize("name", ["dedup_hot_items", "dedup_item_timestamp", "temperature_jumps", "rolling_max"])
+def test_aggregates_hash(spark, sf_dir, static_plans, name):
+    p = plan(spark, catalog.QUERIES[name](spark, sf_dir))
+    assert "HashAggregate" in p and "SortAggregate" not in p
+
+
+@pytest.mark.parametrize("name,predicate", [
+    ("behavior_pv", r"In\(event_type, \[pv,view\]\)"), ("hot_items_top5", r"In\(event_type, \[pv,view\]\)"),
+    ("dedup_hot_items", r"In\(event_type, \[pv,view\]\)"), ("table_select_where", r"EqualTo\(user_id,4\)"),
+    ("sql_not_equal", r"Not\(EqualTo\(user_id,4\)\)")])
+def test_filters_reach_the_scan(spark, sf_dir, static_plans, name, predicate):
+    p = plan(spark, catalog.QUERIES[name](spark, sf_dir))
+    assert re.search(r"PushedFilters: \[.*" + predicate, p)
 
 
 def test_dedup_is_partially_aggregated(spark, sf_dir, static_plans):

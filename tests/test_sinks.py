@@ -8,10 +8,10 @@ DERBY = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
 
 def test_kafka_and_document_rows(spark):
     k = shaping.kafka_records(sensor_df(spark)).first()
-    assert k.key == "sensor_1" and k.value.startswith("SensorReading(id=sensor_1,")
+    assert k.key == "sensor_2" and k.value.startswith("SensorReading(id=sensor_2,")
     d = shaping.document_rows(sensor_df(spark)).first()
     assert (d["index"], d["type"]) == ("sensor", "readingdata")
-    assert d.source == {"id": "sensor_1", "temp": "1.0", "ts": "1578038940000"}
+    assert d.source == {"id": "sensor_2", "temp": "20.5", "ts": "1700000100000"}
     assert shaping.kafka_sink_options("b:9092", "sensor", "/c")["topic"] == "sensor"
     assert shaping.labeled(sensor_df(spark), "resultStream").columns[0] == "label"
 
@@ -23,7 +23,7 @@ def test_keyed_upsert_log_is_idempotent(spark, tmp_path):
     log(r.where("seq > 5"), 1)
     log(r.where("seq > 5"), 1)  # replayed batch replaces itself
     got = {x.id: x.temperature for x in log.read(spark).collect()}
-    assert got == {"sensor_1": 1.0, "sensor_2": 5.0, "sensor_3": 6.0, "sensor_4": 14.0}
+    assert got == {"sensor_1": 18.0, "sensor_2": 35.0, "sensor_3": 41.0, "sensor_4": 12.0}
     ks = keyed.keyed_strings(r, "id", F.col("temperature").cast("string"))
     assert ks.columns == ["key", "value"]
 
@@ -32,18 +32,18 @@ def test_jdbc_insert_and_upsert(spark):
     url = "jdbc:derby:memory:swtest;create=true"
     r = sensor_df(spark)
     jdbc.jdbc_append(r, url, "STUDENT", DERBY)
-    assert spark.read.jdbc(url, "STUDENT", properties=DERBY).count() == 10
+    assert spark.read.jdbc(url, "STUDENT", properties=DERBY).count() == 12
 
     target = "STUDENT_UP"
     spark.createDataFrame([], "name string, gender string").write \
-        .option("createTableColumnTypes", jdbc.STUDENT_COLUMNS).jdbc(url, target, mode="overwrite", properties=DERBY)
+        .option("createTableColumnTypes", jdbc.student_columns()).jdbc(url, target, mode="overwrite", properties=DERBY)
     up = jdbc.JdbcUpsert(url, target, properties=DERBY)
     rows = r.select(F.col("id").alias("name"), F.col("temperature").cast("string").alias("gender"), "seq")
     up(rows.where("seq <= 5"), 0)
     up(rows.where("seq > 5"), 1)
     up(rows.where("seq > 5"), 1)  # a replayed batch merges the same rows again
     got = {tuple(x)[0]: tuple(x)[1] for x in spark.read.jdbc(url, target, properties=DERBY).collect()}
-    assert got == {"sensor_1": "1.0", "sensor_2": "5.0", "sensor_3": "6.0", "sensor_4": "14.0"}
+    assert got == {"sensor_1": "18.0", "sensor_2": "35.0", "sensor_3": "41.0", "sensor_4": "12.0"}
 
 
 def test_console_and_memory_streams(spark, tmp_path):
@@ -54,7 +54,7 @@ def test_console_and_memory_streams(spark, tmp_path):
     q = shaping.memory_stream(shaping.labeled(src, "resultStream"), "sw_mem").trigger(availableNow=True) \
         .option("checkpointLocation", str(tmp_path / "ck")).start()
     q.awaitTermination(120)
-    assert spark.table("sw_mem").where("label = 'resultStream'").count() == 10
+    assert spark.table("sw_mem").where("label = 'resultStream'").count() == 12
     c = shaping.console_stream(src, "x").trigger(availableNow=True) \
         .option("checkpointLocation", str(tmp_path / "ck2")).start()
     c.awaitTermination(120)
@@ -73,7 +73,7 @@ def test_keyed_upsert_log_as_stream_sink(spark, tmp_path):
     log = keyed.KeyedUpsertLog(str(tmp_path / "hset"), "id", "temperature")
     run_available_now(src, log, str(tmp_path / "ck"))
     assert {x.id: x.temperature for x in log.read(spark).collect()} == {
-        "sensor_1": 1.0, "sensor_2": 5.0, "sensor_3": 4.0}
+        "sensor_1": 18.0, "sensor_2": 21.0, "sensor_3": 30.0}
     assert os.path.isdir(tmp_path / "hset" / "batch_id=0")
 
 
@@ -84,3 +84,49 @@ def test_kafka_stream_writer_is_built(spark, tmp_path):
     src = spark.readStream.schema(sensor_df(spark).schema).parquet(str(d))
     w = shaping.write_kafka_stream(src, "broker:9092", "sensor", str(tmp_path / "ck"))
     assert isinstance(w, DataStreamWriter)  # starting it needs the Kafka connector on the classpath
+
+
+def test_compact_keeps_readings_and_stops_growth(spark, tmp_path):
+    import os
+
+    log = keyed.KeyedUpsertLog(str(tmp_path / "log"), "id", "temperature")
+    r = sensor_df(spark)
+    for i in range(12):
+        log(r.where(f"seq = {i + 1}"), i)
+    want = {x.id: x.temperature for x in log.read(spark).collect()}
+    log.compact(spark)
+    assert sorted(os.listdir(tmp_path / "log")) == ["batch_id=10", "batch_id=11"]
+    assert {x.id: x.temperature for x in log.read(spark).collect()} == want
+    log(r.where("seq = 12"), 11)  # the newest batch may be replayed
+    log(r.where("seq = 2").withColumn("temperature", F.lit(99.0)), 12)
+    log.compact(spark)
+    log.compact(spark)
+    assert sorted(os.listdir(tmp_path / "log")) == ["batch_id=11", "batch_id=12"]
+    assert {x.id: x.temperature for x in log.read(spark).collect()} == want | {"sensor_1": 99.0}
+
+
+def test_upsert_statements_per_dialect():
+    of = lambda url: jdbc.upsert_statement(jdbc.dialect_of(url), "T", "S", "name", "gender")
+    assert of("jdbc:mysql://h/db") == ("INSERT INTO T (`name`, `gender`) SELECT s.`name`, s.`gender` FROM S s "
+                                       "ON DUPLICATE KEY UPDATE `gender` = s.`gender`")
+    assert of("jdbc:postgresql://h/db") == ('INSERT INTO T ("name", "gender") SELECT s."name", s."gender" FROM S s WHERE true '
+                                            'ON CONFLICT ("name") DO UPDATE SET "gender" = EXCLUDED."gender"')
+    assert of("jdbc:derby:memory:x").startswith('MERGE INTO T t USING S s ON t."name" = s."name" ')
+    one, two = jdbc.JdbcUpsert("jdbc:derby:x", "T"), jdbc.JdbcUpsert("jdbc:derby:x", "T")
+    assert len({one.stage(1), one.stage(2), two.stage(1)}) == 3
+    assert jdbc.student_columns(400, 20) == "name VARCHAR(400), gender VARCHAR(20)"
+
+
+def test_side_output_stream_writes_both_outputs_in_one_pass(spark, tmp_path):
+    from streamweave.operators.transforms import side_output
+    from streamweave.streaming.runner import SideOutputSink, run_available_now
+    r = sensor_df(spark)
+    r.coalesce(1).write.parquet(str(tmp_path / "in"))
+    src = spark.readStream.schema(r.schema).parquet(str(tmp_path / "in"))
+    sink = SideOutputSink(str(tmp_path / "out"), F.col("temperature") > 21)
+    run_available_now(src, sink, str(tmp_path / "ck"))
+    sink(r, 0)  # a replayed batch replaces both outputs
+    main, side = side_output(r, F.col("temperature") > 21)
+    for name, want in (("main", main), ("side", side)):
+        got = sink.read(spark, name).select(*r.columns)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

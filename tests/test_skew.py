@@ -58,10 +58,74 @@ def test_hot_key_sessions_and_folds_agree_across_chunkings(spark, sf_dir):
     assert spark_rows(a) == spark_rows(b)
     assert spark_rows(a) == duck(sf_dir, """
         SELECT id, min(timestamp) AS session_start, max(timestamp) + 3600000 AS session_end, count(*) AS count FROM (
-        SELECT *, sum(CASE WHEN prev IS NULL OR timestamp - prev >= 3600000 THEN 1 ELSE 0 END)
+        SELECT *, sum(CASE WHEN prev IS NULL OR timestamp - prev > 3600000 THEN 1 ELSE 0 END)
         OVER (PARTITION BY id ORDER BY timestamp, seq) AS sid FROM (
         SELECT *, lag(timestamp) OVER (PARTITION BY id ORDER BY timestamp, seq) AS prev FROM readings))
         GROUP BY id, sid""")
     x = folds.rising_alerts(r, "1 day")
     y = folds.rising_alerts(r, "1 day", chunk_ms=3_600_000 // 4)
     assert spark_rows(x) == spark_rows(y) and x.where(F.col("id") == HOT).count() > 0
+
+
+def test_a_key_that_only_fails(spark):
+    """A third of the rows is one user's, who never succeeds: rows collapse to one per second, runs are walked
+    in batches, and the result is that of the plain state machine."""
+    rows = [(1, "fail", 1000 + i // 7, i) for i in range(4000)]
+    rows += [(2 + i % 50, "fail" if i % 3 else "success", 1000 + i // 11, 10_000 + i) for i in range(8000)]
+    df = spark.createDataFrame(rows, "userId long, loginState string, timestamp long, seq long")
+
+    def machine(own, w):
+        out, o = [], None
+        for t, _, s in sorted((t, q, s) for _, s, t, q in own):
+            if o and t > o[0] + w:
+                out.append(tuple(o))
+                o = None
+            o = ([t, t, 1] if o is None else [o[0], t, o[2] + 1]) if s == "fail" else None
+        return out + ([tuple(o)] if o else [])
+
+    for w in (2, 60):
+        want = sorted((u, a, b, f"login fail in {w}s for {n} times") for u in {r[0] for r in rows}
+                      for a, b, n in machine([r for r in rows if r[0] == u], w))
+        for chunk in (86_400, 10):
+            got = folds.login_fail_warnings(df, f"{w} seconds", 1, chunk_width=chunk)
+            assert sorted(map(tuple, got.collect())) == want
+
+
+def test_long_rises_equal_the_state_machine_across_batches(spark):
+    import random
+    rng = random.Random(4)
+    rows, t, v = [], 0, 0.0
+    for i in range(3000):
+        t += rng.choice((0, 0, 1, 3, 40))
+        v = v + rng.choice((0, 1, 1, 1, 1)) if rng.random() < 0.97 else v - 2
+        rows.append(("a" if i % 3 else "b", t, v if rng.random() < 0.99 else None, i))
+    df = spark.createDataFrame(rows, "id string, timestamp long, temperature double, seq long")
+
+    def machine(own, n):
+        # an instant's own rows are compared with each other, its first with the instant before (null: no reading yet)
+        out, last, armed = [], None, None
+        instants = {}
+        for x, q, y in sorted((x, q, y) for _, x, y, q in own):
+            instants.setdefault(x, []).append(y)
+        for x, values in instants.items():
+            if armed is not None and x > armed:
+                out.append(armed)
+                armed = None
+            before = 4.9e-324 if last is None else last
+            for y in values:
+                if y is not None and before is not None and y > before and armed is None:
+                    armed = x + n
+                elif y is not None and before is not None and y < before:
+                    armed = None
+                before = y
+            last = before
+        return out + ([armed] if armed is not None else [])
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for n in (5, 200):
+            want = sorted((k, a) for k in ("a", "b") for a in machine([r for r in rows if r[0] == k], n))
+            for chunk in (3_600_000, 100):
+                assert sorted(map(tuple, folds.rising_alerts(df, f"{n} ms", chunk_ms=chunk).collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

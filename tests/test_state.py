@@ -6,7 +6,7 @@ from streamweave.operators.scan import Scan, keyed_scan, seq_chunks
 from streamweave.sinks.keyed import latest_per_key
 from streamweave.sources import testdata as td
 from streamweave.sources.text import parse_login
-from tests.fixtures import LOGIN_LINES, lines_df, sensor_df
+from tests.fixtures import L0, LOGIN_LINES, T0, lines_df, sensor_df
 
 
 def by_seq(df, col):
@@ -15,17 +15,21 @@ def by_seq(df, col):
 
 def test_running_counts(spark):
     for chunk in (1 << 20, 3):
-        assert by_seq(state.running_count(sensor_df(spark), chunk), "count") == list(range(1, 11))
-        assert by_seq(state.count_per_key(sensor_df(spark), chunk_rows=chunk), "count") == [1, 1, 1, 2, 2, 3, 1, 2, 3, 4]
-        assert by_seq(state.list_state_size(sensor_df(spark), chunk_rows=chunk), "list_size_before") == \
-            [0, 0, 0, 1, 1, 2, 0, 1, 2, 3]
+        assert by_seq(state.running_count(sensor_df(spark), chunk), "count") == list(range(1, 13))
+        assert by_seq(state.count_per_key(sensor_df(spark), chunk_rows=chunk), "count") == [1, 1, 2, 1, 3, 2, 2, 1, 2, 3, 4, 4]
+        for block in (1 << 20, 2):
+            v = state.last_values(sensor_df(spark), 2, block_rows=block, chunk_rows=chunk)
+            assert by_seq(v, "list_size_before") == [0, 0, 1, 0, 2, 1, 1, 0, 1, 2, 3, 3]
+            assert by_seq(v, "values") == [[], [], [20.5], [], [20.5, 21.5], [30.0], [18.0], [], [9.25], [9.25, 9.25],
+                                           [9.25, -3.5], [21.5, 21.0]]
 
 
 def test_jump_alert(spark):
     for chunk in (1 << 20, 2):
         out = state.temperature_jumps(sensor_df(spark), 10.0, chunk_rows=chunk)
         assert sorted((r.id, r.lastTemp, r.temperature) for r in out.collect()) == [
-            ("sensor_4", -7.0, 14.0), ("sensor_4", 7.0, -7.0)]
+            ("sensor_1", 0.0, 18.0), ("sensor_2", 0.0, 20.5), ("sensor_2", 21.0, 35.0), ("sensor_3", 0.0, 30.0),
+            ("sensor_3", 30.0, 41.0), ("sensor_4", -3.5, 12.0), ("sensor_4", 9.25, -3.5)]
 
 
 def test_scan_keeps_null_order_rows(spark):
@@ -64,15 +68,15 @@ def test_dedup_first(spark):
 
 def test_last_value_per_id(spark):
     got = {r.id: r.temperature for r in latest_per_key(sensor_df(spark), "id", "temperature").collect()}
-    assert got == {"sensor_1": 1.0, "sensor_2": 5.0, "sensor_3": 6.0, "sensor_4": 14.0}
+    assert got == {"sensor_1": 18.0, "sensor_2": 35.0, "sensor_3": 41.0, "sensor_4": 12.0}
 
 
 def test_rising_alert_fixture(spark):
     for chunk in (3_600_000, 5_000):
         out = folds.rising_alerts(sensor_df(spark), "10 seconds", chunk_ms=chunk)
-        got = sorted((r.id, r.alert_time // 1000 - 1578038900) for r in out.collect())
-        assert got == [("sensor_1", 50), ("sensor_2", 54), ("sensor_2", 70), ("sensor_3", 60), ("sensor_3", 80),
-                       ("sensor_4", 88)]
+        got = sorted((r.id, (r.alert_time - T0) // 1000) for r in out.collect())
+        assert got == [("sensor_1", 13), ("sensor_2", 10), ("sensor_2", 41), ("sensor_3", 17), ("sensor_3", 31),
+                       ("sensor_4", 40)]
 
 
 def test_rising_alert_chunking_agrees(spark, sf_dir):
@@ -85,12 +89,10 @@ def test_rising_alert_chunking_agrees(spark, sf_dir):
 def test_login_fail_fixture(spark):
     logins = parse_login(lines_df(spark, LOGIN_LINES))
     out = folds.login_fail_warnings(logins, "2 seconds", 1)
-    got = sorted(tuple(r) for r in out.collect())
-    assert got == sorted([(23064, 1558430826, 1558430826, "login fail in 2s for 1 times"),
-                          (5692, 1558430833, 1558430833, "login fail in 2s for 1 times"),
-                          (1035, 1558430842, 1558430844, "login fail in 2s for 3 times"),
-                          (23565, 1558430862, 1558430862, "login fail in 2s for 1 times")])
-    assert [r.userId for r in folds.login_fail_warnings(logins, "2 seconds", 3).collect()] == [1035]
+    got = sorted((u, a - L0, b - L0, m) for u, a, b, m in out.collect())
+    assert got == [(u, a, b, f"login fail in 2s for {n} times") for u, a, b, n in (
+        (102, 1, 3, 2), (103, 4, 4, 1), (104, 10, 12, 3), (105, 21, 21, 1), (105, 24, 24, 1))]
+    assert [r.userId for r in folds.login_fail_warnings(logins, "2 seconds", 3).collect()] == [104]
 
 
 def test_partition_custom(spark):
@@ -105,11 +107,8 @@ def test_partition_helpers(spark):
     r = sensor_df(spark)
     assert partitioning.shuffle(r, 3).rdd.getNumPartitions() == 3
     assert partitioning.global_partition(r).rdd.getNumPartitions() == 1
-    sub = partitioning.with_subtask_index(partitioning.key_by(r, 4, "id")).collect()
-    per_id = {}
-    for x in sub:
-        per_id.setdefault(x.id, set()).add(x.subtask)
-    assert all(len(v) == 1 for v in per_id.values())
+    placed = {x.id: (x.subtasks, x.rows) for x in partitioning.key_placement(r, 4).collect()}
+    assert placed == {"sensor_1": (1, 2), "sensor_2": (1, 4), "sensor_3": (1, 2), "sensor_4": (1, 4)}
 
     opened = []
 
@@ -119,7 +118,7 @@ def test_partition_helpers(spark):
 
     out = partitioning.map_partitions_with_resource(
         r.select("seq"), open_fn, lambda res, b: b.assign(seq=b.seq * res), lambda res: None, "seq long")
-    assert sorted(x.seq for x in out.collect()) == [i * 10 for i in range(1, 11)]
+    assert sorted(x.seq for x in out.collect()) == [i * 10 for i in range(1, 13)]
 
 
 def test_keyed_fold_custom_machine(spark):

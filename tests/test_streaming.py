@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from streamweave.operators import folds, state, windows
-from streamweave.operators.aggregates import word_count, window_min_by
+from streamweave.operators.aggregates import word_count
 from streamweave.plans.hot_items import hot_items
 from streamweave.sources import testdata as td
 from streamweave.streaming import forms, processors as P
@@ -74,6 +74,12 @@ def test_hot_items_stream_equals_batch(spark, sf_dir, event_files, tmp_path):
     assert rows(got) == rows(want)
 
 
+def test_hot_items_run_flushes_the_open_windows(spark, sf_dir, tmp_path):
+    """No sentinel row: the bounded replay returns exactly the batch rows."""
+    sink = forms.hot_items_stream_run(spark, sf_dir, str(tmp_path))
+    same(sink.read(spark).drop("batch_id"), hot_items(td.pageviews(spark, sf_dir)))
+
+
 def test_word_count_restart(spark, sf_dir, tmp_path):
     docs = pq.read_table(f"{sf_dir}/documents.parquet").sort_by("doc_id")
     d = tmp_path / "docs"
@@ -111,30 +117,24 @@ def test_jump_and_count_window_processors(spark, sf_dir, event_files, tmp_path):
 
 def test_event_time_folds(spark, sf_dir, event_files, tmp_path):
     use_rocksdb_state(spark)
-    r = forms.with_event_time(td.readings_of(stream(spark, event_files))).withWatermark("event_time", "0 seconds")
+    r = forms.with_event_time(td.readings_of(stream(spark, event_files))).withWatermark("event_time", forms.ASCENDING)
     got = run(P.apply(r, "id", P.RisingAlert("1 day"), P.RisingAlert.schema(), "EventTime"), tmp_path / "r")
     want = folds.rising_alerts(td.readings(spark, sf_dir), "1 day")
     assert rows(got.where("id <> 'sensor_-1'")) == rows(want)
     lg = forms.with_event_time(td.logins_of(stream(spark, event_files)), unit="s") \
-        .withWatermark("event_time", "0 seconds")
+        .withWatermark("event_time", forms.ASCENDING)
     got = run(P.apply(lg, "userId", P.LoginFail("12 hours", 1), P.LoginFail.schema(), "EventTime"), tmp_path / "l")
     want = folds.login_fail_warnings(td.logins(spark, sf_dir), "12 hours", 1)
     assert rows(got) == rows(want)
 
 
-def test_dedup_and_window_min_and_sessions(spark, sf_dir, event_files, tmp_path):
+def test_dedup_and_sessions(spark, sf_dir, event_files, tmp_path):
     b = td.behaviors_of(stream(spark, event_files)).where("behavior = 'pv'")
     got = run(forms.dedup_stream(b, ["itemId", "timestamp"]), tmp_path / "d")
     want = state.dedup_first(td.behaviors(spark, sf_dir).where("behavior = 'pv'"), ["itemId", "timestamp"])
     assert rows(got.where("itemId <> -1")) == rows(want)
 
     r = td.readings_of(stream(spark, event_files))
-    got = run(forms.window_min_stream(r, "1 hour", "0 seconds"), tmp_path / "m", mode="update")
-    last = got.where("id <> 'sensor_-1'")
-    want = window_min_by(td.readings(spark, sf_dir), "1 hour").select(
-        "id", "window_start", "window_end", "timestamp", "temperature", "seq")
-    assert rows(last) == rows(want)
-
     got = run(forms.session_stream(r, "1 hour"), tmp_path / "s")
     want = windows.session_windows(td.readings(spark, sf_dir), "id", "1 hour")
     assert rows(got.where("id <> 'sensor_-1'").select("id", "session_start", "session_end", "count")) == rows(want)
@@ -161,7 +161,7 @@ def test_delay_timer(spark, tmp_path):
         pq.write_table(pa.table({"id": [sid], "timestamp": pa.array([t], pa.int64())}), d / f"p{i}.parquet")
     ordered_mtimes(d)
     src = spark.readStream.schema("id string, timestamp long").option("maxFilesPerTrigger", 1).parquet(str(d))
-    ev = forms.with_event_time(src).withWatermark("event_time", "0 seconds")
+    ev = forms.with_event_time(src).withWatermark("event_time", forms.ASCENDING)
     got = run(P.apply(ev, "id", P.DelayTimer(100), P.DelayTimer.schema(), "EventTime"), tmp_path)
     assert sorted((r.id, r.deadline) for r in got.collect()) == [("s1", 1100), ("s1", 5100), ("s2", 1600)]
     assert all(r.watermark >= r.deadline for r in got.collect())
