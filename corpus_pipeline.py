@@ -20,9 +20,9 @@ from streamweave.llm.queries import THRESHOLD
 
 
 def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows whose doc_id is in ``kept``, repeated ones once, and those without an id: no operator can name them."""
-    named = docs.join(kept.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    """The rows whose doc_id is in ``kept``, and those without one: no operator can name them."""
+    return (docs.join(kept.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+            .unionByName(docs.where("doc_id is null")))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +38,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least doc_id of each group of near-duplicates stays (5-word shingles, similarity 0.8)."""
-    return only(docs, near_duplicates(docs).where("kept"))
+    """The document of least doc_id of each group of near-duplicates stays (5-word shingles, similarity 0.8), once."""
+    kept = near_duplicates(docs).where("kept").select("doc_id")
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

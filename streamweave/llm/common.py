@@ -1,4 +1,4 @@
-"""Helpers shared by the operators: shared-folder tables, batch readers, word hashes, components."""
+"""Helpers shared by the operators: shared-folder tables, batch readers, hashes, components."""
 
 from __future__ import annotations
 
@@ -6,11 +6,12 @@ import tempfile
 import uuid
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Bytes of text that a Python worker holds at once when it works through an Arrow batch.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 512 << 10
+#: Rows of an Arrow batch; Spark's own 10,000 texts may be hundreds of MB.
+BATCH_ROWS = 1_000
 
 
 def scratch(spark: SparkSession) -> str:
@@ -32,6 +33,14 @@ def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Lowers the session's rows per Arrow batch to BATCH_ROWS, for plans that send texts to Python."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, BATCH_ROWS)
+    return df
+
+
 def chunks(batches, text: int, most: int = CHUNK_BYTES):
     """Cuts Arrow batches by rows so that a piece holds about ``most`` bytes of the text column."""
     for batch in batches:
@@ -51,23 +60,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class WordHash(dict):
-    """word -> 64-bit hash, remembered for up to ``most`` words of a worker."""
-
-    def __init__(self, most: int = 400_000):
-        super().__init__()
-        self.most = most
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def shingles(words: np.ndarray, k: int) -> np.ndarray:
     """Hashes of the k-word shingles of a sequence of word hashes, one for each start."""
     n = len(words) - k + 1
@@ -92,11 +84,13 @@ def components(edges: DataFrame, folder: str, name: str, rounds: int = 60) -> Da
 
     last = seal(e)
     for i in range(1, rounds + 1):
+        # The least neighbours are stored, so that both sides of each join are plain shuffles: Spark splits a hub's.
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")),
+                       folder, f"{name}-{i}m")
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stored(large.where("a <> b").distinct(), folder, f"{name}-{i}l")
-        small = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = stored(large.groupBy("a").agg(F.min("b").alias("m")), folder, f"{name}-{i}n")
         e = stored(large.join(small, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                    .union(small.select("a", F.col("m").alias("b"))).distinct(), folder, f"{name}-{i}s")
         now = seal(e)

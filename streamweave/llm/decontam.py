@@ -17,76 +17,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from streamweave.llm.common import chunks, mix, scratch, stored
+from streamweave.llm.common import chunks, scratch, small_batches, stored
+from streamweave.llm.words import Words
 
 SIZE, SHINGLE = 10, 5
 #: (window, item) rows of a block: some 6 MB in each task.
 BLOCK = 50_000
-BASE = 0x9E3779B97F4A7C15
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[65:91] += 32
-IN_WORD = np.zeros(256, bool)
-IN_WORD[48:58] = IN_WORD[97:123] = IN_WORD[128:] = True
-
-
-def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-class Words:
-    """The words of all texts of an Arrow column: bytes, starts and ends, hashes, and each text's first word."""
-
-    _up = _down = np.ones(1, np.uint64)
-
-    def __init__(self, column: pa.Array):
-        column = column.cast(pa.large_binary()).fill_null(b"")
-        if len(column):
-            at = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
-        else:
-            at = np.zeros(1, np.int64)
-        raw = column.buffers()[2]
-        raw = np.frombuffer(raw, np.uint8)[at[0]:at[-1]] if raw is not None else np.zeros(0, np.uint8)
-        at = at - at[0]
-        self.bytes = LOWER[raw]
-        inside = IN_WORD[self.bytes]
-        n = len(inside)
-        before, after = np.zeros(n, bool), np.zeros(n, bool)
-        before[1:], after[:-1] = inside[:-1], inside[1:]
-        before[at[:-1][at[:-1] < n]] = False
-        after[at[1:][at[1:] > 0] - 1] = False
-        self.start = np.flatnonzero(inside & ~before)
-        self.end = np.flatnonzero(inside & ~after) + 1
-        self.first = np.searchsorted(self.start, at)
-        self.hash = self._hashes()
-
-    def _hashes(self) -> np.ndarray:
-        """Polynomials in an odd base modulo 2^64, from one running sum over all bytes."""
-        n = len(self.bytes)
-        if n > len(Words._up):
-            Words._up = powers(BASE, n + n // 4 + 1)
-            Words._down = powers(pow(BASE, -1, 2 ** 64), n + n // 4 + 1)
-        if not len(self.start):
-            return np.zeros(0, np.uint64)
-        total = np.empty(n + 1, np.uint64)
-        total[0] = 0
-        np.cumsum(self.bytes * Words._up[:n], out=total[1:])
-        return mix((total[self.end] - total[self.start]) * Words._down[self.start]
-                   + (self.end - self.start).astype(np.uint64))
-
-    def runs(self, k: int, at: np.ndarray | None = None) -> np.ndarray:
-        """Hashes of the k words from each start, or from the word numbers ``at``."""
-        n = max(0, len(self.hash) - k + 1)
-        factor = powers(0xD1B54A32D192ED03, k + 1)
-        out = np.zeros(n if at is None else len(at), np.uint64)
-        for j in range(k):
-            out += (self.hash[j:j + n] if at is None else self.hash[at + j]) * factor[j + 1]
-        return out
-
-    def text(self, at: int, k: int) -> bytes:
-        """k words from word ``at`` on, with a space between."""
-        return b" ".join(self.bytes[a:b].tobytes() for a, b in zip(self.start[at:at + k], self.end[at:at + k]))
+IN_WORD = np.zeros(256, np.uint8)
+IN_WORD[48:58] = IN_WORD[97:123] = IN_WORD[128:] = 1
+
+
+def words_of(column: pa.Array) -> Words:
+    return Words(column, IN_WORD)
 
 
 class Lookup:
@@ -112,7 +54,7 @@ class Block:
 
     def __init__(self, windows: list[bytes], items: list[list[str]], shingle: int):
         self.windows, self.items, self.shingle = windows, items, shingle
-        words = Words(pa.array(windows, pa.large_binary()))
+        words = words_of(pa.array(windows, pa.large_binary()))
         self.n = np.diff(words.first)
         self.whole = np.zeros(len(windows), np.uint64)
         for n in np.unique(self.n):
@@ -170,7 +112,7 @@ def item_windows(items: DataFrame, id_col: str, text_col: str, size: int) -> Dat
     """(window, item), distinct; a window's words are joined by a space."""
     def run(batches):
         for batch in chunks(batches, 1):
-            words = Words(batch.column(1))
+            words = words_of(batch.column(1))
             ids = batch.column(0).to_pylist()
             out, who = [], []
             for i, own in enumerate(ids):
@@ -190,8 +132,8 @@ def token_counts(docs: DataFrame, text_col: str, block) -> dict[int, dict[int, i
     def run(batches):
         looks = {k: Lookup(t[2]) for k, t in block.value.tokens.items()}
         sums = {k: np.zeros(len(x.keys), np.int64) for k, x in looks.items()}
-        for batch in chunks(batches, 0, 4 << 20):
-            words = Words(batch.column(0))
+        for batch in chunks(batches, 0):
+            words = words_of(batch.column(0))
             for k, look in looks.items():
                 np.add.at(sums[k], look.find(words.runs(k))[1], 1)
         for k, look in looks.items():
@@ -216,8 +158,8 @@ def scanned(state: DataFrame, block, last: bool) -> DataFrame:
     """Adds a block's hits to (doc_id, text, n_words, spans, items); the last block drops the texts."""
     def run(batches):
         own = block.value
-        for batch in chunks(batches, 1, 4 << 20):
-            words = Words(batch.column(1))
+        for batch in chunks(batches, 1):
+            words = words_of(batch.column(1))
             start, window = own.matches(words)
             edge = np.zeros(len(words.hash) + 1, np.int64)
             np.add.at(edge, start, 1)
@@ -257,7 +199,7 @@ def contaminated_spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
     with a window in the text. A null or wordless text has no words and no hits; an item without words or id has
     no windows; repeated rows are treated alike; with no documents or no items nothing is hit. Other columns are
     ignored."""
-    spark = docs.sparkSession
+    spark = small_batches(docs).sparkSession
     rows = stored(item_windows(items, item_id, item_text, size), scratch(spark), "windows")
     blocks = max(1, -(-rows.count() // BLOCK))
     state = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"),

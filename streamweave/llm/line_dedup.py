@@ -88,7 +88,7 @@ def doubled(level: DataFrame, step: int, total: int) -> DataFrame:
     return pairs.join(names, ["a", "b"]).select(*ROW, "at", "rank")
 
 
-def later_copies(runs: DataFrame, level: DataFrame, step: int) -> DataFrame:
+def later_copies(runs: DataFrame, level: DataFrame, step: int, folder: str) -> DataFrame:
     """The runs of step to 2 * step - 1 lines that occur at an earlier place; two ranks cover such a run."""
     here = runs.where((F.col("size") >= step) & (F.col("size") < 2 * step))
     here = here.join(level.select(*ROW, F.col("at").alias("start"), F.col("rank").alias("a")), [*ROW, "start"])
@@ -99,7 +99,9 @@ def later_copies(runs: DataFrame, level: DataFrame, step: int) -> DataFrame:
         here = here.withColumn("b", F.col("a"))
     here = here.withColumn("place", F.col("doc_id").cast(WHERE) * F.lit(10 ** 10).cast("decimal(11,0)") + F.col("start"))
     here = here.withColumn("place", F.col("place").cast(WHERE))
-    first = here.groupBy("size", "a", "b").agg(F.min("place").alias("first"))
+    # Both sides are stored: the join's are then plain shuffles, and Spark splits a run that many documents share.
+    here = stored(here.select(*ROW, "start", "size", "a", "b", "place"), folder, f"here-{step}")
+    first = stored(here.groupBy("size", "a", "b").agg(F.min("place").alias("first")), folder, f"first-{step}")
     return here.join(first, ["size", "a", "b"]).where("first < place").select(*ROW, "start", "size")
 
 
@@ -112,7 +114,7 @@ def deleted_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -
     level = level.select(*ROW, "at", "rank")
     found, step = [], 1
     while step <= longest:
-        found.append(stored(later_copies(runs, level, step), folder, f"copies-{step}"))
+        found.append(stored(later_copies(runs, level, step, folder), folder, f"copies-{step}"))
         if 2 * step <= longest:
             level = stored(doubled(level, step, total), folder, f"level-{2 * step}")
         step *= 2

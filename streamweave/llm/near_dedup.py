@@ -18,14 +18,16 @@ With t = 224 in 32 bands of 7, a pair at similarity 0.85 shares no bucket with p
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from streamweave.llm.common import WordHash, chunks, components, mix, scratch, shingles, stored
+from streamweave.llm.common import chunks, components, mix, scratch, shingles, small_batches, stored
+from streamweave.llm.words import Words
 
 BANDS, ROWS = 32, 7
+#: Shingles that are sketched at once, about.
+SKETCHED = 250_000
 #: Classes in a block of a cluster, on average; a task compares two blocks.
 BLOCK = 96
 #: Ids up to this number (8 bytes each) may be broadcast to pick texts from the documents.
@@ -33,16 +35,18 @@ BROADCAST_IDS = 2_000_000
 EMPTY = np.iinfo(np.uint64).max
 
 
-def words_of(text: bytes) -> list[bytes]:
+IN_WORD = np.ones(256, np.uint8)
+IN_WORD[[9, 10, 11, 12, 13, 32]] = 0
+
+
+def words_of(column: pa.Array) -> Words:
     """Lower-cases A-Z and cuts at the six white-space characters of ASCII."""
-    return text.lower().split()
+    return Words(column, IN_WORD)
 
 
-def shingle_set(words: list[bytes], k: int, cache: WordHash) -> np.ndarray:
-    """Sorted distinct hashes of the k-word shingles; a shorter sequence is one shingle."""
-    if not words:
-        return np.zeros(0, np.uint64)
-    return np.unique(shingles(cache.of(words), min(k, len(words))))
+def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
+    """Sorted distinct hashes of the k-word shingles of word hashes; a shorter sequence is one shingle."""
+    return np.unique(shingles(words, min(k, len(words)))) if len(words) else np.zeros(0, np.uint64)
 
 
 def sketches(sets: list[np.ndarray], t: int) -> np.ndarray:
@@ -85,29 +89,39 @@ def signed(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int, rows
                        ("bands", pa.list_(pa.int64()))])
 
     def run(batches):
-        cache, seen = WordHash(), {}
-        for batch in chunks(batches, 2, 4 << 20):
-            texts = batch.column(2).to_pylist()
-            nodes, sizes, sets, new = [], [], [], []
-            for text in texts:
-                words = words_of(text or b"")
-                node = xxhash.xxh3_128_digest(b" ".join(words)) if words else None
-                nodes.append(node)
-                if node is not None and node not in seen:
-                    seen[node] = None
-                    new.append(node)
-                    sets.append(shingle_set(words, k, cache))
+        seen, new, sets, waiting = {}, [], [], []
+
+        def done():
+            """Sketches the sets gathered so far and answers for the rows that wait for them."""
             if sets:
                 for node, s, b in zip(new, sets, band_hashes(sketches(sets, bands * rows), bands, rows)):
                     seen[node] = (len(s), b)
-            found = [(0, None) if x is None else seen[x] for x in nodes]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array(nodes, pa.binary()), pa.array([x[0] for x in found], pa.int64()),
-                pa.array([x[1] for x in found], pa.list_(pa.int64()))], schema=arrow)
-            if len(seen) > 20_000:  # a worker remembers the last texts only to save time
+            for ids, raw, nodes in waiting:
+                found = [(0, None) if x is None else seen[x] for x in nodes]
+                yield pa.RecordBatch.from_arrays([
+                    ids, raw, pa.array(nodes, pa.binary()), pa.array([x[0] for x in found], pa.int64()),
+                    pa.array([x[1] for x in found], pa.list_(pa.int64()))], schema=arrow)
+            new.clear(), sets.clear(), waiting.clear()
+            if len(seen) > 10_000:  # a worker remembers the last texts only to save time
                 seen.clear()
 
-    return (docs.select(F.col(id_col).cast("bigint"), F.xxhash64(text_col), F.col(text_col).cast("binary"))
+        for batch in chunks(batches, 2):
+            words, nodes = words_of(batch.column(2)), []
+            for i in range(batch.num_rows):
+                own = words.of(i)
+                node = xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None
+                nodes.append(node)
+                if node is not None and node not in seen:
+                    seen[node] = None
+                    new.append(node)
+                    sets.append(shingle_set(own, k))
+            # copies of the two columns: their slices would hold the whole batch
+            waiting.append((*(batch.column(c).take(pa.array(np.arange(batch.num_rows))) for c in (0, 1)), nodes))
+            if sum(map(len, sets)) >= SKETCHED:
+                yield from done()
+        yield from done()
+
+    return (small_batches(docs).select(F.col(id_col).cast("bigint"), F.xxhash64(text_col), F.col(text_col).cast("binary"))
             .mapInArrow(run, schema))
 
 
@@ -172,16 +186,21 @@ def confirmed(members: DataFrame, k: int, over: int, under: int) -> DataFrame:
         F.when(F.col("p.i") == F.col("p.j"), 0).when(F.col("block") == F.col("p.i"), 1).otherwise(2).alias("side"),
         small.alias("small"), "node", "text")
 
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        cache, out = WordHash(), []
-        for _, own in frame.groupby("label", sort=False):
+    def compare(table):
+        words = words_of(table.column("text").combine_chunks())
+        label, node, side = (table.column(c).to_numpy() for c in ("label", "node", "side"))
+        order = np.argsort(label.astype(str), kind="stable")
+        cut = np.flatnonzero(label[order][1:] != label[order][:-1]) + 1
+        a, b = [], []
+        for own in np.split(order, cut):
             if len(own) > 1:
-                nodes = own["node"].to_numpy()
-                sets = [shingle_set(words_of(bytes(t)), k, cache) for t in own["text"]]
-                out += [(nodes[i], nodes[j]) for i, j in linked_pairs(sets, own["side"].to_numpy(), over, under)]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+                sets = [shingle_set(words.of(i), k) for i in own]
+                for i, j in linked_pairs(sets, side[own], over, under):
+                    a.append(int(node[own[i]]))
+                    b.append(int(node[own[j]]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return rows.groupBy("g", "small").applyInPandas(compare, "a bigint, b bigint")
+    return rows.groupBy("g", "small").applyInArrow(compare, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, over: int = 80,
@@ -206,7 +225,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = banded.groupBy("bucket").agg(F.min("node").alias("least")).join(banded, "bucket").where("node <> least")
     raw = components(stars.select(F.col("node").alias("a"), F.col("least").alias("b")), folder, "raw")
     raw = raw.union(raw.select(F.col("root").alias("node"), "root").distinct())
-    sizes = raw.groupBy("root").agg(F.count("*").alias("size"))
+    # Sums are stored before the join with what they sum: its sides are plain shuffles, and Spark splits large clusters.
+    sizes = stored(raw.groupBy("root").agg(F.count("*").alias("size")), folder, "sizes")
     members = raw.join(sizes, "root").select(F.col("root").alias("cluster"), "size", "node")
     ids = stored(members.join(firsts.select(F.col("doc_id").alias("node"), "raw"), "node"), folder, "members")
     texts = docs.select(F.col(id_col).cast("bigint").alias("node"), F.xxhash64(text_col).alias("raw"),

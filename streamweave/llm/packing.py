@@ -16,13 +16,14 @@ from __future__ import annotations
 import base64
 import zlib
 from bisect import bisect_left, insort
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from streamweave.llm.common import chunks, scratch, stored
+from streamweave.llm.common import chunks, scratch, small_batches, stored
 
 LENGTH, OPEN, CUT = 1024, 64, 32
 #: Left-over windows of a merge group.
@@ -31,6 +32,7 @@ GROUP = 256
 WITHIN = 40
 
 
+@lru_cache(maxsize=2)
 def encoder(path: str):
     """texts -> lists of ids, without special tokens; ``path``: a tokenizer's .json or a table of ranks (.tiktoken)."""
     if path.endswith(".tiktoken"):
@@ -98,7 +100,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, path: str, end: int, len
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)],
                                               schema=schema)
 
-        for batch in chunks(batches, 1, 2 << 20):
+        for batch in chunks(batches, 1):
             out = []
             for doc, ids in zip(batch.column(0).to_pylist(), encode([t or "" for t in batch.column(1).to_pylist()])):
                 ids.append(end)
@@ -122,7 +124,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, path: str, end: int, len
         if waiting:
             yield table([(*p[:8], True) for own in waiting.values() for p in own])
 
-    return (docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"))
+    return (small_batches(docs).select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"))
             .mapInArrow(run, PIECE + ", open boolean"))
 
 

@@ -20,7 +20,7 @@ from math import isqrt
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from streamweave.llm.common import chunks
+from streamweave.llm.common import chunks, small_batches
 
 ROUNDS = 10
 #: Dates that can be permuted: all from the first of these days up to the last.
@@ -217,5 +217,5 @@ def pseudonymized(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
                 [batch.column(0), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], FOUND),
                  pa.array([len(r[1]) for r in rows], pa.int64())], names=["doc_id", "text", "found", "n_found"])
 
-    return (docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"))
+    return (small_batches(docs).select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"))
             .mapInArrow(run, "doc_id bigint, text string, found array<struct<kind:string,start:int,end:int>>, n_found bigint"))

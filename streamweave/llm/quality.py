@@ -9,14 +9,12 @@ the input. Scoring is one pass over the texts: sparse dot products against the b
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from streamweave.llm.common import WordHash, chunks, mix
+from streamweave.llm.common import chunks, mix, small_batches
+from streamweave.llm.words import AS_IT_IS, Words
 
 BITS = 18
 #: Rows with a label that training reads, about; a hash of doc_id picks them when there are more.
@@ -24,13 +22,19 @@ SAMPLE = 24_000
 #: Rows of a training task, about; passes over them.
 PART, EPOCHS = 4_000, 8
 ALPHA, BETA, L1, L2 = 20.0, 1.0, 1e-4, 1e-3
-TOKEN = re.compile(rb"[A-Za-z0-9\x80-\xff]+|[^\sA-Za-z0-9\x80-\xff]+")
+#: Letters, digits and all bytes beyond ASCII are one kind of token, other visible characters another.
+KINDS = np.full(256, 2, np.uint8)
+KINDS[48:58] = KINDS[65:91] = KINDS[97:123] = KINDS[128:] = 1
+KINDS[[9, 10, 11, 12, 13, 32]] = 0
 SAME = np.uint64(0x5851F42D4C957F2D)
 
 
-def features(text: bytes | None, cache: WordHash) -> tuple[np.ndarray, np.ndarray]:
-    """(buckets, values) of a text; the values' squares add up to 1, or there are none."""
-    words = cache.of(TOKEN.findall(text or b""))
+def tokens_of(column: pa.Array) -> Words:
+    return Words(column, KINDS, AS_IT_IS)
+
+
+def features(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, values) of a text's token hashes; the values' squares add up to 1, or there are none."""
     if not len(words):
         return np.zeros(0, np.int64), np.zeros(0)
     pairs = np.where(words[1:] == words[:-1], SAME, words[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:])
@@ -60,17 +64,19 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS) -
 
 def trained(texts: DataFrame, parts: int) -> np.ndarray:
     """Mean weights of ``parts`` models over (doc_id, text, label); zeros without rows."""
-    def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        cache = WordHash()
-        frame = frame.sort_values(["order", "doc_id", "label"])
-        rows = [(*features(bytes(t or b""), cache), int(y)) for t, y in zip(frame["text"], frame["label"])]
+    def fit(table):
+        table = table.sort_by([("order", "ascending"), ("doc_id", "ascending"), ("label", "ascending")])
+        rows = []
+        for batch in chunks(table.to_batches(), table.column_names.index("text")):
+            words = tokens_of(batch.column("text"))
+            rows += [(*features(words.of(i)), y) for i, y in enumerate(batch.column("label").to_pylist())]
         w = ftrl(rows)
         at = np.flatnonzero(w)
-        return pd.DataFrame({"at": at, "w": w[at], "rows": len(rows)})
+        return pa.table({"at": pa.array(at, pa.int64()), "w": pa.array(w[at]), "rows": pa.array(np.full(len(at), len(rows)))})
 
     rows = texts.withColumn("order", F.xxhash64("doc_id", F.lit("order")))
     dealt = rows.groupBy(F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(parts)).alias("part"))
-    sums = (dealt.applyInPandas(fit, "at bigint, w double, rows bigint")
+    sums = (dealt.applyInArrow(fit, "at bigint, w double, rows bigint")
             .groupBy("at").agg(F.sum(F.col("w") * F.col("rows")).alias("w"), F.sum("rows").alias("rows")).collect())
     out = np.zeros((1 << BITS) + 1)
     most = max((r[2] for r in sums), default=1)
@@ -105,14 +111,14 @@ def quality_scores(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id",
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches):
-        cache, w = WordHash(), sent.value
+        w = sent.value
         for batch in chunks(batches, 1):
-            scores = []
-            for text in batch.column(1).to_pylist():
-                at, x = features(text, cache)
+            words, scores = tokens_of(batch.column(1)), []
+            for i in range(batch.num_rows):
+                at, x = features(words.of(i))
                 scores.append(w[at] @ x + w[-1])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(np.array(scores), -35, 35))))], names=["doc_id", "score"])
 
-    return (docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("binary"))
+    return (small_batches(docs).select(F.col(id_col).cast("bigint"), F.col(text_col).cast("binary"))
             .mapInArrow(run, "doc_id bigint, score double"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from streamweave.llm import chat, decontam
+from streamweave.llm import chat, decontam, oracles
 from streamweave.llm.ann import nearest
 from streamweave.llm.line_dedup import drop_repeated_runs
 from streamweave.llm.near_dedup import near_duplicates
@@ -81,4 +81,6 @@ QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_chat_formatting, op3_minhash_near_dedup, op4_packing, op5_permutation_index,
     op6_kd_tree_sharding, op7_pii_pseudonyms, op8_quality_classifier, op9_secret_scan, op10_line_dedup)}
 
-ORACLES: dict[str, str] = {}
+#: The other queries are held against brute force, a round trip or held-out accuracy in tests/llm.
+ORACLES = {"op1_benchmark_decontamination": oracles.OP1, "op2_chat_formatting": oracles.OP2,
+           "op3_minhash_near_dedup": oracles.OP3}

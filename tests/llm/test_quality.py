@@ -2,10 +2,10 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from streamweave.llm.common import WordHash
-from streamweave.llm.quality import features, ftrl, held_out, quality_model, quality_scores
+from streamweave.llm.quality import features, ftrl, held_out, quality_model, quality_scores, tokens_of
 
 GOOD = "the river runs past old stone houses and people walk there in evening light".split()
 
@@ -72,9 +72,9 @@ def test_held_out_rule(spark):
 
 
 def test_ftrl_separates_and_features_have_length_one():
-    cache = WordHash()
-    at, x = features(b"one two two three", cache)
+    of = lambda text: features(tokens_of(pa.array([text], pa.binary())).of(0))
+    at, x = of(b"one two two three")
     assert abs((x * x).sum() - 1) < 1e-9 and len(at) == 6
-    w = ftrl([(*features(b"good words here", cache), 1), (*features(b"bad junk there", cache), 0)] * 5)
-    at, x = features(b"good words", cache)
+    w = ftrl([(*of(b"good words here"), 1), (*of(b"bad junk there"), 0)] * 5)
+    at, x = of(b"good words")
     assert w[at] @ x + w[-1] > 0

@@ -1,0 +1,55 @@
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+
+from streamweave.llm.decontam import IN_WORD as LETTERS
+from streamweave.llm.near_dedup import IN_WORD as VISIBLE
+from streamweave.llm.quality import KINDS
+from streamweave.llm.words import AS_IT_IS, Words
+
+
+def texts(seed):
+    rng = random.Random(seed)
+    out = ["".join(rng.choice("abcZ09 .,\n\té😀_|") for _ in range(rng.randrange(60))) for _ in range(80)]
+    return out + [None, "", " ", "x" * 5000, "a " * 300, "end", " nbsp em"]
+
+
+def test_words_are_those_of_the_patterns():
+    rows = texts(1)
+    cases = [(LETTERS, None, r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", True), (VISIBLE, None, r"[^\x20\x09-\x0D]+", True),
+             (KINDS, AS_IT_IS, r"[A-Za-z0-9\u0080-\U0010ffff]+|[^\x20\x09-\x0DA-Za-z0-9\u0080-\U0010ffff]+", False)]
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for column in (pa.array(rows), pa.array(rows).slice(7), pa.array([None if t is None else t.encode() for t in rows], pa.binary()).slice(3, 60)):
+        own = [v.decode() if isinstance(v, bytes) else v or "" for v in column.to_pylist()]
+        for kinds, letters, pattern, low in cases:
+            w = Words(column.cast(pa.binary()), kinds) if letters is None else Words(column.cast(pa.binary()), kinds, letters)
+            want = [re.findall(pattern, t.translate(lower) if low else t) for t in ["" if v is None else v for v in own]]
+            got = [[w.text(j, 1).decode() for j in range(w.first[i], w.first[i + 1])] for i in range(len(own))]
+            assert got == want
+            hashes = {}
+            for i, words in enumerate(want):
+                for word, h in zip(words, w.of(i).tolist()):
+                    assert hashes.setdefault(word, h) == h
+            assert len(set(hashes.values())) == len(hashes)
+
+
+def test_hashes_do_not_depend_on_the_place_or_the_column():
+    a, b = Words(pa.array([b"x y", b"long" * 40 + b" z"]), VISIBLE), Words(pa.array([b"long" * 40, b"", b"q z y x"]), VISIBLE)
+    assert a.of(1).tolist() == [b.of(0)[0], b.of(2)[1]] and a.of(0).tolist() == b.of(2)[:1:-1].tolist()
+
+
+def test_regular_long_words_differ():
+    thue = ["a"]
+    for _ in range(12):
+        thue.append(thue[-1] + thue[-1].translate(str.maketrans("ab", "ba")))
+    pairs = [(t, t.translate(str.maketrans("ab", "ba"))) for t in thue]
+    w = Words(pa.array([s.encode() for p in pairs for s in p]), VISIBLE)
+    assert len(set(w.hash.tolist())) == 2 * len(pairs)
+
+
+def test_no_texts():
+    w = Words(pa.array([], pa.binary()), VISIBLE)
+    assert len(w.hash) == 0 and w.first.tolist() == [0] and len(w.runs(3)) == 0
+    assert np.array_equal(Words(pa.array([None, b""], pa.binary()), VISIBLE).first, [0, 0, 0])
