@@ -39,8 +39,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least doc_id of each group of near-duplicates stays (5-word shingles, similarity 0.8), once."""
-    kept = near_duplicates(docs).where("kept").select("doc_id")
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    kept = near_duplicates(docs).where("kept").select("doc_id", F.col("text_hash").alias("hash_of_text_")).distinct()
+    keys = ["doc_id", "hash_of_text_"]
+    # The join's rows are sorted by both keys, so repeated rows go without another sort.
+    named = docs.withColumn("hash_of_text_", F.xxhash64("text")).join(kept, keys, "left_semi").dropDuplicates(keys)
     return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 

@@ -205,7 +205,7 @@ def confirmed(members: DataFrame, k: int, over: int, under: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, over: int = 80,
                     under: int = 100, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row for each row of ``docs``.
+    """(doc_id, n_shingles, component_id, kept, text_hash), one row for each row of ``docs``.
 
     Two documents are linked if ``under * |A & B| >= over * |A | B|`` for their sets of distinct k-word
     shingles. component_id: the least doc_id that links reach. kept: doc_id = component_id.
@@ -218,9 +218,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = (signs.where("node is not null and doc_id is not null")
                .groupBy("node").agg(F.min("doc_id").alias("least")))
     classes = stored(classes, folder, "classes")
-    # The row of a class's least id stands for the class; repeated rows of it are equal.
+    # The rows of a class's least id stand for the class: one, or repeated ones that are equal.
     firsts = signs.join(classes.select("node", F.col("least").alias("doc_id")), ["node", "doc_id"], "left_semi")
-    firsts = stored(firsts.dropDuplicates(["node"]), folder, "firsts")
+    firsts = stored(firsts.select("doc_id", "raw", "bands"), folder, "firsts")
     banded = firsts.select(F.col("doc_id").alias("node"), F.explode("bands").alias("bucket"))
     stars = banded.groupBy("bucket").agg(F.min("node").alias("least")).join(banded, "bucket").where("node <> least")
     raw = components(stars.select(F.col("node").alias("a"), F.col("least").alias("b")), folder, "raw")
@@ -228,7 +228,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Sums are stored before the join with what they sum: its sides are plain shuffles, and Spark splits large clusters.
     sizes = stored(raw.groupBy("root").agg(F.count("*").alias("size")), folder, "sizes")
     members = raw.join(sizes, "root").select(F.col("root").alias("cluster"), "size", "node")
-    ids = stored(members.join(firsts.select(F.col("doc_id").alias("node"), "raw"), "node"), folder, "members")
+    ids = stored(members.join(firsts.select(F.col("doc_id").alias("node"), "raw"), "node").distinct(), folder, "members")
     texts = docs.select(F.col(id_col).cast("bigint").alias("node"), F.xxhash64(text_col).alias("raw"),
                         F.col(text_col).cast("binary").alias("text"))
     # Picks the clustered rows before their texts are shuffled, as long as the list of ids is small.
@@ -239,7 +239,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = components(confirmed(found, k, over, under), folder, "links")
     labels = (classes.join(links.select(F.col("node").alias("least"), "root"), "least", "left")
               .select("node", F.coalesce("root", "least").alias("component_id")))
-    return (signs.join(labels, "node", "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
+    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    out = signs.join(labels, "node", "left").withColumn("component_id", component)
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+    return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), F.col("raw").alias("text_hash"))

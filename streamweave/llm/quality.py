@@ -20,7 +20,7 @@ BITS = 18
 #: Rows with a label that training reads, about; a hash of doc_id picks them when there are more.
 SAMPLE = 24_000
 #: Rows of a training task, about; passes over them.
-PART, EPOCHS = 4_000, 8
+PART, EPOCHS = 2_000, 8
 ALPHA, BETA, L1, L2 = 20.0, 1.0, 1e-4, 1e-3
 #: Letters, digits and all bytes beyond ASCII are one kind of token, other visible characters another.
 KINDS = np.full(256, 2, np.uint8)
@@ -36,10 +36,10 @@ def tokens_of(column: pa.Array) -> Words:
 def features(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(buckets, values) of a text's token hashes; the values' squares add up to 1, or there are none."""
     if not len(words):
-        return np.zeros(0, np.int64), np.zeros(0)
+        return np.zeros(0, np.int32), np.zeros(0, np.float32)
     pairs = np.where(words[1:] == words[:-1], SAME, words[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:])
     at, n = np.unique(mix(np.concatenate((words, pairs))) >> np.uint64(64 - BITS), return_counts=True)
-    return at.astype(np.int64), np.sqrt(n / n.sum())
+    return at.astype(np.int32), np.sqrt(n / n.sum()).astype(np.float32)
 
 
 def ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS) -> np.ndarray:

@@ -39,7 +39,7 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), k=3, over=85, under=100)
+    return near_duplicates(table(spark, sf_dir, "documents"), k=3, over=85, under=100).drop("text_hash")
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,7 +55,7 @@ def test_repeated_rows_null_ids_and_other_columns(spark):
 
 def test_empty_table(spark):
     out = near_duplicates(docs_of(spark, []))
-    assert out.columns == ["doc_id", "n_shingles", "component_id", "kept"] and out.count() == 0
+    assert out.columns == ["doc_id", "n_shingles", "component_id", "kept", "text_hash"] and out.count() == 0
 
 
 def test_sketches_fill_and_agree_as_often_as_sets_meet():
