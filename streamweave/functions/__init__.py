@@ -1,17 +1 @@
 """Column-level helpers (pure expressions, JVM side)."""
-
-from streamweave.functions.text import (  # noqa: F401
-    java_split_words,
-    java_trim,
-    java_length,
-    sensor_text,
-    user_behavior_text,
-    item_view_count_text,
-)
-from streamweave.functions.time import (  # noqa: F401
-    duration_ms,
-    epoch_ms,
-    epoch_seconds,
-    event_time_from_ms,
-    event_time_from_seconds,
-)

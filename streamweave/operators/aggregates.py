@@ -36,17 +36,17 @@ DOCS_PER_CHUNK = 256
 
 
 def rolling_word_count(words: DataFrame, col: str = "word", order: Sequence[str] = ("doc_id", "line_no", "pos"),
-                       per_chunk: int = DOCS_PER_CHUNK) -> DataFrame:
+                       per_chunk: int = DOCS_PER_CHUNK, chunk: list[Column] | None = None) -> DataFrame:
     """A2 ``keyBy(word).sum(1)``: per input word, its count so far.
 
     Words are in the order of the ``order`` columns, compared as they are (no
     packed number that could overflow). Chunks are ranges of ``per_chunk``
-    values of the first of them (documents, or lines of a text file), so a
-    frequent word is split while the chunk summary stays far smaller than
-    the input. Text is split into words once: the totals come from the
+    values of the first of them (documents, or lines of a text file), or the
+    columns ``chunk``, so a frequent word is split while the chunk summary
+    stays far smaller than the input. Text is split into words once: the totals come from the
     chunks' running counts."""
     df = words.select(F.col(col).alias("word"), *order)
-    return keyed_scan(df, ["word"], list(order), seq_chunks(order[0], per_chunk), [Scan("count", "count")],
+    return keyed_scan(df, ["word"], list(order), chunk or seq_chunks(order[0], per_chunk), [Scan("count", "count")],
                       one_pass=True)
 
 

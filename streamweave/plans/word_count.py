@@ -3,25 +3,22 @@ streaming job (ST15) over a folder of text files."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streamweave.operators.aggregates import rolling_word_count, word_count
 from streamweave.operators.transforms import split_words
-from streamweave.sources.text import read_lines, read_lines_stream
+from streamweave.sources.text import PLACE, read_lines, read_lines_stream
 from streamweave.streaming.runner import IdempotentParquetSink, start
 
 
-def words_of_text_lines(lines: DataFrame) -> DataFrame:
-    """Words of ``read_lines`` output: (seq of the line, pos, word)."""
-    return split_words(lines)
-
-
 def batch_word_count(spark: SparkSession, path: str) -> DataFrame:
-    return word_count(words_of_text_lines(read_lines(spark, path)))
+    return word_count(split_words(read_lines(spark, path, numbered=False)))
 
 
 def rolling_text_word_count(spark: SparkSession, path: str) -> DataFrame:
-    return rolling_word_count(words_of_text_lines(read_lines(spark, path)), order=("seq", "pos"), per_chunk=1 << 16)
+    """(word, file, block, line, pos, count) in the order of the files' lines; a chunk is a file block."""
+    words = split_words(read_lines(spark, path, numbered=False), keep=PLACE)
+    return rolling_word_count(words, order=(*PLACE, "pos"), chunk=[F.col("file"), F.col("block")])
 
 
 def stream_word_count(spark: SparkSession, folder: str, out: str, checkpoint: str,

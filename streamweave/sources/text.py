@@ -1,9 +1,10 @@
 """S3/S4 text files as lines, S5-S7 line parsers, S11 CSV tables, S12.
 
-Lines get a global, exact ``seq`` (their line number across the input in
-(file, offset) order) without a one-partition window: Spark reads each
-file block in order, so a line's position is (block rank, row in block).
-Only the per-block summary (one row per block) is ordered globally.
+A line's place is (file, block, line): Spark reads each file block in order, so
+that order needs no shuffle, and operators that take several order columns use
+it as it is. A global line number (``seq``, exact across the input in (file,
+offset) order) is made on request: without a one-partition window over the
+lines, only the per-block summary (one row per block) is ordered globally.
 """
 
 from __future__ import annotations
@@ -15,20 +16,27 @@ from streamweave import schemas
 from streamweave.functions.text import java_trim
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``readTextFile``: (value, file, seq), seq = 0-based global line number."""
+#: The order columns of unnumbered lines.
+PLACE = ("file", "block", "line")
+
+
+def read_lines(spark: SparkSession, path: str, numbered: bool = True) -> DataFrame:
+    """``readTextFile``: (value, file, seq), seq = 0-based global line number;
+    with ``numbered`` off (value, file, block, line) in one pass."""
     raw = (spark.read.text(path)
            .select("value",
                    F.col("_metadata.file_path").alias("file"),
                    F.col("_metadata.file_block_start").alias("block"),
-                   F.monotonically_increasing_id().alias("_mid")))
+                   F.monotonically_increasing_id().alias("line")))
+    if not numbered:
+        return raw
     blocks = (raw.groupBy("file", "block")
-              .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n")))
+              .agg(F.min("line").alias("_first"), F.count(F.lit(1)).alias("_n")))
     # One row per file block: small by construction (input bytes / block size).
     order = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0)))
     return (raw.join(blocks, ["file", "block"])
-            .select("value", "file", (F.col("_before") + F.col("_mid") - F.col("_first")).alias("seq")))
+            .select("value", "file", (F.col("_before") + F.col("line") - F.col("_first")).alias("seq")))
 
 
 def _fields(line: Column, n: int) -> list[Column]:

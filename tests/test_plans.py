@@ -14,7 +14,7 @@ def test_text_word_count_batch_and_rolling(spark, tmp_path):
     wc = {r.word: r["count"] for r in word_count.batch_word_count(spark, str(tmp_path)).collect()}
     assert wc == WORD_COUNTS
     rc = word_count.rolling_text_word_count(spark, str(tmp_path))
-    assert [r["count"] for r in rc.where("word = 'oak'").orderBy("seq").collect()] == [1, 2, 3, 4]
+    assert [r["count"] for r in rc.where("word = 'oak'").orderBy("file", "block", "line").collect()] == [1, 2, 3, 4]
 
 
 def test_stream_word_count_resumes(spark, tmp_path):
