@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from streamweave.functions.time import duration_label, duration_ms
-from streamweave.operators.scan import Scan, keyed_scan, time_chunks
+from streamweave.operators.scan import Scan, keyed_scan, restored, surrogates, time_chunks
 
 JAVA_DOUBLE_MIN_VALUE = 4.9e-324  # fixed value: Java's Double.MIN_VALUE, the initial "last" (D3)
 DEFAULT_CHUNK_MS = 3_600_000
@@ -202,15 +202,15 @@ def greedy_windows(rows: DataFrame, key: str, width: int) -> DataFrame:
     return out.select(F.col("__key").cast(dtype).alias(key), "first", "last", "total")
 
 
-def _runs(marks: DataFrame, key: str, time_col: str, chunk, ends: str, opens: str) -> DataFrame:
-    """Rows of ``greedy_windows`` from one row per (key, time): ``ends`` closes the run before it, ``opens`` > 0
-    is what the row adds to the run that begins or goes on."""
-    marks = keyed_scan(marks, [key], [time_col], chunk, [Scan("__run", "sum", F.col(ends).cast("bigint"))])
+def _windows_of(numbered: DataFrame, key: str, width: int) -> DataFrame:
+    """``greedy_windows`` over rows (key, __t, __ends, __opens, __run): ``__ends`` closes the run before it,
+    ``__opens`` > 0 is what the row adds to the run that begins or goes on."""
     row = lambda run, n, end: F.struct(run.alias("run"), n.cast("bigint").alias("n"), F.lit(end).alias("end"))
-    both = F.array(F.when(F.col(ends), row(F.col("__run") - 1, F.lit(0), True)),
-                   F.when(F.col(opens) > 0, row(F.col("__run"), F.col(opens), False)))
-    out = marks.select(key, F.col(time_col).alias("__t"), F.explode(F.filter(both, lambda x: x.isNotNull())).alias("x"))
-    return out.select(key, F.col("x.run").alias("__run"), "__t", F.col("x.n").alias("__n"), F.col("x.end").alias("__end"))
+    both = F.array(F.when(F.col("__ends"), row(F.col("__run") - 1, F.lit(0), True)),
+                   F.when(F.col("__opens") > 0, row(F.col("__run"), F.col("__opens"), False)))
+    out = numbered.select(key, "__t", F.explode(F.filter(both, lambda x: x.isNotNull())).alias("x"))
+    return greedy_windows(out.select(key, F.col("x.run").alias("__run"), "__t", F.col("x.n").alias("__n"),
+                                     F.col("x.end").alias("__end")), key, width)
 
 
 def rising_alerts(df: DataFrame, interval: str = "10 seconds", key: str = "id", time_col: str = "timestamp",
@@ -220,24 +220,54 @@ def rising_alerts(df: DataFrame, interval: str = "10 seconds", key: str = "id",
 
     Output: (key, alert_time ms). The first reading arms iff temp > 0; null
     readings neither rise nor fall.
+
+    Instants are compared with the one before, and falls are numbered, in one
+    two-level pass: inside chunks of time, then over one row per chunk (its
+    first and last reading, its falls), joined back. Both levels read the
+    same shuffled columns, so the shuffle is made once.
     """
     n = duration_ms(interval)
-    before = F.lag(field).over(Window.partitionBy(key, time_col).orderBy("seq"))
-    rows = df.select(key, F.col(time_col).alias("__t"), "seq", F.col(field).alias("__v"),
-                     (F.col(field) < before).alias("__fall"), (F.col(field) > before).alias("__rise"))
+    rows = df.select(key, F.col(time_col).alias("__t"), "seq", F.col(field).alias("__v"))
+    before = F.lag("__v").over(Window.partitionBy(key, "__t").orderBy("seq"))
+    rows = rows.select("*", (F.col("__v") < before).alias("__fall"), (F.col("__v") > before).alias("__rise"))
     instants = rows.groupBy(key, "__t").agg(
         F.min_by("__v", "seq").alias("__first"), F.max_by("__v", "seq").alias("__last"),
         F.max(F.when(F.col("__fall"), F.col("seq"))).alias("__f"),
         F.max(F.when(F.col("__rise"), F.col("seq"))).alias("__r"))
-    seen = keyed_scan(instants, [key], ["__t"], time_chunks("__t", chunk_ms), [Scan("__prev", "lag", F.col("__last"))])
-    prev = F.coalesce("__prev", F.lit(JAVA_DOUBLE_MIN_VALUE))
-    fall, rise = F.coalesce(F.col("__first") < prev, F.lit(False)), F.coalesce(F.col("__first") > prev, F.lit(False))
-    marks = seen.select(
-        key, "__t", (fall | F.col("__f").isNotNull()).alias("__ends"),
-        F.when(F.col("__f").isNotNull(), F.coalesce(F.col("__r") > F.col("__f"), F.lit(False)))
-        .otherwise(rise | F.col("__r").isNotNull()).cast("int").alias("__opens"))
-    runs = _runs(marks.where("__ends or __opens > 0"), key, "__t", time_chunks("__t", chunk_ms), "__ends", "__opens")
-    return greedy_windows(runs, key, n).select(key, (F.col("first") + F.lit(n)).alias("alert_time"))
+    instants, part = surrogates(instants, [key])
+    # What an instant's own rows do after its first: 1 a fall, 2 a rise after the last fall or without one.
+    own = (F.when(F.col("__f").isNull(), F.when(F.col("__r").isNotNull(), 2).otherwise(0))
+           .otherwise(F.when(F.col("__r") > F.col("__f"), 3).otherwise(1)))
+    instants = instants.select(*part, "__t", "__first", "__last", own.alias("__own"),
+                               F.expr(f"__t div {int(chunk_ms)}").alias("__chunk"))
+    in_chunk = Window.partitionBy(*part, "__chunk").orderBy("__t")
+    start = F.lit(JAVA_DOUBLE_MIN_VALUE)
+    seen = instants.withColumn("__head", F.lag("__t").over(in_chunk).isNull())
+    seen = seen.withColumn("__prev", F.coalesce(F.lag("__last").over(in_chunk), start))
+    fell = F.coalesce(F.col("__first") < F.col("__prev"), F.lit(False))
+    inner = F.col("__own").bitwiseAND(1) == 1
+    seen = seen.withColumn("__in", (inner | (~F.col("__head") & fell)).cast("int"))
+    seen = seen.withColumn("__cum", F.sum("__in").over(in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    chunks = seen.groupBy(*part, "__chunk").agg(
+        F.min_by("__first", "__t").alias("__cf"), F.max_by("__last", "__t").alias("__cl"), F.max("__cum").alias("__falls"),
+        F.min_by("__in", "__t").alias("__headed"))
+    along = Window.partitionBy(*part).orderBy("__chunk")
+    chunks = chunks.withColumn("__before", F.coalesce(F.lag("__cl").over(along), start))
+    # A chunk whose first reading is a fall from the chunk before, unless its first instant counts already.
+    chunks = chunks.withColumn("__extra", (F.coalesce(F.col("__cf") < F.col("__before"), F.lit(False))
+                                           & (F.col("__headed") == 0)).cast("int"))
+    upto = along.rowsBetween(Window.unboundedPreceding, -1)
+    chunks = chunks.select(*part, "__chunk", "__before", "__extra",
+                           F.coalesce(F.sum(F.col("__falls") + F.col("__extra")).over(upto), F.lit(0)).alias("__base"))
+    out = seen.join(chunks.hint("merge"), [*part, "__chunk"])
+    out = out.withColumn("__prev", F.when(F.col("__head"), F.col("__before")).otherwise(F.col("__prev")))
+    rose = F.coalesce(F.col("__first") > F.col("__prev"), F.lit(False))
+    late_rise = F.col("__own").bitwiseAND(2) == 2
+    marks = out.select(restored(df, key, part).alias(key), "__t", (inner | fell).alias("__ends"),
+                       (late_rise | (~inner & rose)).cast("int").alias("__opens"),
+                       (F.col("__base") + F.col("__extra") + F.col("__cum")).alias("__run"))
+    found = _windows_of(marks.where("__ends or __opens > 0"), key, n)
+    return found.select(key, (F.col("first") + F.lit(n)).alias("alert_time"))
 
 
 def login_fail_warnings(df: DataFrame, window: str = "2 seconds", max_fails: int = 1, key: str = "userId",
@@ -251,14 +281,17 @@ def login_fail_warnings(df: DataFrame, window: str = "2 seconds", max_fails: int
     ``fail`` counts as a success."""
     w_s = duration_ms(window) // 1000
     label = duration_label(window)
-    ok = F.coalesce(F.col(state_col) != "fail", F.lit(True))
-    last_ok = F.max(F.when(ok, F.col("seq"))).over(Window.partitionBy(key, time_col))
-    rows = df.select(key, F.col(time_col).alias("__t"), ok.alias("__ok"),
-                     (~ok & F.coalesce(F.col("seq") > last_ok, F.lit(True))).alias("__fail"))
-    marks = rows.groupBy(key, "__t").agg(F.bool_or("__ok").alias("__ends"),
-                                         F.sum(F.col("__fail").cast("int")).alias("__opens"))
-    runs = _runs(marks, key, "__t", time_chunks("__t", chunk_width), "__ends", "__opens")
-    found = greedy_windows(runs, key, w_s).where(F.col("total") >= max_fails)
+    ok = F.col("__ok")
+    rows = df.select(key, F.col(time_col).alias("__t"), "seq", F.coalesce(F.col(state_col) != "fail", F.lit(True)).alias("__ok"))
+    last_ok = F.max(F.when(ok, F.col("seq"))).over(Window.partitionBy(key, "__t"))
+    rows = rows.select(key, "__t", "__ok", (~ok & F.coalesce(F.col("seq") > last_ok, F.lit(True))).alias("__fail"))
+    marks = rows.groupBy(key, "__t").agg(F.bool_or("__ok").alias("__ends"), F.sum(F.col("__fail").cast("int")).alias("__n"))
+    # Both in one column: the scan's two levels then need the same columns, and the shuffle is made once.
+    marks = marks.select(key, "__t", (F.col("__n") * 2 + F.col("__ends").cast("int")).alias("__code"))
+    ends = F.col("__code") % 2
+    runs = keyed_scan(marks, [key], ["__t"], time_chunks("__t", chunk_width), [Scan("__run", "sum", ends)], one_pass=True)
+    runs = runs.select(key, "__t", "__run", (ends == 1).alias("__ends"), F.expr("__code div 2").alias("__opens"))
+    found = _windows_of(runs, key, w_s).where(F.col("total") >= max_fails)
     return found.select(key, F.col("first").alias("firstFailTime"), F.col("last").alias("lastFailTime"),
                         F.concat(F.lit(f"login fail in {label} for "), F.col("total").cast("string"),
                                  F.lit(" times")).alias("warningMsg"))

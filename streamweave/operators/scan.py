@@ -80,7 +80,7 @@ _FLAT_DEFAULTS = {"string": "", "bigint": 0, "int": 0, "smallint": 0, "tinyint":
                   "float": 0.0, "boolean": False}
 
 
-def _surrogates(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+def surrogates(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     """Non-null stand-ins for the keys, so null keys group and join like
     any other value. One primitive key: (coalesce(k, default), k is null),
     cheaper to hash and sort; otherwise one struct of the keys (struct
@@ -97,6 +97,11 @@ def _surrogates(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     return df.withColumn("__key", F.struct(*[F.col(k) for k in keys])), ["__key"]
 
 
+def restored(df: DataFrame, key: str, part: list[str]) -> Column:
+    """One key as it was, from its stand-ins ``part``."""
+    return F.when(~F.col("__knull"), F.col("__key")) if "__knull" in part else F.col("__key").getField(key)
+
+
 # Rows whose order value is null sort first in a window; they go to a
 # leading chunk, so they are kept (never lost to a null join key).
 _NULL_CHUNK = -(1 << 63)
@@ -126,13 +131,13 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column |
         if "__chunk" not in df.columns or (keys and "__key" not in df.columns):
             raise ValueError("chunk=None needs the columns of a previous scan with carry=True")
     else:
-        base, sk = _surrogates(df, list(keys))
+        base, sk = surrogates(df, list(keys))
         base = base.withColumn("__chunk", F.struct(*chunk) if isinstance(chunk, list)
                                else F.coalesce(chunk, F.lit(_NULL_CHUNK)))
     part = sk + ["__chunk"]
     whole = {}
     if one_pass and "__knull" in sk:  # the key travels once, as its stand-in
-        whole = {keys[0]: F.when(~F.col("__knull"), F.col("__key")).alias(keys[0])}
+        whole = {keys[0]: restored(df, keys[0], sk).alias(keys[0])}
         base = base.drop(keys[0])
     w_in = Window.partitionBy(*part).orderBy(*order)
     w_run = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
