@@ -117,8 +117,9 @@ def stream_to_table(df: DataFrame, name: str | None = None) -> DataFrame:
     return df
 
 
-def read_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """S3 streaming: lines of files in a folder (use ``availableNow`` to read once)."""
+def read_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = 64) -> DataFrame:
+    """S3 streaming: lines of files in a folder (use ``availableNow`` to read once),
+    ``max_files_per_trigger`` files in a micro-batch."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

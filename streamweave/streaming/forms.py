@@ -25,12 +25,15 @@ from streamweave.streaming.runner import IdempotentParquetSink, run_available_no
 
 
 ASCENDING = "1 millisecond"
+#: Files of a micro-batch, which bounds what a processor sorts per key.
+MAX_FILES = 64
 
 
-def events_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None,
+def events_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = MAX_FILES,
                   file_glob: str | None = None) -> DataFrame:
     """Events files arriving in ``folder`` (optionally only names matching
-    ``file_glob``), read in modification-time order."""
+    ``file_glob``), read in modification-time order, ``max_files_per_trigger``
+    at a time, so a backlog never becomes one micro-batch."""
     r = spark.readStream.schema(td.EVENTS_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -115,7 +118,7 @@ def open_windows(spark: SparkSession, checkpoint: str, key: str) -> DataFrame:
                         F.col("value.count").alias("count"))
 
 
-def hot_items_stream_run(spark: SparkSession, sf_dir: str, out_dir: str, max_files_per_trigger: int | None = None):
+def hot_items_stream_run(spark: SparkSession, sf_dir: str, out_dir: str, max_files_per_trigger: int | None = MAX_FILES):
     """Hot items over the events file as a stream, to completion: every window
     is emitted when the watermark passes it, and at the end of the input the
     open ones are flushed from the state, as one more batch of the sink."""

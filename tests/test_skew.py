@@ -129,3 +129,14 @@ def test_long_rises_equal_the_state_machine_across_batches(spark):
                 assert sorted(map(tuple, folds.rising_alerts(df, f"{n} ms", chunk_ms=chunk).collect())) == want
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_alerts_of_a_null_key_and_of_several_batches(spark):
+    rows = [(None, 1000, 1.0, 1), ("a", 1000, 2.0, 2), (None, 2000, 3.0, 3), ("a", 2000, 1.0, 4), (None, 9000, 2.0, 5), ("", 1000, 5.0, 6)]
+    df = spark.createDataFrame(rows, "id string, timestamp long, temperature double, seq long")
+    got = {(r.id, r.alert_time) for r in folds.rising_alerts(df, "2 seconds").collect()}
+    assert got == {(None, 3000), ("", 3000)}
+    logins = spark.createDataFrame([(None, "fail", 5, 1), (7, "fail", 5, 2), (None, "fail", 6, 3), (7, "success", 6, 4)],
+                                   "userId long, loginState string, timestamp long, seq long")
+    got = [tuple(r) for r in folds.login_fail_warnings(logins, "2 seconds", 1).collect()]
+    assert got == [(None, 5, 6, "login fail in 2s for 2 times")]
