@@ -5,7 +5,9 @@ and calendar dates are found by pattern and validated. A valid value is a number
 domain; a keyed Feistel network permutes that domain, and walking the permutation until the result is valid again
 keeps it a permutation of the valid values. Separators, lengths (of an IPv4 address: the dotted form), country codes
 and mail domains stay, check digits are made anew. The same key gives the same pseudonym wherever a value occurs, so
-documents stay linked, and whoever holds the key can turn it back.
+documents stay linked, and whoever holds the key can turn it back. Beside other numbers or capital words a match may
+take in too much: all its shorter ends and later starts, cut at separators, are tried as well. Only where a pseudonym
+would make another of these readings valid is the next one on its cycle taken.
 
 Each text is worked through on its own, where it was read: nothing is shuffled, collected or broadcast.
 """
@@ -37,8 +39,24 @@ PATTERNS = {
 }
 #: With a country code in front; the pattern starts at a plus sign.
 ABROAD = r"\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,5}\)?)(?:[ .-]?[0-9]{2,5}){1,4}"
-FINDER = re.compile(f"(?P<abroad>(?<![0-9A-Za-z+]){ABROAD}{EDGE[1]})|"
-                    + "|".join(f"(?P<{k}>{EDGE[0]}{'(?<![.@-])' if k == 'ip' else ''}(?:{p}){EDGE[1]})" for k, p in PATTERNS.items()))
+EDGED = {"abroad": f"(?<![0-9A-Za-z+]){ABROAD}{EDGE[1]}",
+         **{k: f"{EDGE[0]}{'(?<![.@-])' if k == 'ip' else ''}(?:{p}){EDGE[1]}" for k, p in PATTERNS.items()}}
+FINDER = re.compile("|".join(EDGED.values()))
+OWN = {k: re.compile(p) for k, p in EDGED.items()}
+#: Where a shorter reading may end: before a separator.
+CUT = re.compile(r"(?<=[0-9A-Z)])(?=[ .-])")
+#: Most digits behind a country code; numbers of other codes have at most 15 with it.
+MOST_DIGITS = {"1": 10, "7": 10, "20": 10, "27": 9, "30": 10, "31": 9, "32": 9, "33": 9, "34": 9, "36": 9, "39": 11, "40": 9, "41": 9,
+               "44": 10, "45": 8, "46": 9, "47": 8, "48": 9, "49": 11, "52": 10, "54": 11, "55": 11, "56": 9, "57": 10, "61": 9,
+               "64": 10, "65": 8, "81": 10, "86": 11, "90": 10, "91": 10, "351": 9, "353": 9, "380": 9, "420": 9, "421": 9, "852": 8}
+#: Lengths of IBANs by country.
+IBAN_LENGTHS = {"AD": 24, "AE": 23, "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24,
+                "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IS": 26, "IT": 27, "LI": 21, "LT": 20,
+                "LU": 20, "LV": 21, "MC": 27, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "RS": 22, "SA": 24, "SE": 24,
+                "SI": 19, "SK": 24, "SM": 27, "TR": 26, "UA": 29}
+#: Lengths of cards by their first digit.
+CARD_LENGTHS = {"2": (16,), "3": (14, 15), "4": (16,), "5": (16,), "6": (16,)}
+MARGIN = 64
 MAYBE = re.compile(r"[0-9@]")
 
 
@@ -186,17 +204,104 @@ class Pseudonyms:
         return "".join(reversed(out)) + "@" + domain
 
 
+def addresses(text: str, names: Pseudonyms) -> list[tuple[int, int]]:
+    return [m.span() for m in OWN["ip"].finditer(text) if names.of("ip", m[0]) is not None]
+
+
+def readings(text: str, kind: str, start: int, ips: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(rank, end) of what may be a value from ``start`` on: the match and its shorter ends.
+
+    None begins or ends inside an IPv4 address, whose pseudonym may have another length."""
+    m = OWN[kind].match(text, start)
+    if not m or any(s < start < e for s, e in ips):
+        return []
+    if kind not in ("abroad", "iban", "card"):
+        return [(0, m.end())]
+    ends = [m.end(), *(c.start() for c in CUT.finditer(text, start + 1, m.end()) if OWN[kind].fullmatch(text, start, c.start()))]
+    ends = [x for x in ends if not any(s < x < e for s, e in ips)]
+    sizes = {e: sum(c.isalnum() for c in text[start:e]) for e in ends}
+    if kind == "abroad":
+        digits = re.sub("[^0-9]", "", m[0])
+        most = next((n + MOST_DIGITS[digits[:n]] for n in (1, 2, 3) if digits[:n] in MOST_DIGITS), 15)
+        # One reading: the longest that is no longer than the country's numbers.
+        fit = [e for e in ends if 8 <= sizes[e] <= most] or [e for e in ends if 8 <= sizes[e] <= 15]
+        return [(0, max(fit))] if fit else []
+    usual = (IBAN_LENGTHS.get(m[0][:2]),) if kind == "iban" else CARD_LENGTHS.get(m[0][0], ())
+    return [(0 if sizes[e] in usual else 1, e) for e in ends]
+
+
+def stretch(text: str, m: re.Match, names: Pseudonyms, ips: list[tuple[int, int]]):
+    """(end, whether there was a choice, values, next match) of the stretch of overlapping readings that begins with ``m``.
+
+    Readings of a usual form come first, then the others; among them the first start, the kind and the longest one
+    decide. Every valid reading that none before it overlaps is a value: (start, end, kind)."""
+    end, all_ = m.start() + 1, []
+    while m and m.start() < end:
+        near = [x for x in ips if x[0] < m.start() + 64 and x[1] > m.start()] if ips else ips
+        for nth, kind in enumerate(OWN):
+            for rank, last in readings(text, kind, m.start(), near):
+                all_.append((rank, m.start(), nth, -last, kind))
+                end = max(end, last)
+        m = FINDER.search(text, m.start() + 1)
+    values = []
+    for _, start, _, last, kind in sorted(all_):
+        if all(-last <= s or start >= e for s, e, _ in values) and names.of(kind, text[start:-last]) is not None:
+            values.append((start, -last, kind))
+    return end, len(all_) > 1 or any(k == "ip" for *_, k in values), sorted(values), m
+
+
+def settled(text: str, at: int, begin: int, end: int, values: list, names: Pseudonyms) -> list[str]:
+    """The pseudonyms of a stretch whose readings could change; ``at``: where the stretch before it ends.
+
+    A pseudonym that would change which readings are taken is passed over for the next one on its cycle, so the way
+    back, from the last value to the first, finds the same values."""
+    now = [text[s:e] for s, e, _ in values]
+    # No reading that touches the stretch is longer than the margins, save mail addresses, which lie in it.
+    at = max(at, begin - MARGIN)
+    cut = max(0, at - 1)
+    text, at, end, values = text[cut:end + MARGIN], at - cut, end - cut, [(s - cut, e - cut, k) for s, e, k in values]
+
+    def as_read() -> bool:
+        out, spans, last = [], [], at
+        for (s, e, kind), new in zip(values, now):
+            out += [text[last:s], new]
+            first = (spans[-1][1] if spans else at) + s - last
+            spans.append((first, first + len(new), kind))
+            last = e
+        tail = spans[-1][1] + end - last
+        other = text[:at] + "".join(out) + text[last:]
+        m, found, ips = FINDER.search(other, at), [], addresses(other, names)
+        while m and not found:
+            to, _, found, m = stretch(other, m, names, ips)
+        return found == spans and to == tail
+
+    if not as_read():  # no margin is too small, but a walk without an end is the worst of answers
+        return [names.of(k, text[s:e]) for s, e, k in values]
+    for i in reversed(range(len(now))) if names.back else range(len(now)):
+        while True:
+            now[i] = names.of(values[i][2], now[i])
+            if as_read():
+                break
+    return now
+
+
 def replaced(text: str, names: Pseudonyms) -> tuple[str, list[dict]]:
     """The text with pseudonyms, and what was found: kind, start and end in the new text."""
-    out, found, at, length = [], [], 0, 0
-    if MAYBE.search(text):
-        for m in FINDER.finditer(text):
-            new = names.of(m.lastgroup, m[0])
-            if new is not None:
-                out += [text[at:m.start()], new]
-                length += m.start() - at + len(new)
-                found.append({"kind": "phone" if m.lastgroup == "abroad" else m.lastgroup, "start": length - len(new), "end": length})
-                at = m.end()
+    out, found, at, length, before = [], [], 0, 0, 0
+    m = FINDER.search(text) if MAYBE.search(text) else None
+    ips = addresses(text, names) if m else []
+    while m:
+        while ips and ips[0][1] <= before:
+            ips.pop(0)
+        begin = m.start()
+        end, choice, values, m = stretch(text, m, names, ips)
+        news = settled(text, before, begin, end, values, names) if choice and values else [names.of(k, text[s:e]) for s, e, k in values]
+        for (start, stop, kind), new in zip(values, news):
+            out += [text[at:start], new]
+            length += start - at + len(new)
+            found.append({"kind": "phone" if kind == "abroad" else kind, "start": length - len(new), "end": length})
+            at = stop
+        before = end
     return ("".join(out) + text[at:] if found else text), found
 
 

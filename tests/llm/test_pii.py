@@ -76,3 +76,28 @@ def test_nothing_planted_is_missed(spark, sf_dir):
 def test_replaced_returns_the_same_object_without_hits():
     text = "plain 12 text"
     assert replaced(text, Pseudonyms(b"k")) == (text, [])
+
+
+NEXT_TO = [("card 4111 1111 1111 1111 12/26", "4111 1111 1111 1111"), ("4111111111111111 123 cvv", "4111111111111111"),
+           ("item 12 4111111111111111", "4111111111111111"), ("12 4111 1111 1111 1111 7 99", "4111 1111 1111 1111"),
+           ("BE68 5390 0754 7034 EUR", "BE68 5390 0754 7034"), ("AB12 BE68 5390 0754 7034 EURO PAID 2024", "BE68 5390 0754 7034"),
+           ("+1 (017) 555-7713 2024", "+1 (017) 555-7713"), ("+1 (017) 555-7713 12345", "+1 (017) 555-7713"),
+           ("+44 20 7946 0958 2024", "+44 20 7946 0958"), ("123 212-555-1234", "212-555-1234"), ("212-555-1234 567", "212-555-1234")]
+
+
+@pytest.mark.parametrize("text,value", NEXT_TO)
+def test_values_beside_other_numbers_and_capital_words_are_found_and_linked(text, value):
+    (alone, _), (new, found) = replaced(value, Pseudonyms(b"k")), replaced(text, Pseudonyms(b"k"))
+    assert alone != value and new == text.replace(value, alone)
+    assert [new[f["start"]:f["end"]] for f in found] == [alone]
+    assert replaced(new, Pseudonyms(b"k", back=True))[0] == text
+
+
+def test_the_way_back_from_crowded_texts():
+    import random
+
+    rng, there, back = random.Random(3), Pseudonyms(b"k"), Pseudonyms(b"k", back=True)
+    values = [v for _, v in VALID] + ["1.2.3.4", "4111 1111 1111 1111", "EUR", "+1", "+", "12", "2024", "123456"]
+    for _ in range(1500):
+        text = rng.choice([" ", " ", "-", "."]).join(rng.choice(values) for _ in range(rng.randint(2, 8)))
+        assert replaced(replaced(text, there)[0], back)[0] == text
