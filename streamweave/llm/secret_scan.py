@@ -1,7 +1,7 @@
 """Secret scan with a random forest against false positives (operator 9), DataFrame functions only.
 
-Candidates are runs of 12 or more characters that keys and tokens are made of, with a digit among them. Each is
-described by its length, its changes of character class, its spread of characters, the part of it that dictionary
+Candidates are runs of 12 or more characters that keys and tokens are made of, with a digit among them; runs of a
+known issuer's format, digit or not; and whatever is assigned to a telling name, of any length. Each is described by its length, its changes of character class, its spread of characters, the part of it that dictionary
 words cover, whether it lies in a path or address, and the words around it. A random forest, trained from labelled
 findings, tells secrets from hashes, numbers, identifiers and paths.
 
@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from streamweave.llm.common import scratch, stored
 
 BODY = "A-Za-z0-9+/_-"
-CANDIDATE = f"(?<![{BODY}])(?=[A-Za-z+/_-]*+[0-9])[{BODY}]{{12,}}+={{0,2}}"
 #: Characters of a finding's surroundings that are looked at.
 AROUND = 48
 SAMPLE, TREES, DEPTH, SEED = 20_000, 24, 8, 11
@@ -30,6 +29,15 @@ MENTIONS = 20
 ISSUERS = (r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^sk_live_[A-Za-z0-9]{16,}$"
            r"|^AIza[A-Za-z0-9_-]{35}$|^glpat-[A-Za-z0-9_-]{20}$")
 TELLING = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api_?key|auth|credential|private_?key)[\"']?\s*(=|:|=>)\s*[\"']?$"
+RUN = f"(?<![{BODY}])(?=[A-Za-z+/_-]*+[0-9])[{BODY}]{{12,}}+={{0,2}}"
+ISSUED = f"(?<![{BODY}])(?:{ISSUERS.replace('^', '').replace('$', '')})(?![{BODY}])"
+#: A value behind an assignment to a telling name: between quotes, else up to white space or the next assignment. The
+#: first look back is cheap; spaces are as many as a finding's surroundings may hold.
+BEHIND = "(?<=[=:>\"'\\s])(?<=[=:>]\\s{0,32}[\"']?)(?<=" + TELLING.replace("\\s*", "\\s{0,32}").removesuffix("$").replace("(?i)", "(?i:", 1) + "))"
+PART = "[^\\s\"'<>,;&]+"
+VALUE = (f"{BEHIND}(?:(?<=\")[^\"\\r\\n]+(?=\")|(?<=')[^'\\r\\n]+(?=')"
+         f"|(?![=>:]){PART}(?:[,;&](?![A-Za-z_][A-Za-z0-9_.-]{{0,40}}\\s{{0,8}}[=:]){PART}){{0,64}}(?<![.:)\\]}}]))")
+CANDIDATE = f"{VALUE}|{ISSUED}|{RUN}"
 NAMES = ["password", "passwd", "pwd", "secret", "token", "key", "auth", "credential"]
 FEATURES = ["n_chars", "n_turns", "turn_rate", "n_distinct", "distinct_rate", "digit_rate", "upper_rate", "lower_rate",
             "hex_only", "digits_only", "coverage", "in_path", "n_slashes", "assigned", "quoted", "issuer",
@@ -43,9 +51,10 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     found = found.select("doc_id", F.xxhash64("text").alias("raw"), F.length("text").alias("size"),
                          F.regexp_extract_all("text", F.lit(f"({CANDIDATE})"), 1).alias("hits"),
                          F.split("text", CANDIDATE, -1).alias("gaps"))
-    # Between two candidates lies one gap: what stands before the one and behind the other.
+    # Between two candidates lies one gap: what stands before the one and behind the other. A short gap's candidate
+    # may hold the name that the next one is assigned to.
     item = F.arrays_zip("hits", F.transform("gaps", lambda g: F.length(g)).alias("skips"),
-                        F.transform("gaps", lambda g: F.right(g, F.lit(AROUND))).alias("befores"),
+                        F.transform("gaps", lambda g, i: F.right(F.concat(F.when(i > 0, F.get("hits", i - 1)).otherwise(""), g), F.lit(AROUND))).alias("befores"),
                         F.slice(F.transform("gaps", lambda g: F.left(g, F.lit(AROUND))), 2, F.size("gaps")).alias("afters"))
     found = found.select("doc_id", "raw", F.posexplode(item).alias("nth", "x")).where("x.hits is not null")
     found = found.dropDuplicates(["doc_id", "raw", "nth"])
