@@ -16,7 +16,7 @@ from streamweave.llm.line_dedup import drop_repeated_runs
 from streamweave.llm.near_dedup import near_duplicates
 from streamweave.llm.packing import packed
 from streamweave.llm.quality import quality_model, quality_scores
-from streamweave.llm.queries import THRESHOLD
+from streamweave.llm.queries import THRESHOLD, TOKENIZER
 
 
 def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
@@ -54,7 +54,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents' token sequences, each with its place."""
-    return packed(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), keep_ids=False).drop("ids")
+    path, ranks = map(public_tokenizers.path, TOKENIZER)
+    return packed(docs, path, keep_ids=False, ranks=ranks).drop("ids")
 
 
 STAGES = [("quality", quality), ("line_dedup", line_dedup), ("near_dedup", near_dedup),

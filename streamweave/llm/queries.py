@@ -20,6 +20,9 @@ THRESHOLD = 0.3
 #: The queries' key; a deployment passes its own secret.
 KEY = b"registered queries"
 
+#: The tokenizer that fixes the ids, and its vocabulary as ranks: the same ids of plain text, four times as fast.
+TOKENIZER = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -43,9 +46,8 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The .tiktoken file holds the vocabulary of byte_bpe_50k.json as ranks: the same ids, four times as fast.
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return packed(table(spark, sf_dir, "documents"), path, keep_ids=False).drop("ids")
+    path, ranks = map(public_tokenizers.path, TOKENIZER)
+    return packed(table(spark, sf_dir, "documents"), path, keep_ids=False, ranks=ranks).drop("ids")
 
 
 def op5_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:

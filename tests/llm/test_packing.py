@@ -82,3 +82,20 @@ def test_gaps_of_some_size_are_filled_by_a_cut():
     w = Open(100, 1, 30)
     w.place(60)
     assert w.place(70) == (0, 60, 40, True)
+
+
+def test_ids_are_those_of_the_unmodified_tokenizer(spark, tmp_path):
+    import corpus_pipeline
+    from streamweave.llm import queries
+
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "it<|endoftext|>'s  <|endoftext|>  b\n", "<|endoftext|", "plain  text \n x", "", None]
+    own = Tokenizer.from_file(JSON)
+    contract = [own.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert contract[0] == [31373, 220, 50256, 995]
+    some = [t or "" for t in texts]
+    assert encoder(JSON)(some) == encoder(JSON, TIKTOKEN)(some) == contract
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    want = {d: np.array(ids + [0], "<u4") for d, ids in enumerate(contract)}
+    for out in (queries.op4_packing(spark, str(tmp_path)), corpus_pipeline.packing(spark, df, str(tmp_path))):
+        share_of_padding(out.collect(), want)
