@@ -55,6 +55,8 @@ LAYOUTS = {
 }
 #: A table with a row for each turn: field paths of its columns.
 TURN_ROWS = ["conv_id", "role", "text", "turn"]
+#: Fields that hold a list of records in some layout.
+LISTED = sorted({p.split("[]")[0] for fields, _, _ in LAYOUTS.values() for p in fields if "[]" in p})
 KNOWN = sorted({p for fields, _, _ in LAYOUTS.values() for p in fields})
 
 
@@ -76,15 +78,17 @@ BY_FINGERPRINT = {fingerprint(fields): name for name, (fields, _, _) in LAYOUTS.
 
 
 def json_fingerprint(record: Column) -> Column:
-    """The fingerprint of each JSON record: of its top fields and, for a list of records, of their fields; paths
-    that no layout knows are left out, so ids and notes beside the turns don't matter."""
+    """The fingerprint of each JSON record: of its top fields and, for a list of records that a layout lists, of their
+    fields; paths that no layout knows are left out, so ids and notes beside the turns don't matter. A list counts as
+    such by its JSON type: a text may begin with a bracket."""
     def field(e: Column) -> Column:
-        listed = F.from_json(e["value"], "array<map<string,string>>")
+        listed = F.from_json(F.when(e["key"].isin(LISTED), e["value"].cast("string")), "array<map<string,string>>")
         inner = F.flatten(F.transform(F.filter(listed, lambda m: m.isNotNull()), F.map_keys))
-        return (F.when(e["value"].startswith("["), F.transform(inner, lambda k: F.concat(e["key"], F.lit("[]."), k)))
-                .otherwise(F.array(e["key"])))
+        paths_ = F.transform(inner, lambda k: F.concat(e["key"], F.lit("[]."), k))
+        return (F.when(F.coalesce(F.schema_of_variant(e["value"]).startswith("ARRAY"), F.lit(False)),
+                       F.coalesce(paths_, F.array().cast("array<string>"))).otherwise(F.array(e["key"])))
 
-    found = F.flatten(F.transform(F.map_entries(F.from_json(record, "map<string,string>")), field))
+    found = F.flatten(F.transform(F.map_entries(F.from_json(record, "map<string,variant>")), field))
     found = F.array_intersect(found, F.array(*map(F.lit, KNOWN)))
     return F.sha2(F.array_join(F.array_sort(found), "\n").cast("binary"), 256)
 

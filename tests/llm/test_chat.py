@@ -73,3 +73,18 @@ def test_typed_tables_and_paths(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
     assert digest(formatted(table_turns(df))).count() == 0
+
+
+def test_texts_that_begin_with_a_bracket_are_texts(spark):
+    records = [({"prompt": "[INST] hi", "completion": "x"}, "prompt_completion", ["[INST] hi", "x"]),
+               ({"prompt": "[]", "completion": "[{}]"}, "prompt_completion", ["[]", "[{}]"]),
+               ({"instruction": "[1, 2] is a list", "output": "[1, 2]"}, "instruction_output", ["[1, 2] is a list", "[1, 2]"]),
+               ({"question": '[{"role": "user"}]', "answer": "[", "id": [1, 2]}, "question_answer", ['[{"role": "user"}]', "["]),
+               ({"messages": [{"role": "user", "content": "[INST]"}], "notes": "[x"}, "messages_role_content", ["[INST]"]),
+               ({"prompt": "p", "completion": None}, "prompt_completion", ["p", None]),
+               ({"prompt": 5, "completion": "[5"}, "prompt_completion", ["5", "[5"]),
+               ({"prompt": [{"role": "user", "content": "a"}], "completion": "x"}, None, None),
+               ({"messages": "[INST] no list"}, None, None), ({"messages": [1, 2]}, None, None)]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, (r, _, _) in enumerate(records)], "i int, record string")
+    for r in json_turns(df).collect():
+        assert (r.layout, r.turns and [t.text for t in r.turns]) == records[r.i][1:], records[r.i]
