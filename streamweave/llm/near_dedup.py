@@ -12,11 +12,14 @@ pairs) and the stars' components are the candidate clusters; (4) texts of cluste
 cluster of any size is spread over many tasks; a task returns a spanning forest of the links it confirmed,
 never more rows than it read; (5) components of the confirmed links.
 
-With t = 224 in 32 bands of 7, a pair at similarity 0.85 shares no bucket with probability 4e-6.
+Bands are chosen by the threshold, so that a pair at it shares no bucket with probability MISSED at most: at 0.85, 32
+bands of 7 (4.2e-6); at 0.8, 41 bands of 6 (3.9e-6).
 """
 
 from __future__ import annotations
 
+from math import ceil, log
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -25,7 +28,8 @@ from pyspark.sql import DataFrame, functions as F
 from streamweave.llm.common import chunks, components, mix, scratch, shingles, small_batches, stored
 from streamweave.llm.words import Words
 
-BANDS, ROWS = 32, 7
+#: The most that may be missed of the pairs at the threshold.
+MISSED = 4.3e-6
 #: Shingles that are sketched at once, about.
 SKETCHED = 250_000
 #: Classes in a block of a cluster, on average; a task compares two blocks.
@@ -81,6 +85,13 @@ def band_hashes(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return h.view(np.int64)
 
 
+def banding(over: int, under: int) -> tuple[int, int]:
+    """(bands, rows of each) for a threshold of ``over / under``."""
+    rows = max(1, round(1.12 / max(0.05, 1 - over / under)))
+    shared = (over / under) ** rows
+    return (ceil(log(MISSED) / log(1 - shared)) if shared < 1 else 1), rows
+
+
 def signed(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int, rows: int) -> DataFrame:
     """(doc_id, raw, node, n_shingles, bands) for each row; raw is a hash of the text as it is, node a 128-bit
     digest of its word sequence, null without words; bands is null with it."""
@@ -204,15 +215,17 @@ def confirmed(members: DataFrame, k: int, over: int, under: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, over: int = 80,
-                    under: int = 100, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+                    under: int = 100, bands: int | None = None, rows: int | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, text_hash), one row for each row of ``docs``.
 
     Two documents are linked if ``under * |A & B| >= over * |A | B|`` for their sets of distinct k-word
     shingles. component_id: the least doc_id that links reach. kept: doc_id = component_id.
-    Documents without words (null, empty, only white space) have n_shingles 0 and are linked with nothing.
+    bands and rows: by default those of ``banding``. Documents without words (null, empty, only white space) have n_shingles 0 and are linked with nothing.
     Repeated rows are equal texts; rows of one doc_id with different texts are linked each by its own text. A
     row with a null doc_id gets the component of its equal texts, null and not kept without any. An empty table
     gives an empty result; other columns are ignored."""
+    own = banding(over, under)
+    bands, rows = bands or own[0], rows or own[1]
     folder = scratch(docs.sparkSession)
     signs = stored(signed(docs, id_col, text_col, k, bands, rows), folder, "signs")
     classes = (signs.where("node is not null and doc_id is not null")

@@ -75,3 +75,21 @@ def test_components_of_a_chain_and_a_hub(spark, tmp_path):
     out = components(spark.createDataFrame(edges, "a bigint, b bigint"), str(tmp_path), "c")
     want = {i: 0 for i in range(1, 41)} | {100 + i: 100 for i in range(1, 50)} | {201: 200}
     assert {r.node: r.root for r in out.collect()} == want
+
+
+def test_pairs_at_each_use_s_threshold_share_a_bucket():
+    import numpy as np
+
+    from streamweave.llm.near_dedup import band_hashes, banding
+
+    assert banding(85, 100) == (32, 7) and banding(80, 100) == (41, 6)
+    for over in (50, 80, 85, 90, 95):
+        bands, rows = banding(over, 100)
+        assert (1 - (over / 100) ** rows) ** bands <= 4.3e-6
+    assert banding(100, 100)[0] == 1
+    # 32 bands of 7 lose 1 in 1,860 pairs at 0.8.
+    rng, (bands, rows) = np.random.default_rng(5), banding(80, 100)
+    for _ in range(6):
+        items = rng.integers(0, 2 ** 64, (2000, 100), np.uint64)
+        a, b = (band_hashes(sketches(list(items[:, own]), bands * rows), bands, rows) for own in (slice(0, 90), slice(10, 100)))
+        assert (a == b).any(axis=1).all()
