@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from streamweave.llm import chat, decontam, oracles
+from streamweave.llm import chat, decontam, oracles, runs
 from streamweave.llm.ann import nearest
+from streamweave.llm.compression import compression_verdicts
 from streamweave.llm.line_dedup import drop_repeated_runs
 from streamweave.llm.near_dedup import near_duplicates
 from streamweave.llm.packing import packed
@@ -14,6 +15,7 @@ from streamweave.llm.pii import pseudonymized
 from streamweave.llm.quality import held_out, quality_model, quality_scores
 from streamweave.llm.secret_scan import scan_secrets
 from streamweave.llm.sharding import sharded
+from streamweave.llm.whitening import whitened
 
 #: A score from this on predicts label 1.
 THRESHOLD = 0.3
@@ -79,9 +81,33 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeated_runs(table(spark, sf_dir, "documents"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_verdicts(table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
+def made_periodic(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) as the query's contract fixes it: where h % 10 = 0, word i >= a becomes word a + (i - a) % p."""
+    docs = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    words = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    docs = docs.withColumn("words", words).withColumn("n", F.size("words")).withColumn("g", F.floor(F.col("h") / 10))
+    docs = docs.withColumn("a", F.expr("if(n > 0, g % n, 0)"))
+    docs = docs.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    turned = F.expr("array_join(transform(sequence(0, n - 1), i -> get(words, int(if(i < a, i, a + (i - a) % p)))), ' ')")
+    return docs.select("doc_id", F.when(F.col("n") > 0, turned).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(runs.periodic_runs(made_periodic(table(spark, sf_dir, "documents"))))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_chat_formatting, op3_minhash_near_dedup, op4_packing, op5_permutation_index,
-    op6_kd_tree_sharding, op7_pii_pseudonyms, op8_quality_classifier, op9_secret_scan, op10_line_dedup)}
+    op6_kd_tree_sharding, op7_pii_pseudonyms, op8_quality_classifier, op9_secret_scan, op10_line_dedup, op11_quality_rules,
+    op12_embedding_whitening, op13_periodic_runs)}
 
 #: The other queries are held against brute force, a round trip or held-out accuracy in tests/llm.
 ORACLES = {"op1_benchmark_decontamination": oracles.OP1, "op2_chat_formatting": oracles.OP2,
