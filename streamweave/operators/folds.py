@@ -11,22 +11,21 @@ Their rows are first reduced, JVM-side, to what can change the machine:
 
 So what is left per key is bounded by time, not by data size. A fall (a
 success) ends a run and is its end mark; run numbers come from a chunked
-scan. Inside a run both machines are the same greedy walk: the first row opens
+scan. Inside a run both machines open windows greedily: the first row opens
 [t, t + width], rows in it join, the next row after it opens the next window,
-and the end mark cancels the window it falls into. ``greedy_windows`` walks
-runs in Arrow batches with O(1) state: runs that fit into one window (nearly
-all) are answered for the whole batch at once, longer ones window by window.
+and the end mark cancels the window it falls into. ``chains.greedy_windows``
+finds the windows by pointer doubling, with JVM operators only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from streamweave.functions.time import duration_label, duration_ms
+from streamweave.operators.chains import greedy_windows
 from streamweave.operators.scan import Scan, keyed_scan, restored, surrogates, time_chunks
 
 JAVA_DOUBLE_MIN_VALUE = 4.9e-324  # fixed value: Java's Double.MIN_VALUE, the initial "last" (D3)
@@ -124,85 +123,7 @@ def keyed_fold(df: DataFrame, key: str, time_col: str, fields: list[str], lag_ex
     return rows.mapInPandas(run, out_schema)
 
 
-def greedy_windows(rows: DataFrame, key: str, width: int) -> DataFrame:
-    """(key, first, last, total) of the windows of each run.
-
-    ``rows``: (key, __run, __t, __n, __end), times unique per run. The first
-    row of a run opens [t, t + width]; ``total`` adds up __n in it; a window
-    that holds the run's end mark (__end, at most one, after all other rows)
-    is cancelled. Windows left open at the end of the input count."""
-    dtype = rows.schema[key].dataType.simpleString()
-    rows = rows.select(F.col(key).cast("string").alias("__key"), "__run", "__t", "__n", "__end")
-    rows = rows.repartition("__key", "__run").sortWithinPartitions("__key", "__run", "__t", "__end")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, opened = None, None  # the run that goes on in the next batch; its open window [first, last, total]
-
-        def walk(o, t, n, end):
-            """One run's rows from where ``o`` stands; returns closed windows and the open one."""
-            out, at = [], 0
-            upto = np.concatenate([[0], np.cumsum(n)])
-            while at < len(t):
-                if o is None:
-                    o = [int(t[at]), int(t[at]), 0]
-                to = int(np.searchsorted(t, o[0] + width, "right"))
-                if to > at:
-                    o[1], o[2] = int(t[to - 1]), o[2] + int(upto[to] - upto[at])
-                    at = to
-                if at < len(t):
-                    out.append(tuple(o))
-                    o = None
-            if end is not None and o is not None:
-                if end > o[0] + width:
-                    out.append(tuple(o))
-                o = None
-            return out, o
-
-        for b in batches:
-            if not len(b):
-                continue
-            k, r = b["__key"].to_numpy(object), b["__run"].to_numpy()
-            t, n, e = b["__t"].to_numpy(), b["__n"].to_numpy(), b["__end"].to_numpy(bool)
-            cut = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (r[1:] != r[:-1])])
-            stop = np.r_[cut[1:], len(b)]
-            closed = []
-            if group is not None and (k[0], r[0]) != group:
-                if opened is not None:
-                    closed.append((group[0], *opened))
-                group, opened = None, None
-            # Runs that begin and end in this batch and fit into one window.
-            ends = e[stop - 1]
-            stop_rows = stop - ends
-            some = stop_rows > cut
-            first, last = t[cut], t[np.maximum(stop_rows - 1, cut)]
-            whole = np.ones(len(cut), bool)
-            whole[-1] = False
-            if group is not None:
-                whole[0] = False
-            easy = whole & (~some | (last - first <= width))
-            keep = easy & some & ~(ends & (t[stop - 1] <= first + width))
-            upto = np.concatenate([[0], np.cumsum(n)])
-            closed += zip(k[cut[keep]], first[keep].tolist(), last[keep].tolist(),
-                          (upto[stop_rows[keep]] - upto[cut[keep]]).tolist())
-            for i in np.flatnonzero(~easy).tolist():
-                a, z = cut[i], stop_rows[i]
-                out, o = walk(opened if i == 0 and group is not None else None, t[a:z], n[a:z],
-                              int(t[stop[i] - 1]) if ends[i] else None)
-                closed += [(k[a], *x) for x in out]
-                if i == len(cut) - 1:
-                    group, opened = (k[a], r[a]), o
-                elif o is not None:
-                    closed.append((k[a], *o))
-            if closed:
-                yield pd.DataFrame(closed, columns=["__key", "first", "last", "total"])
-        if opened is not None:
-            yield pd.DataFrame([(group[0], *opened)], columns=["__key", "first", "last", "total"])
-
-    out = rows.mapInPandas(run, "__key string, first bigint, last bigint, total bigint")
-    return out.select(F.col("__key").cast(dtype).alias(key), "first", "last", "total")
-
-
-def _windows_of(numbered: DataFrame, key: str, width: int) -> DataFrame:
+def _windows_of(numbered: DataFrame, key: str, width: int, chunk: int) -> DataFrame:
     """``greedy_windows`` over rows (key, __t, __ends, __opens, __run): ``__ends`` closes the run before it,
     ``__opens`` > 0 is what the row adds to the run that begins or goes on."""
     row = lambda run, n, end: F.struct(run.alias("run"), n.cast("bigint").alias("n"), F.lit(end).alias("end"))
@@ -210,7 +131,7 @@ def _windows_of(numbered: DataFrame, key: str, width: int) -> DataFrame:
                    F.when(F.col("__opens") > 0, row(F.col("__run"), F.col("__opens"), False)))
     out = numbered.select(key, "__t", F.explode(F.filter(both, lambda x: x.isNotNull())).alias("x"))
     return greedy_windows(out.select(key, F.col("x.run").alias("__run"), "__t", F.col("x.n").alias("__n"),
-                                     F.col("x.end").alias("__end")), key, width)
+                                     F.col("x.end").alias("__end")), key, width, chunk)
 
 
 def rising_alerts(df: DataFrame, interval: str = "10 seconds", key: str = "id", time_col: str = "timestamp",
@@ -218,8 +139,9 @@ def rising_alerts(df: DataFrame, interval: str = "10 seconds", key: str = "id",
     """ST10: per key, an alert at ``deadline`` when a rise armed a timer at
     t (deadline t + interval) and no fall came at or before it (D3).
 
-    Output: (key, alert_time ms). The first reading arms iff temp > 0; null
-    readings neither rise nor fall.
+    Output: (key, alert_time ms). The first reading arms iff temp > 0.
+    Readings that are null or NaN, or have no time, take no part: the next
+    one is compared with the last that has a value.
 
     Instants are compared with the one before, and falls are numbered, in one
     two-level pass: inside chunks of time, then over one row per chunk (its
@@ -227,7 +149,8 @@ def rising_alerts(df: DataFrame, interval: str = "10 seconds", key: str = "id",
     same shuffled columns, so the shuffle is made once.
     """
     n = duration_ms(interval)
-    rows = df.select(key, F.col(time_col).alias("__t"), "seq", F.col(field).alias("__v"))
+    there = F.col(field).isNotNull() & ~F.isnan(F.col(field).cast("double")) & F.col(time_col).isNotNull()
+    rows = df.where(there).select(key, F.col(time_col).alias("__t"), "seq", F.col(field).alias("__v"))
     before = F.lag("__v").over(Window.partitionBy(key, "__t").orderBy("seq"))
     rows = rows.select("*", (F.col("__v") < before).alias("__fall"), (F.col("__v") > before).alias("__rise"))
     instants = rows.groupBy(key, "__t").agg(
@@ -266,7 +189,7 @@ def rising_alerts(df: DataFrame, interval: str = "10 seconds", key: str = "id",
     marks = out.select(restored(df, key, part).alias(key), "__t", (inner | fell).alias("__ends"),
                        (late_rise | (~inner & rose)).cast("int").alias("__opens"),
                        (F.col("__base") + F.col("__extra") + F.col("__cum")).alias("__run"))
-    found = _windows_of(marks.where("__ends or __opens > 0"), key, n)
+    found = _windows_of(marks.where("__ends or __opens > 0"), key, n, chunk_ms)
     return found.select(key, (F.col("first") + F.lit(n)).alias("alert_time"))
 
 
@@ -278,11 +201,12 @@ def login_fail_warnings(df: DataFrame, window: str = "2 seconds", max_fails: int
     failures emit (userId, firstFailTime, lastFailTime, warningMsg).
     ``timestamp`` is in seconds, as in LoginEvent, and so is
     ``chunk_width`` (the scan chunk of the time column). Every state but
-    ``fail`` counts as a success."""
+    ``fail`` counts as a success; events without a time take no part."""
     w_s = duration_ms(window) // 1000
     label = duration_label(window)
     ok = F.col("__ok")
-    rows = df.select(key, F.col(time_col).alias("__t"), "seq", F.coalesce(F.col(state_col) != "fail", F.lit(True)).alias("__ok"))
+    rows = df.where(F.col(time_col).isNotNull())
+    rows = rows.select(key, F.col(time_col).alias("__t"), "seq", F.coalesce(F.col(state_col) != "fail", F.lit(True)).alias("__ok"))
     last_ok = F.max(F.when(ok, F.col("seq"))).over(Window.partitionBy(key, "__t"))
     rows = rows.select(key, "__t", "__ok", (~ok & F.coalesce(F.col("seq") > last_ok, F.lit(True))).alias("__fail"))
     marks = rows.groupBy(key, "__t").agg(F.bool_or("__ok").alias("__ends"), F.sum(F.col("__fail").cast("int")).alias("__n"))
@@ -291,7 +215,7 @@ def login_fail_warnings(df: DataFrame, window: str = "2 seconds", max_fails: int
     ends = F.col("__code") % 2
     runs = keyed_scan(marks, [key], ["__t"], time_chunks("__t", chunk_width), [Scan("__run", "sum", ends)], one_pass=True)
     runs = runs.select(key, "__t", "__run", (ends == 1).alias("__ends"), F.expr("__code div 2").alias("__opens"))
-    found = _windows_of(runs, key, w_s).where(F.col("total") >= max_fails)
+    found = _windows_of(runs, key, w_s, chunk_width).where(F.col("total") >= max_fails)
     return found.select(key, F.col("first").alias("firstFailTime"), F.col("last").alias("lastFailTime"),
                         F.concat(F.lit(f"login fail in {label} for "), F.col("total").cast("string"),
                                  F.lit(" times")).alias("warningMsg"))

@@ -6,7 +6,9 @@ Library code never creates a session on its own; callers pass one in.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -49,3 +51,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(path)
     return sc._jsc.sc().getCheckpointDir().get()
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """Writes a table to the shared folder and reads it back: cuts lineage, survives lost executors."""
+    path = f"{folder}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -158,6 +158,8 @@ class RisingAlert(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues: TimerValues):
         b = _batch(rows, ["timestamp", "seq"])
+        if not b.empty:
+            b = b[b["temperature"].notna()]  # readings without a value take no part
         if b.empty:
             return
         last = self.last.get()[0] if self.last.exists() else JAVA_DOUBLE_MIN_VALUE

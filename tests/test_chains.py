@@ -1,0 +1,83 @@
+"""Greedy windows by pointer doubling against the plain walk."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from streamweave.operators import chains, folds
+from streamweave.operators.chains import greedy_windows, pointers
+
+SCHEMA = "k string, __run bigint, __t bigint, __n bigint, __end boolean"
+
+
+def walk(rows, width):
+    out = []
+    for k, run in sorted({r[:2] for r in rows}, key=str):
+        own = sorted((t, end, n) for a, b, t, n, end in rows if (a, b) == (k, run))
+        o = None
+        for t, end, n in own:
+            if o and t > o[0] + width:
+                out.append((k, *o))
+                o = None
+            if end:
+                o = None
+            elif o is None:
+                o = [t, t, n]
+            else:
+                o = [o[0], t, o[2] + n]
+        if o:
+            out.append((k, *o))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("short", [chains.SHORT, 3])
+def test_equals_the_walk(spark, monkeypatch, short):
+    monkeypatch.setattr(chains, "SHORT", short)  # runs of more rows go by pointers
+    rng = random.Random(5)
+    rows = []
+    for k in (None, "", "a", "b", "hot"):
+        for run in range(30 if k == "hot" else 4):
+            n = rng.choice((0, 1, 2, 40))
+            times = sorted(rng.sample(range(-500, 2000), n))
+            rows += [(k, run, t, rng.randint(0, 3), False) for t in times]
+            if rng.random() < 0.5:
+                rows.append((k, run, (times[-1] if times else 0) + rng.choice((1, 5, 400)), 0, True))
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    for width, chunk in ((0, 10 ** 6), (100, 33)):
+        got = sorted((tuple(r) for r in greedy_windows(df, "k", width, chunk).collect()), key=str)
+        assert got == walk(rows, width), (width, chunk)
+    if short == chains.SHORT:
+        assert greedy_windows(df.limit(0), "k", 5, 50).count() == 0
+
+
+def test_pointers_lead_to_the_first_row_after_the_window(spark):
+    times = [-7, -2, 0, 3, 4, 10, 11, 30]
+    df = spark.createDataFrame([("r", t) for t in times], "__id string, __t bigint")
+    for chunk in (1, 4, 1000):
+        got = {r["__at"]: r["__to"] for r in pointers(df, 5, chunk).collect()}
+        assert got == {t: min((u for u in times if u > t + 5), default=None) for t in times}
+
+
+def test_one_key_of_a_million_chained_windows(spark):
+    """Every failure opens a window of its own: the chain is a million links long, and no task holds it."""
+    n = 1_000_000
+    df = spark.range(n).select(F.lit(7).cast("bigint").alias("userId"), F.lit("fail").alias("loginState"),
+                               (F.col("id") * 3).alias("timestamp"), F.col("id").alias("seq"))
+    out = folds.login_fail_warnings(df, "2 seconds", 1, chunk_width=30_000)
+    assert out.agg(F.count("*"), F.countDistinct("firstFailTime"), F.min("firstFailTime"), F.max("lastFailTime")).first()[:] == (
+        n, n, 0, 3 * (n - 1))
+
+
+def test_no_python_node_in_the_plans(spark):
+    r = spark.range(50).select(F.lit("a").alias("id"), (F.col("id") * 900).alias("timestamp"), F.col("id").cast("double").alias("temperature"),
+                               F.col("id").alias("seq"))
+    for out in (folds.rising_alerts(r, "2 seconds"),
+                folds.login_fail_warnings(r.selectExpr("seq AS userId", "'fail' AS loginState", "timestamp", "seq"), "2 seconds")):
+        assert "Python" not in out._jdf.queryExecution().executedPlan().toString() and "InPandas" not in out._jdf.queryExecution().toString()
+
+
+def test_a_null_reading_is_neither_a_fall_nor_a_start(spark):
+    rows = [("s", 1000, 5.0, 1), ("s", 2000, 3.0, 2), ("s", 3000, None, 3), ("s", 4000, 2.0, 4), ("s", 4500, float("nan"), 5), ("s", 5000, 2.5, 6)]
+    df = spark.createDataFrame(rows, "id string, timestamp long, temperature double, seq long")
+    assert [tuple(r) for r in folds.rising_alerts(df, "500 ms").collect()] == [("s", 1500), ("s", 5500)]
