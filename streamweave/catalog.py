@@ -334,6 +334,30 @@ def q_dau(spark, sf):
     return distinct_per_bucket(td.behaviors(spark, sf))
 
 
+def _hourly_users(spark, sf):
+    from streamweave.operators.distinct import pane_sets
+    from streamweave.session import scratch, stored
+    return stored(pane_sets(td.behaviors(spark, sf).select("userId", "timestamp"), "userId", "1 hour"), scratch(spark), "hours")
+
+
+@register("daily_users_from_hours", O.with_views(f"""
+SELECT (timestamp // 86400) * 86400000 AS window_start, (timestamp // 86400 + 1) * 86400000 AS window_end,
+       count(DISTINCT userId) AS users FROM behaviors GROUP BY 1, 2""", "behaviors"))
+def q_daily_users_from_hours(spark, sf):
+    """Hourly sets, stored once, merged into days; no row is counted again."""
+    from streamweave.operators.distinct import window_set_sizes
+    return window_set_sizes(_hourly_users(spark, sf), "1 hour", "1 day")
+
+
+@register("users_3d_by_12h", O.with_views(f"""
+SELECT ws AS window_start, ws + {72 * H} AS window_end, count(DISTINCT userId) AS users FROM (
+  SELECT userId, {O.sliding_starts('timestamp * 1000', 72 * H, 12 * H)} AS ws FROM behaviors) GROUP BY 1, 2""", "behaviors"))
+def q_users_sliding(spark, sf):
+    """Distinct users of sliding windows from the same hourly sets."""
+    from streamweave.operators.distinct import window_set_sizes
+    return window_set_sizes(_hourly_users(spark, sf), "1 hour", "3 days", "12 hours")
+
+
 @register("rollup_hourly_to_daily", O.with_views(f"""
 SELECT (timestamp * 1000) - (timestamp * 1000) % {24 * H} AS window_start, itemId, count(*) AS count,
        (timestamp * 1000) - (timestamp * 1000) % {24 * H} + {24 * H} AS window_end
@@ -656,7 +680,7 @@ def median_of_window(key: Tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> I
 @register("user_aggregate_max", O.with_views(
     "SELECT id, max(temperature) AS top FROM readings GROUP BY id", "readings"))
 def q_user_aggregate(spark, sf):
-    """A Python aggregate in two phases over salted groups."""
+    """A Python aggregate whose states are combined in each task."""
     import pandas as pd
 
     from streamweave.functions.udf import aggregate
@@ -667,6 +691,22 @@ def q_user_aggregate(spark, sf):
     return aggregate(td.readings(spark, sf), "id", "temperature", top, top, "double", name="top")
 
 
+@register("user_aggregate_mean", O.with_views(
+    "SELECT itemId, CAST(sum(timestamp) AS DOUBLE) / count(timestamp) AS mean_time FROM behaviors GROUP BY itemId", "behaviors"))
+def q_user_aggregate_mean(spark, sf):
+    """Create, add, merge, result over a struct state."""
+    from streamweave.functions.udf import aggregate
+
+    def partial(v: pd.Series) -> dict:
+        return {"total": int(v.sum()), "n": int(v.count())}
+
+    def merge(states: pd.Series) -> dict:
+        return {"total": sum(s["total"] for s in states), "n": sum(s["n"] for s in states)}
+
+    return aggregate(td.behaviors(spark, sf), "itemId", "timestamp", partial, merge, "double", name="mean_time",
+                     state_type="struct<total: bigint, n: bigint>", result=lambda s: s["total"] / s["n"] if s["n"] else None)
+
+
 @register("keyed_upsert_latest", O.with_views(
     "SELECT id, arg_max(temperature, seq) AS temperature FROM readings GROUP BY id", "readings"))
 def q_upsert(spark, sf):

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from streamweave.operators.panes import sliding_aggregate, sliding_distinct
 from streamweave.operators.scan import DEFAULT_CHUNK_ROWS, Scan, keyed_scan, seq_chunks
 from streamweave.operators.windows import window_columns
 
@@ -111,25 +112,24 @@ def window_min_by(df: DataFrame, size: str, key: str = "id", field: str = "tempe
 
 def window_sum(df: DataFrame, size: str, key: str = "id", field: str = "temperature",
                time_col: str = "timestamp", slide: str | None = None, scale: int | None = None) -> DataFrame:
-    """A7 ``timeWindow(size).sum(field)``."""
-    w = window_columns(df, time_col, size, slide)
-    return w.groupBy("window_start", "window_end", key).agg(exact_sum(F.col(field), scale).alias(f"sum_{field}"))
+    """A7 ``timeWindow(size).sum(field)``, summed once per pane."""
+    v, name = F.col(field), f"sum_{field}"
+    parts = {name: (F.sum(v if scale is None else v.cast(f"decimal(18,{scale})")), F.sum)}
+    out = sliding_aggregate(df, key, size, slide, time_col, parts)
+    return out if scale is None else out.withColumn(name, F.col(name).cast("double"))
 
 
 def window_count(df: DataFrame, size: str, key: str, time_col: str = "timestamp",
                  slide: str | None = None, unit: str = "ms") -> DataFrame:
-    """A8 incremental count per (window, key); Catalyst's partial/merge/final
+    """A8 incremental count per (window, key), once per pane; Catalyst's partial/merge/final
     aggregation is the reference's create/add/merge/getResult."""
-    w = window_columns(df, time_col, size, slide, unit=unit)
-    return w.groupBy("window_start", "window_end", key).agg(F.count(F.lit(1)).alias("count"))
+    return sliding_aggregate(df, key, size, slide, time_col, {"count": (F.count(F.lit(1)), F.sum)}, unit)
 
 
 def window_distinct_buckets(df: DataFrame, size: str, key: str, time_col: str = "timestamp",
                             slide: str | None = None, bucket: int = 1000, unit: str = "s") -> DataFrame:
     """Distinct ``timestamp / bucket`` values per (window, key)."""
-    w = window_columns(df, time_col, size, slide, unit=unit)
-    return w.groupBy("window_start", "window_end", key).agg(
-        F.count_distinct(F.expr(f"`{time_col}` div {int(bucket)}")).alias("count"))
+    return sliding_distinct(df, key, size, slide, time_col, F.expr(f"`{time_col}` div {int(bucket)}"), unit=unit)
 
 
 def distinct_per_bucket(df: DataFrame, who: str = "userId", time_col: str = "timestamp",

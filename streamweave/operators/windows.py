@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
 from streamweave.functions.time import duration_ms, spark_interval
+from streamweave.operators.panes import sliding_aggregate
 from streamweave.operators.scan import DEFAULT_CHUNK_ROWS, Scan, keyed_scan, order_chunks, seq_chunks
 
 DEFAULT_CHUNK_MS = 3_600_000  # event-time chunk of a keyed scan: one hour
@@ -30,7 +31,8 @@ def window_columns(df: DataFrame, time_col: str, size: str, slide: str | None =
     """Assign tumbling (``slide`` None) or sliding windows.
 
     Adds ``window_start`` / ``window_end`` (epoch ms). A sliding window
-    repeats each row size/slide times (rounded up); filter before this.
+    repeats each row size/slide times (rounded up): aggregates that merge
+    go by ``panes`` instead, which copies no raw row.
     """
     ev = _event_time(df, time_col, unit)
     win = F.window(ev, spark_interval(size)) if slide is None else \
@@ -141,10 +143,9 @@ def window_apply(df: DataFrame, size: str, key: str, fn: Callable, schema: Struc
 
 def item_view_counts(df: DataFrame, size: str, slide: str, key: str = "itemId",
                      time_col: str = "timestamp", unit: str = "s") -> DataFrame:
-    """W8 ``aggregate(count, WindowFunction)``: ItemViewCount(itemId, windowEnd, count)."""
-    w = window_columns(df, time_col, size, slide, unit=unit)
-    return w.groupBy(key, "window_end").agg(F.count(F.lit(1)).alias("count")) \
-        .select(F.col(key).alias("itemId"), F.col("window_end").alias("windowEnd"), "count")
+    """W8 ``aggregate(count, WindowFunction)``: ItemViewCount(itemId, windowEnd, count), counted once per pane."""
+    w = sliding_aggregate(df, key, size, slide, time_col, {"count": (F.count(F.lit(1)), F.sum)}, unit)
+    return w.select(F.col(key).alias("itemId"), F.col("window_end").alias("windowEnd"), "count")
 
 
 def early_firing(df: DataFrame, size: str, every: int, key: str = "id", field: str = "temperature",

@@ -35,7 +35,7 @@ def test_user_function_surface(spark):
     def top(s: pd.Series) -> float:
         return float(s.max())
 
-    ag = {x.id: x.value for x in udf.aggregate(r, "id", "temperature", top, top, "double", salts=3).collect()}
+    ag = {x.id: x.value for x in udf.aggregate(r, "id", "temperature", top, top, "double").collect()}
     assert ag == {"sensor_1": 18.0, "sensor_2": 35.0, "sensor_3": 41.0, "sensor_4": 12.0}
 
 
