@@ -155,7 +155,7 @@ SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 def scanned(state: DataFrame, block, last: bool) -> DataFrame:
-    """Adds a block's hits to (doc_id, text, n_words, spans, items); the last block drops the texts."""
+    """Adds a block's hits to (doc_id, text, n_words, spans, items, more); the last block drops texts that aren't kept."""
     def run(batches):
         own = block.value
         for batch in chunks(batches, 1):
@@ -183,16 +183,17 @@ def scanned(state: DataFrame, block, last: bool) -> DataFrame:
                 items[t] = sorted(found | set(items[t] or []))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.nulls(n, pa.binary()) if last else batch.column(1), pa.array(np.diff(words.first).astype(np.int64)),
-                 pa.array(spans, SPAN), pa.array(items, pa.list_(pa.string()))],
-                names=["doc_id", "text", "n_words", "spans", "items"])
+                 pa.array(spans, SPAN), pa.array(items, pa.list_(pa.string())), *batch.columns[5:]], names=names)
 
-    return state.mapInArrow(run, STATE)
+    names, kinds = state.columns, dict(state.dtypes)
+    return state.mapInArrow(run, STATE + (f", rest {kinds['rest']}" if "rest" in kinds else ""))
 
 
 def contaminated_spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        item_id: str = "item_id", item_text: str = "text", size: int = SIZE,
-                       shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, n_words, spans, items), one row for each row of ``docs``.
+                       shingle: int = SHINGLE, keep: list[str] | None = None) -> DataFrame:
+    """(doc_id, n_words, spans, items), one row for each row of ``docs``. If asked for, the row's ``text`` and a struct
+    ``rest`` of its columns ``keep`` go with it, so no join is needed to use the result.
 
     Words are runs of digits, letters and all characters beyond ASCII, after A-Z is lower-cased. spans: the
     hit words as [start, end) word numbers, disjoint and in order; items: ids (as strings, sorted) of the items
@@ -205,7 +206,8 @@ def contaminated_spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
     state = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"),
                         F.lit(None).cast("bigint").alias("n_words"),
                         F.lit(None).cast("array<struct<start:bigint,end:bigint>>").alias("spans"),
-                        F.lit(None).cast("array<string>").alias("items"))
+                        F.lit(None).cast("array<string>").alias("items"),
+                        *([F.struct(*(F.col(f"`{c}`") for c in keep)).alias("rest")] if keep else []))
     for b in range(blocks):
         part = (rows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == b)
                 .groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items")).collect())
@@ -214,10 +216,11 @@ def contaminated_spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
         counts = token_counts(docs, text_col, sent)
         sent.unpersist()
         own.choose(counts)
-        state = scanned(state, spark.sparkContext.broadcast(own), b == blocks - 1)
+        state = scanned(state, spark.sparkContext.broadcast(own), b == blocks - 1 and not keep)
     empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
     return state.select("doc_id", "n_words", F.coalesce("spans", empty).alias("spans"),
-                        F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+                        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+                        *([F.col("text").cast("string").alias("text"), "rest"] if keep else []))
 
 
 def digest(hits: DataFrame) -> DataFrame:

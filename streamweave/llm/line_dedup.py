@@ -17,6 +17,8 @@ grouped map-side and its successors are split over 512 slices.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from streamweave.llm.common import scratch, stored
@@ -36,7 +38,7 @@ def ranked(groups: DataFrame, a: str, b: str, slices) -> DataFrame:
     totals = cut.groupBy(a, "slice").agg(F.sum("n").alias("total"))
     totals = totals.select(a, "slice", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
     return (cut.withColumn("own", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-            .join(totals, [a, "slice"]).select(a, b, "n", (F.col(a) + F.col("base") + F.col("own")).alias("rank")))
+            .join(totals.hint("merge"), [a, "slice"]).select(a, b, "n", (F.col(a) + F.col("base") + F.col("own")).alias("rank")))
 
 
 def line_ids(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -54,7 +56,7 @@ def repeated_lines(lines: DataFrame, folder: str) -> DataFrame:
     each = each.select(*ROW, "at", F.col("x.ids").alias("id"), F.col("x.words").alias("words"))
     groups = each.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").withColumn("a", F.lit(0).cast("bigint"))
     names = stored(ranked(groups, "a", "id", F.shiftright("id", 52)), folder, "names")
-    return stored(each.join(names.select("id", "rank"), "id").drop("id").dropDuplicates([*ROW, "at"]), folder, "repeated")
+    return stored(each.join(names.select("id", "rank").hint("merge"), "id").drop("id").dropDuplicates([*ROW, "at"]), folder, "repeated")
 
 
 def shortest_runs(lines: DataFrame, min_words: int) -> DataFrame:
@@ -81,28 +83,31 @@ def shortest_runs(lines: DataFrame, min_words: int) -> DataFrame:
 
 def doubled(level: DataFrame, step: int, total: int) -> DataFrame:
     """Ranks by 2 * step lines from ranks by ``step`` lines; only places whose group has two or more."""
-    pairs = level.join(level.select(*ROW, (F.col("at") - step).alias("at"), F.col("rank").alias("b")), [*ROW, "at"])
+    pairs = level.join(level.select(*ROW, (F.col("at") - step).alias("at"), F.col("rank").alias("b")).hint("merge"), [*ROW, "at"])
     pairs = pairs.withColumnRenamed("rank", "a")
     groups = pairs.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1")
     names = ranked(groups, "a", "b", F.floor(F.col("b") * 512 / F.lit(total + 1)))
-    return pairs.join(names, ["a", "b"]).select(*ROW, "at", "rank")
+    return pairs.join(names.hint("merge"), ["a", "b"]).select(*ROW, "at", "rank")
 
 
-def later_copies(runs: DataFrame, level: DataFrame, step: int, folder: str) -> DataFrame:
-    """The runs of step to 2 * step - 1 lines that occur at an earlier place; two ranks cover such a run."""
+def placed(runs: DataFrame, level: DataFrame, step: int) -> DataFrame:
+    """The runs of step to 2 * step - 1 lines with the two ranks that cover such a run, and their place."""
     here = runs.where((F.col("size") >= step) & (F.col("size") < 2 * step))
-    here = here.join(level.select(*ROW, F.col("at").alias("start"), F.col("rank").alias("a")), [*ROW, "start"])
+    here = here.join(level.select(*ROW, F.col("at").alias("start"), F.col("rank").alias("a")).hint("merge"), [*ROW, "start"])
     if step > 1:
         ends = level.select(*ROW, F.col("at").alias("tail"), F.col("rank").alias("b"))
-        here = here.withColumn("tail", F.col("start") + F.col("size") - step).join(ends, [*ROW, "tail"]).drop("tail")
+        here = here.withColumn("tail", F.col("start") + F.col("size") - step).join(ends.hint("merge"), [*ROW, "tail"]).drop("tail")
     else:
         here = here.withColumn("b", F.col("a"))
     here = here.withColumn("place", F.col("doc_id").cast(WHERE) * F.lit(10 ** 10).cast("decimal(11,0)") + F.col("start"))
-    here = here.withColumn("place", F.col("place").cast(WHERE))
+    return here.withColumn("place", F.col("place").cast(WHERE)).select(*ROW, "start", "size", "a", "b", "place")
+
+
+def later_copies(here: DataFrame, folder: str) -> DataFrame:
+    """The stored runs that occur at an earlier place. A size has one step, so (size, a, b) names a run's lines."""
     # Both sides are stored: the join's are then plain shuffles, and Spark splits a run that many documents share.
-    here = stored(here.select(*ROW, "start", "size", "a", "b", "place"), folder, f"here-{step}")
-    first = stored(here.groupBy("size", "a", "b").agg(F.min("place").alias("first")), folder, f"first-{step}")
-    return here.join(first, ["size", "a", "b"]).where("first < place").select(*ROW, "start", "size")
+    first = stored(here.groupBy("size", "a", "b").agg(F.min("place").alias("first")), folder, "first")
+    return here.join(first.hint("merge"), ["size", "a", "b"]).where("first < place").select(*ROW, "start", "size")
 
 
 def deleted_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
@@ -112,17 +117,14 @@ def deleted_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -
     runs = stored(shortest_runs(level, min_words), folder, "runs")
     total, longest = level.count(), runs.agg(F.max("size")).first()[0] or 0
     level = level.select(*ROW, "at", "rank")
-    found, step = [], 1
+    here, step = [runs.limit(0).select(*ROW, "start", "size", *(F.lit(None).cast("bigint").alias(c) for c in "ab"),
+                                       F.lit(None).cast(WHERE).alias("place"))], 1
     while step <= longest:
-        found.append(stored(later_copies(runs, level, step, folder), folder, f"copies-{step}"))
+        here.append(stored(placed(runs, level, step), folder, f"here-{step}"))
         if 2 * step <= longest:
             level = stored(doubled(level, step, total), folder, f"level-{2 * step}")
         step *= 2
-    if not found:
-        found.append(runs)
-    copies = found[0]
-    for more in found[1:]:
-        copies = copies.union(more)
+    copies = later_copies(reduce(DataFrame.union, here[1:] or here), folder)
     return (copies.select(*ROW, F.explode(F.expr("sequence(start, start + size - 1)")).alias("at")).distinct()
             .groupBy(*ROW).agg(F.collect_list("at").alias("gone")))
 
@@ -145,6 +147,6 @@ def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
     text = F.when(F.col("gone").isNull(), F.array_join("lines", "\n")).otherwise(
         F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n"))
-    return lines.join(gone, ROW, "left").select(
+    return lines.join(gone.hint("merge"), ROW, "left").select(
         "doc_id", text.alias("text"), size.cast("bigint").alias("n_lines"),
         F.greatest(F.size("gone"), F.lit(0)).cast("bigint").alias("n_deleted"), *(["rest"] if keep else []))

@@ -77,11 +77,10 @@ def trained(texts: DataFrame, parts: int) -> np.ndarray:
     rows = texts.withColumn("order", F.xxhash64("doc_id", F.lit("order")))
     dealt = rows.groupBy(F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(parts)).alias("part"))
     sums = (dealt.applyInArrow(fit, "at bigint, w double, rows bigint")
-            .groupBy("at").agg(F.sum(F.col("w") * F.col("rows")).alias("w"), F.sum("rows").alias("rows")).collect())
+            .groupBy("at").agg(F.sum(F.col("w") * F.col("rows")).alias("w"), F.sum("rows").alias("rows")).toArrow())
+    at, w, n = (sums.column(c).to_numpy() for c in ("at", "w", "rows"))
     out = np.zeros((1 << BITS) + 1)
-    most = max((r[2] for r in sums), default=1)
-    for at, w, _ in sums:
-        out[at] = w / most
+    out[at] = w / n.max(initial=1)
     return out
 
 
@@ -103,12 +102,15 @@ def quality_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     return trained(texts.join(F.broadcast(known), "doc_id"), max(1, round(count * share / PART)))
 
 
-def quality_scores(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score), one row for each row of ``docs``: the probability of label 1 by the whole text.
+def quality_scores(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text",
+                   keep: list[str] | None = None) -> DataFrame:
+    """(doc_id, score), one row for each row of ``docs``: the probability of label 1 by the whole text. If asked for,
+    the row's ``text`` and a struct ``rest`` of its columns ``keep`` go with it, so no join is needed to use the score.
 
-    A null, empty or white text has no features and gets the model's bias. Repeated rows score alike, an empty
-    table gives an empty result, other columns are ignored."""
+    A null, empty or white text has no features and gets the model's bias. Repeated rows score alike, rows without an
+    id are scored too, an empty table gives an empty result, other columns are ignored."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)
+    rest = [F.struct(*(F.col(f"`{c}`") for c in keep)).alias("rest")] if keep else []
 
     def run(batches):
         w = sent.value
@@ -117,8 +119,12 @@ def quality_scores(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id",
             for i in range(batch.num_rows):
                 at, x = features(words.of(i))
                 scores.append(w[at] @ x + w[-1])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(np.array(scores), -35, 35))))], names=["doc_id", "score"])
-
-    return (small_batches(docs).select(F.col(id_col).cast("bigint"), F.col(text_col).cast("binary"))
-            .mapInArrow(run, "doc_id bigint, score double"))
+            score = pa.array(1 / (1 + np.exp(-np.clip(np.array(scores), -35, 35))))
+            more = batch.columns[1:] if keep else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), score, *more], names=["doc_id", "score", *(["text", "rest"] if keep else [])])
+
+    rows = small_batches(docs).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), *rest)
+    kinds = dict(rows.dtypes)
+    more = f", text binary, rest {kinds['rest']}" if keep else ""
+    out = rows.mapInArrow(run, "doc_id bigint, score double" + more)
+    return out.withColumn("text", F.col("text").cast("string")) if keep else out

@@ -27,6 +27,10 @@ def folder(spark, tmp_path_factory):
     docs += [(600 + i, text(12) + "\n" + passage + "\n" + text(9)) for i in range(6)]
     docs += [(700 + i, text(20) + " " + items[i][1] + " " + text(5)) for i in range(5)]
     docs += [(800, None), (801, ""), (802, docs[1][1]), (None, "without id"), (803, "long " * 9000), (1, docs[1][1])]
+    # Two texts under one id, and rows without an id: each row stands for itself.
+    junk, clean = [" ".join(f"{w.upper()}!!" for w in text(30).split()) for _ in range(2)], [text(30) for _ in range(4)]
+    docs += [(900, clean[0]), (900, text(9) + " " + items[0][1]), (901, clean[1]), (901, junk[0]),
+             (None, clean[2] + " " + items[1][1]), (None, junk[1]), (None, clean[3])]
     rows = [(d, t, "en", f"s{len(t or '') % 3}", len(t or "")) for d, t in docs]
     labels = [(i, 0 if i < 60 and i % 3 == 0 else 1, 0) for i in range(200) if i % 4]
     out = tmp_path_factory.mktemp("sf")
@@ -63,29 +67,33 @@ def test_order_and_contract():
 
 def test_quality_drops_junk_and_keeps_the_rest(stages):
     before, after = stages["quality"]
-    gone = {r.doc_id for r in before} - {r.doc_id for r in after}
-    assert gone == set(range(0, 60, 3))
+    gone = [r for r in before if r not in after]
+    assert {r.doc_id for r in gone} == set(range(0, 60, 3)) | {901, None} and len(gone) == 22
+    assert all("!!" in r.text for r in gone) and not any("!!" in (r.text or "") for r in after)
 
 
 def test_line_dedup(stages):
     before, after = stages["line_dedup"]
-    want = line_runs([(r.doc_id, r.text) for r in before if r.doc_id is not None], 40)
+    shared = {900, 901}
+    assert sorted(r for r in before if r.doc_id in shared) == sorted(r for r in after if r.doc_id in shared)
+    want = line_runs([(r.doc_id, r.text) for r in before if r.doc_id is not None and r.doc_id not in shared], 40)
     want = {d: "\n".join(lines) for d, lines in want.items() if lines}
-    assert {r.doc_id: r.text for r in after if r.doc_id is not None} == want | {800: None}
-    assert [r.text for r in after if r.doc_id is None] == ["without id"]
+    assert {r.doc_id: r.text for r in after if r.doc_id is not None and r.doc_id not in shared} == want | {800: None}
+    assert sorted(r for r in after if r.doc_id is None) == sorted(r for r in before if r.doc_id is None)
 
 
 def test_near_dedup(stages):
     before, after = stages["near_dedup"]
-    kept = {r[0] for r in near(pairs([r for r in before if r.doc_id is not None]), 5, 80, 100) if r[3]}
+    kept = [r[0] for r in near(pairs([r for r in before if r.doc_id is not None]), 5, 80, 100) if r[3]]
     assert sorted(r.doc_id for r in after if r.doc_id is not None) == sorted(kept)
 
 
 def test_decontamination(spark, folder, stages):
     before, after = stages["decontamination"]
     items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
-    clean = [r[0] for r in contamination([(r.doc_id, r.text) for r in before], items) if not r[5]]
-    assert sorted(r.doc_id for r in after if r.doc_id is not None) == sorted(d for d in clean if d is not None)
+    verdicts = contamination([(r.doc_id, r.text) for r in before], items)
+    assert sorted(map(str, after)) == sorted(str(r) for r, v in zip(before, verdicts) if not v[5])
+    assert sum(v[5] for r, v in zip(before, verdicts) if r.doc_id in (900, None)) == 2
     assert not {700, 701, 702, 703, 704} & {r.doc_id for r in after}
 
 
