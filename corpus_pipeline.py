@@ -19,37 +19,41 @@ from streamweave.llm.quality import quality_model, quality_scores
 from streamweave.llm.queries import THRESHOLD, TOKENIZER
 
 
-def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows whose doc_id is in ``kept``, and those without one: no operator can name them."""
-    return (docs.join(kept.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
-            .unionByName(docs.where("doc_id is null")))
+def passed(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from an operator's rows, which carry their own row: ids may be null or shared."""
+    return rows.select(*(F.col("text") if c == "text" else F.col(f"rest.`{c}`") for c in docs.columns))
+
+
+def others(docs: DataFrame) -> list[str]:
+    return [c for c in docs.columns if c != "text"]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go, each row by its own text."""
     model = quality_model(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return only(docs, quality_scores(docs, model).where(F.col("score") >= THRESHOLD))
+    return passed(quality_scores(docs, model, keep=others(docs)).where(F.col("score") >= THRESHOLD), docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs go, and with them documents that lose all their lines."""
     new = drop_repeated_runs(docs, keep=docs.columns).where("n_deleted = 0 or n_deleted < n_lines")
-    return new.select(*(F.col("text") if c == "text" else F.col(f"rest.`{c}`") for c in docs.columns))
+    return passed(new, docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least doc_id of each group of near-duplicates stays (5-word shingles, similarity 0.8), once."""
-    kept = near_duplicates(docs).where("kept").select("doc_id", F.col("text_hash").alias("hash_of_text_")).distinct()
-    keys = ["doc_id", "hash_of_text_"]
+    own = "hash_of_text_" + "_" * max(map(len, docs.columns))  # no column of the table has so long a name
+    kept = near_duplicates(docs).where("kept").select("doc_id", F.col("text_hash").alias(own)).distinct()
+    keys = ["doc_id", own]
     # The join's rows are sorted by both keys, so repeated rows go without another sort.
-    named = docs.withColumn("hash_of_text_", F.xxhash64("text")).join(kept, keys, "left_semi").dropDuplicates(keys)
+    named = docs.withColumn(own, F.xxhash64("text")).join(kept, keys, "left_semi").dropDuplicates(keys)
     return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a window of a benchmark item go."""
-    hits = contaminated_spans(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return only(docs, hits.where(F.size("spans") == 0))
+    """Documents with a window of a benchmark item go, each row by its own text."""
+    hits = contaminated_spans(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keep=others(docs))
+    return passed(hits.where(F.size("spans") == 0), docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
