@@ -10,9 +10,7 @@ to the 30-day ``events`` table (SURVEY §7.1): 5 s/2 s -> 5 h/2 h,
 from __future__ import annotations
 
 from collections.abc import Callable
-from typing import Any, Iterator, Tuple
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
@@ -666,15 +664,21 @@ def q_topic_late(spark, sf):
 SELECT id, timestamp - timestamp % {24 * H} + {24 * H} AS window_end, count(*) AS n, median(temperature) AS median_temperature
 FROM readings GROUP BY 1, 2""", "readings"))
 def q_window_median(spark, sf):
-    """A full-window function, needed as the median has no small accumulator. A group is one key's day."""
-    from streamweave.operators.windows import window_apply
-    r = td.readings(spark, sf).select("id", "timestamp", "temperature")
-    return window_apply(r, "1 day", "id", median_of_window, "id string, window_end bigint, n bigint, median_temperature double")
+    """The median of each key's day, by distributed selection."""
+    from streamweave.operators.selection import window_median
+    return window_median(td.readings(spark, sf).select("id", "timestamp", "temperature"), "1 day")
 
 
-def median_of_window(key: Tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    v = np.concatenate([b["temperature"].to_numpy() for b in batches])
-    yield pd.DataFrame({"id": [key[2]], "window_end": [key[1]], "n": [len(v)], "median_temperature": [float(np.median(v))]})
+@register("temperature_quartiles", O.with_views("""
+SELECT count(*) AS n, quantile_cont(temperature, 0.25) AS low, median(temperature) AS middle, quantile_cont(temperature, 0.75) AS high,
+       substr(id, 1, 7) AS kind FROM readings GROUP BY kind""", "readings"))
+def q_quartiles(spark, sf):
+    """W7 on one group of all rows: no task holds it."""
+    from pyspark.sql import functions as F
+    from streamweave.operators.selection import order_statistics
+    r = td.readings(spark, sf).select(F.substring("id", 1, 7).alias("kind"), "temperature")
+    q = order_statistics(r, ["kind"], "temperature", [0.25, 0.5, 0.75])
+    return q.select("n", *(F.get("q", F.lit(i)).alias(c) for i, c in enumerate(("low", "middle", "high"))), "kind")
 
 
 @register("user_aggregate_max", O.with_views(
