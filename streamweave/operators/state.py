@@ -29,6 +29,16 @@ def count_per_key(df: DataFrame, key: str = "id", chunk_rows: int = DEFAULT_CHUN
     return keyed_scan(df, [key], list(order), order_chunks(list(order), chunk_rows), [Scan("count", "count")])
 
 
+def counts_so_far(df: DataFrame, key: str = "id") -> DataFrame:
+    """(key, count): what ``RunningCount`` has counted after a bounded input; a stream's initial state."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
+
+
+def last_readings(df: DataFrame, key: str = "id", field: str = "temperature") -> DataFrame:
+    """(key, field): the last reading of each key by ``seq``; the initial state of a stream of ``JumpAlert``."""
+    return df.groupBy(key).agg(F.max_by(field, "seq").alias(field))
+
+
 def last_values(df: DataFrame, n: int = 3, key: str = "id", field: str = "temperature",
                 block_rows: int = DEFAULT_CHUNK_ROWS, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """ST4 ListState: each element sees the list before its own add; the list

@@ -35,8 +35,13 @@ def _batch(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
 
 
 def apply(df: DataFrame, key: str, processor: StatefulProcessor, schema: str, time_mode: str = "None",
-          event_time_col: str | None = None) -> DataFrame:
+          event_time_col: str | None = None, initial: DataFrame | None = None) -> DataFrame:
+    """``initial``: the state that a bounded run left, one row per key (see
+    ``operators.state``: ``counts_so_far``, ``last_readings``). The query's
+    first batch loads it, a restart from a checkpoint goes on from its own."""
     kw = {}
+    if initial is not None:
+        kw["initialState"] = initial.groupBy(key)
     if event_time_col:
         kw["eventTimeColumnName"] = event_time_col
     return df.groupBy(key).transformWithStateInPandas(
@@ -44,7 +49,8 @@ def apply(df: DataFrame, key: str, processor: StatefulProcessor, schema: str, ti
 
 
 class RunningCount(StatefulProcessor):
-    """ST2/ST3 (A2 on words): per input row, the key's count so far."""
+    """ST2/ST3 (A2 on words): per input row, the key's count so far, on top
+    of the (key, count) rows of an initial state."""
 
     def __init__(self, key: str = "id"):
         self.key = key
@@ -56,6 +62,10 @@ class RunningCount(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.count = handle.getValueState("count", "c long")
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues: TimerValues) -> None:
+        if len(initialState):
+            self.count.update((int(initialState["count"].sum()),))
+
     def handleInputRows(self, key, rows, timerValues: TimerValues):
         b = _batch(rows, ["seq"])
         if b.empty:
@@ -71,7 +81,7 @@ class RunningCount(StatefulProcessor):
 
 class JumpAlert(StatefulProcessor):
     """ST7: (id, lastTemp, temperature) when |temp - last| >= threshold;
-    last starts at 0.0."""
+    last starts at 0.0, or at the temperature of an initial state's row."""
 
     def __init__(self, threshold: float = 10.0, initial: float = 0.0):
         self.threshold, self.initial = threshold, initial
@@ -83,6 +93,10 @@ class JumpAlert(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "t double")
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues: TimerValues) -> None:
+        if len(initialState):
+            self.last.update((float(initialState["temperature"].iloc[0]),))
+
     def handleInputRows(self, key, rows, timerValues: TimerValues):
         b = _batch(rows, ["seq"])
         if b.empty:
@@ -323,6 +337,43 @@ class FirstVisitPerDay(StatefulProcessor):
         pass
 
 
+class DailyVisit(StatefulProcessor):
+    """A10/ST12 with expiry in event time: a user's first visit of each day.
+
+    The state is a map of days seen; a timer at a day's end removes the day
+    once the watermark is past it, and the key's state with its last day. Rows
+    may come in any order within the watermark's delay. Runs in timeMode
+    EventTime, and ends under ``availableNow``."""
+
+    DAY_MS = 86_400_000
+
+    @staticmethod
+    def schema() -> str:
+        return "userId long, day long"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.days = handle.getMapState("days", "day long", "seen boolean")
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        new = set()
+        for b in rows:
+            new |= {d for d in np.unique(b["timestamp"].to_numpy() // 86_400).tolist() if d not in new}
+        new = sorted(d for d in new if not self.days.containsKey((d,)))
+        for d in new:
+            self.days.updateValue((d,), (True,))
+            self.handle.registerTimer((d + 1) * self.DAY_MS)
+        if new:
+            yield pd.DataFrame({"userId": key[0], "day": new})
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
+        self.days.removeKey((expiredTimerInfo.getExpiryTimeInMs() // self.DAY_MS - 1,))
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
 class SeenFilter(StatefulProcessor):
     """ST11 with MapState (the reference's form): per item, a map of seen
     timestamps; the first row of each (item, timestamp) passes.
