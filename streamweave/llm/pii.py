@@ -6,8 +6,9 @@ domain; a keyed Feistel network permutes that domain, and walking the permutatio
 keeps it a permutation of the valid values. Separators, lengths (of an IPv4 address: the dotted form), country codes
 and mail domains stay, check digits are made anew. The same key gives the same pseudonym wherever a value occurs, so
 documents stay linked, and whoever holds the key can turn it back. Beside other numbers or capital words a match may
-take in too much: all its shorter ends and later starts, cut at separators, are tried as well. Only where a pseudonym
-would make another of these readings valid is the next one on its cycle taken.
+take in too much: its shorter ends and later starts, cut at separators, are tried as well, in one pass from left to
+right. Card numbers and IBANs, which other digits fit by chance, give way to values of stricter patterns. Only where a
+pseudonym would change how the text around it is read is the next one on its cycle taken.
 
 Each text is worked through on its own, where it was read: nothing is shuffled, collected or broadcast.
 """
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from datetime import date, timedelta
 from math import isqrt
 
@@ -56,7 +58,6 @@ IBAN_LENGTHS = {"AD": 24, "AE": 23, "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY"
                 "SI": 19, "SK": 24, "SM": 27, "TR": 26, "UA": 29}
 #: Lengths of cards by their first digit.
 CARD_LENGTHS = {"2": (16,), "3": (14, 15), "4": (16,), "5": (16,), "6": (16,)}
-MARGIN = 64
 MAYBE = re.compile(r"[0-9@]")
 
 
@@ -217,9 +218,14 @@ def readings(text: str, kind: str, start: int, ips: list[tuple[int, int]]) -> li
         return []
     if kind not in ("abroad", "iban", "card"):
         return [(0, m.end())]
-    ends = [m.end(), *(c.start() for c in CUT.finditer(text, start + 1, m.end()) if OWN[kind].fullmatch(text, start, c.start()))]
-    ends = [x for x in ends if not any(s < x < e for s, e in ips)]
-    sizes = {e: sum(c.isalnum() for c in text[start:e]) for e in ends}
+    cuts = [c.start() for c in CUT.finditer(text, start + 1, m.end())]
+    if kind != "card":
+        cuts = [c for c in cuts if OWN[kind].fullmatch(text, start, c)]
+    ends = [x for x in [m.end(), *cuts] if not any(s < x < e for s, e in ips)]
+    sizes = {e: e - start - sum(map(text[start:e].count, " .-+()")) for e in ends}
+    if kind == "card":
+        sizes = {e: n for e, n in sizes.items() if n >= 13}
+        ends = [e for e in ends if e in sizes]
     if kind == "abroad":
         digits = re.sub("[^0-9]", "", m[0])
         most = next((n + MOST_DIGITS[digits[:n]] for n in (1, 2, 3) if digits[:n] in MOST_DIGITS), 15)
@@ -230,79 +236,118 @@ def readings(text: str, kind: str, start: int, ips: list[tuple[int, int]]) -> li
     return [(0 if sizes[e] in usual else 1, e) for e in ends]
 
 
-def stretch(text: str, m: re.Match, names: Pseudonyms, ips: list[tuple[int, int]]):
-    """(end, whether there was a choice, values, next match) of the stretch of overlapping readings that begins with ``m``.
-
-    Readings of a usual form come first, then the others; among them the first start, the kind and the longest one
-    decide. Every valid reading that none before it overlaps is a value: (start, end, kind)."""
-    end, all_ = m.start() + 1, []
-    while m and m.start() < end:
-        near = [x for x in ips if x[0] < m.start() + 64 and x[1] > m.start()] if ips else ips
-        for nth, kind in enumerate(OWN):
-            for rank, last in readings(text, kind, m.start(), near):
-                all_.append((rank, m.start(), nth, -last, kind))
-                end = max(end, last)
-        m = FINDER.search(text, m.start() + 1)
-    values = []
-    for _, start, _, last, kind in sorted(all_):
-        if all(-last <= s or start >= e for s, e, _ in values) and names.of(kind, text[start:-last]) is not None:
-            values.append((start, -last, kind))
-    return end, len(all_) > 1 or any(k == "ip" for *_, k in values), sorted(values), m
-
-
-def settled(text: str, at: int, begin: int, end: int, values: list, names: Pseudonyms) -> list[str]:
-    """The pseudonyms of a stretch whose readings could change; ``at``: where the stretch before it ends.
-
-    A pseudonym that would change which readings are taken is passed over for the next one on its cycle, so the way
-    back, from the last value to the first, finds the same values."""
-    now = [text[s:e] for s, e, _ in values]
-    # No reading that touches the stretch is longer than the margins, save mail addresses, which lie in it.
-    at = max(at, begin - MARGIN)
-    cut = max(0, at - 1)
-    text, at, end, values = text[cut:end + MARGIN], at - cut, end - cut, [(s - cut, e - cut, k) for s, e, k in values]
-
-    def as_read() -> bool:
-        out, spans, last = [], [], at
-        for (s, e, kind), new in zip(values, now):
-            out += [text[last:s], new]
-            first = (spans[-1][1] if spans else at) + s - last
-            spans.append((first, first + len(new), kind))
-            last = e
-        tail = spans[-1][1] + end - last
-        other = text[:at] + "".join(out) + text[last:]
-        m, found, ips = FINDER.search(other, at), [], addresses(other, names)
-        while m and not found:
-            to, _, found, m = stretch(other, m, names, ips)
-        return found == spans and to == tail
-
-    if not as_read():  # no margin is too small, but a walk without an end is the worst of answers
-        return [names.of(k, text[s:e]) for s, e, k in values]
-    for i in reversed(range(len(now))) if names.back else range(len(now)):
-        while True:
-            now[i] = names.of(values[i][2], now[i])
-            if as_read():
-                break
-    return now
+#: Order and name of the kinds that may begin with a character.
+BEGINS = {"+": [(0, "abroad")], "(": [(7, "phone")],
+          **dict.fromkeys("0123456789", [(n, k) for n, k in enumerate(OWN) if k not in ("abroad", "iban")]),
+          **dict.fromkeys("abcdefghijklmnopqrstuvwxyz", [(1, "email")]),
+          **dict.fromkeys("ABCDEFGHIJKLMNOPQRSTUVWXYZ", [(1, "email"), (2, "iban")])}
+#: Patterns that other numbers fit by chance: their values give way to those of stricter ones.
+LOOSE = "iban", "card"
+#: A reading is at most 42 characters long, mail addresses aside, and looks at readings that begin inside it.
+REACH = 84
+
+
+class Scanner:
+    """The values of one text, in one pass from left to right with a look-ahead of REACH characters."""
+
+    def __init__(self, text: str, names: Pseudonyms):
+        self.text, self.names, self.known = text, names, {}
+        self.ips = addresses(text, names)
+        self.ip_starts = [x[0] for x in self.ips]
+
+    def options(self, start: int) -> list[tuple[int, int, int, str]]:
+        """(rank, order of the kind, -end, kind) of the valid readings that begin here, the best first."""
+        if start not in self.known:
+            i = bisect_right(self.ip_starts, start + REACH)
+            near = [x for x in self.ips[max(0, i - REACH):i] if x[1] > start]
+            found = [(rank, nth, -end, kind) for nth, kind in BEGINS[self.text[start]] for rank, end in readings(self.text, kind, start, near)
+                     if self.names.of(kind, self.text[start:end]) is not None]
+            self.known[start] = sorted(found)
+        return self.known[start]
+
+    def chosen(self, start: int) -> tuple[int, int, str] | None:
+        """The value that begins here. A loose reading gives way to a strict value that begins in it, and one of
+        unusual length to a value of usual length."""
+        options = self.options(start)
+        strict = [x for x in options if x[3] not in LOOSE]
+        for rank, _, last, kind in strict or options:
+            if kind not in LOOSE or not self._crossed(rank, start, -last):
+                return start, -last, kind
+        return None
+
+    def _crossed(self, rank: int, start: int, end: int) -> bool:
+        m = FINDER.search(self.text, start + 1)
+        while m and m.start() < end:
+            if any(kind not in LOOSE or other < rank for other, _, _, kind in self.options(m.start())):
+                return True
+            m = FINDER.search(self.text, m.start() + 1)
+        return False
+
+    def values(self, at: int):
+        m = FINDER.search(self.text, at)
+        while m:
+            value = self.chosen(m.start())
+            if value:
+                yield value
+            m = FINDER.search(self.text, value[1] if value else m.start() + 1)
+
+
+class Line:
+    """A text cut into gaps and values, some of which are pseudonyms by now."""
+
+    def __init__(self, text: str, values: list[tuple[int, int, str]], names: Pseudonyms):
+        ends = [0, *(e for _, e, _ in values)]
+        self.gaps = [text[e:s] for e, (s, _, _) in zip(ends, values)] + [text[ends[-1]:]]
+        self.now, self.kinds, self.names = [text[s:e] for s, e, _ in values], [k for *_, k in values], names
+
+    def as_read(self, i: int) -> bool:
+        """Whether the text around value i is read as it is cut. What begins after value i doesn't depend on it, what
+        ends more than REACH before it neither."""
+        first, left = i, self.gaps[i]
+        while first and len(left) < REACH:
+            first -= 1
+            left = self.gaps[first] + self.now[first] + left
+        before = self.now[first - 1][-2:] if first else ""
+        if len(self.gaps[first]) > REACH:  # no value begins in a gap, so it may be cut
+            more = len(self.gaps[first]) - REACH
+            before, left = left[more - 2:more], left[more:]
+        right, last = self.gaps[i + 1][:REACH], i + 1
+        while len(right) < REACH and last < len(self.now):
+            right += self.now[last] + self.gaps[last + 1][:REACH]
+            last += 1
+        at = len(before)
+        want, place = [], at + len(left) - sum(len(self.now[j]) + len(self.gaps[j + 1]) for j in range(first, i))
+        for j in range(first, i + 1):
+            want.append((place, place + len(self.now[j]), self.kinds[j]))
+            place += len(self.now[j]) + len(self.gaps[j + 1])
+        got = Scanner(before + left + self.now[i] + right, self.names).values(at)
+        return all(next(got, None) == w for w in want)
+
+    def settle(self) -> None:
+        """Values become pseudonyms one by one. A pseudonym that would change how the text around it is read is passed
+        over for the next on its cycle, which ends at the value itself at the latest; the way back goes from the last
+        value to the first, meets the same texts and so undoes each step."""
+        for i in reversed(range(len(self.now))) if self.names.back else range(len(self.now)):
+            steady = self.as_read(i)
+            while True:
+                self.now[i] = self.names.of(self.kinds[i], self.now[i])
+                if not steady or self.as_read(i):
+                    break
 
 
 def replaced(text: str, names: Pseudonyms) -> tuple[str, list[dict]]:
     """The text with pseudonyms, and what was found: kind, start and end in the new text."""
-    out, found, at, length, before = [], [], 0, 0, 0
-    m = FINDER.search(text) if MAYBE.search(text) else None
-    ips = addresses(text, names) if m else []
-    while m:
-        while ips and ips[0][1] <= before:
-            ips.pop(0)
-        begin = m.start()
-        end, choice, values, m = stretch(text, m, names, ips)
-        news = settled(text, before, begin, end, values, names) if choice and values else [names.of(k, text[s:e]) for s, e, k in values]
-        for (start, stop, kind), new in zip(values, news):
-            out += [text[at:start], new]
-            length += start - at + len(new)
-            found.append({"kind": "phone" if kind == "abroad" else kind, "start": length - len(new), "end": length})
-            at = stop
-        before = end
-    return ("".join(out) + text[at:] if found else text), found
+    values = list(Scanner(text, names).values(0)) if MAYBE.search(text) else []
+    if not values:
+        return text, []
+    line = Line(text, values, names)
+    line.settle()
+    out, found, length = [], [], 0
+    for gap, new, kind in zip(line.gaps, line.now, line.kinds):
+        out += [gap, new]
+        length += len(gap) + len(new)
+        found.append({"kind": "phone" if kind == "abroad" else kind, "start": length - len(new), "end": length})
+    return "".join(out) + line.gaps[-1], found
 
 
 FOUND = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
