@@ -34,8 +34,6 @@ MISSED = 4.3e-6
 SKETCHED = 250_000
 #: Classes in a block of a cluster, on average; a task compares two blocks.
 BLOCK = 96
-#: Ids up to this number (8 bytes each) may be broadcast to pick texts from the documents.
-BROADCAST_IDS = 2_000_000
 EMPTY = np.iinfo(np.uint64).max
 
 
@@ -244,11 +242,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ids = stored(members.join(firsts.select(F.col("doc_id").alias("node"), "raw"), "node").distinct(), folder, "members")
     texts = docs.select(F.col(id_col).cast("bigint").alias("node"), F.xxhash64(text_col).alias("raw"),
                         F.col(text_col).cast("binary").alias("text"))
-    # Picks the clustered rows before their texts are shuffled, as long as the list of ids is small.
-    picked = ids.select("node").distinct()
-    if picked.count() <= BROADCAST_IDS:
-        texts = texts.join(F.broadcast(picked), "node", "left_semi")
-    found = stored(ids.join(texts, ["node", "raw"]).dropDuplicates(["node", "raw"]), folder, "texts")
+    # One plan at every size: the ids are hashed in each shuffle partition, and texts go there once, unsorted.
+    found = stored(texts.join(ids.hint("shuffle_hash"), ["node", "raw"]).dropDuplicates(["node", "raw"]), folder, "texts")
     links = components(confirmed(found, k, over, under), folder, "links")
     labels = (classes.join(links.select(F.col("node").alias("least"), "root"), "least", "left")
               .select("node", F.coalesce("root", "least").alias("component_id")))
