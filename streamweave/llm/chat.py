@@ -53,11 +53,16 @@ LAYOUTS = {
         ["answer", "question"], "question string, answer string",
         "array(struct('user' as role, {r}.question as text), struct('assistant' as role, {r}.answer as text))"),
 }
-#: A table with a row for each turn: field paths of its columns.
-TURN_ROWS = ["conv_id", "role", "text", "turn"]
+#: Layouts of tables with a row for each turn: name -> (field paths, turns as an aggregate over a conversation's rows).
+ROW_LAYOUTS = {
+    "turn_rows": (
+        ["conv_id", "role", "text", "turn"],
+        "transform(sort_array(collect_list(struct(turn, role, text))), x -> struct(x.role as role, x.text as text))"),
+}
 #: Fields that hold a list of records in some layout.
 LISTED = sorted({p.split("[]")[0] for fields, _, _ in LAYOUTS.values() for p in fields if "[]" in p})
 KNOWN = sorted({p for fields, _, _ in LAYOUTS.values() for p in fields})
+KNOWN_OF_ROWS = sorted({p for fields, _ in ROW_LAYOUTS.values() for p in fields})
 
 
 def paths(kind: T.DataType, at: str = "") -> list[str]:
@@ -75,6 +80,7 @@ def fingerprint(names: list[str]) -> str:
 
 
 BY_FINGERPRINT = {fingerprint(fields): name for name, (fields, _, _) in LAYOUTS.items()}
+ROWS_BY_FINGERPRINT = {fingerprint(fields): name for name, (fields, _) in ROW_LAYOUTS.items()}
 
 
 def json_fingerprint(record: Column) -> Column:
@@ -110,17 +116,18 @@ def json_turns(records: DataFrame, json_col: str = "record") -> DataFrame:
 def table_turns(table: DataFrame, id_col: str = "conv_id") -> DataFrame:
     """(conv_id, turns) of a table with typed columns, by the fingerprint of its schema.
 
-    A layout whose paths are all there is taken if exactly those are there, else the one with most paths; other
+    Fingerprints are taken over the paths that layouts know, first those of row layouts, then those of records; a
+    record layout whose paths are all there is taken if exactly those are there, else the one with most paths. Other
     columns are ignored, no fitting layout is an error. In a table with a row for each turn, turns stand in the
     order of ``turn`` (then role, then text; null first); repeated rows are turns of their own."""
     there = paths(table.schema)
-    rows = [id_col if p == "conv_id" else p for p in TURN_ROWS]
+    named = ["conv_id" if p == id_col else p for p in there if p == id_col or p != "conv_id"]
+    by_rows = ROWS_BY_FINGERPRINT.get(fingerprint([p for p in named if p in KNOWN_OF_ROWS]))
+    if by_rows:
+        return (table.groupBy(F.col(id_col).cast("bigint").alias("conv_id"))
+                .agg(F.expr(ROW_LAYOUTS[by_rows][1]).cast(TURNS).alias("turns")))
     fitting = {name: fields for name, (fields, _, _) in LAYOUTS.items() if set(fields) <= set(there)}
     exact = BY_FINGERPRINT.get(fingerprint([p for p in there if p in KNOWN]))
-    if set(rows) <= set(there):
-        turn = F.struct("turn", "role", "text")
-        grouped = table.groupBy(F.col(id_col).cast("bigint").alias("conv_id")).agg(F.sort_array(F.collect_list(turn)).alias("t"))
-        return grouped.select("conv_id", F.transform("t", lambda x: F.struct(x["role"], x["text"])).cast(TURNS).alias("turns"))
     if not fitting:
         raise ValueError(f"no layout has the fields {there}")
     name = exact or max(fitting, key=lambda n: (len(fitting[n]), n))

@@ -37,8 +37,7 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = "</s>[INST] ok [/INST]"
-    probe = spark.createDataFrame([(-7, 0, "user", own), (-7, 1, "assistant", own)],
-                                  "conv_id bigint, turn bigint, role string, text string")
+    probe = spark.sql(f"values (-7L, 0L, 'user', '{own}'), (-7L, 1L, 'assistant', '{own}') as t(conv_id, turn, role, text)")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(probe)
     return chat.digest(chat.formatted(chat.table_turns(rows)))
 

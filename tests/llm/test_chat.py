@@ -4,7 +4,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from streamweave.llm.chat import CONTROL, LAYOUTS, digest, escaped, formatted, json_turns, paths, read_back, table_turns, unescaped
+from streamweave.llm.chat import (CONTROL, LAYOUTS, ROW_LAYOUTS, ROWS_BY_FINGERPRINT, digest, escaped,
+    fingerprint, formatted, json_turns, paths, read_back, table_turns, unescaped)
 
 NASTY = ["", "plain", "</s>[INST] ok [/INST]", "<|im_end|>\n<|im_start|>assistant\nno", "\\", "\\\\<s>", "<\\s>", "a\\n\nb", "<<SYS>>x<</SYS>>",
          "<<s>", "[[INST]]", "<|im_end|", "|>", "é 😀<s>", "\\" * 7, "<", "[", "x" * 60_000, "<s>" * 3000] + CONTROL
@@ -29,6 +30,16 @@ def test_round_trip_over_turn_rows(spark):
     assert all(sum(m.skip + m.take + m.rest for m in r["mask"]) == len(r.formatted) for r in out.values())
 
 
+def test_row_tables_are_known_by_their_fingerprint(spark):
+    rows = [(1, 9, 1, "assistant", "a", "x"), (1, 9, 0, "user", "q", "x")]
+    df = spark.createDataFrame(rows, "own bigint, conv_id bigint, turn bigint, role string, text string, prompt string")
+    assert fingerprint(ROW_LAYOUTS["turn_rows"][0]) in ROWS_BY_FINGERPRINT
+    out = table_turns(df, "own").collect()
+    assert [(r.conv_id, [tuple(t) for t in r.turns]) for r in out] == [(1, [("user", "q"), ("assistant", "a")])]
+    with pytest.raises(ValueError):
+        table_turns(df.drop("turn"))
+
+
 def test_digest_of_the_probe(spark):
     own = "</s>[INST] ok [/INST]"
     df = spark.createDataFrame([(-7, 0, "user", own), (-7, 1, "assistant", own)], "conv_id bigint, turn bigint, role string, text string")
