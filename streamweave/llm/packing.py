@@ -31,6 +31,8 @@ LENGTH, OPEN, CUT = 1024, 64, 32
 GROUP = 256
 #: Partition number (or group) and number in it share a sequence's number.
 WITHIN = 40
+#: Partitions and groups together; beyond it a sequence's number would not fit into 63 bits.
+MOST = 1 << (63 - WITHIN)
 
 
 @lru_cache(maxsize=2)
@@ -106,6 +108,8 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, path: str, end: int, len
     def run(batches):
         encode, windows = encoder(path, ranks), Open(length, most, cut)
         base = TaskContext.get().partitionId() << WITHIN
+        if base >= 1 << 63:
+            raise ValueError(f"more than {MOST} partitions: read the texts in fewer")
         waiting: dict[int, list] = {}  # pieces of open windows
 
         def table(rows):
@@ -143,6 +147,8 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, path: str, end: int, len
 def merged(left: DataFrame, length: int, cut: int, first: int) -> DataFrame:
     """Packs the pieces of left-over windows anew, the longest first, in groups of about GROUP windows."""
     groups = max(1, -(-left.select("sequence_id").distinct().count() // GROUP))
+    if first + groups > MOST:
+        raise ValueError(f"{first} partitions and {groups} groups are more than {MOST}: read the texts in fewer partitions")
 
     def pack(key, table):
         rows = sorted(table.to_pylist(), key=lambda r: (-r["length"], r["doc_id"] is None, r["doc_id"], r["start"], r["ids_crc32"]))
