@@ -113,6 +113,19 @@ def q_parse_sensor(spark, sf):
     return parse_sensor(lines)
 
 
+@register("numbered_lines", O.with_views(
+    "SELECT row_number() OVER (ORDER BY seq) - 1 AS seq, id || ',' || CAST(timestamp AS VARCHAR) AS value FROM readings",
+    "readings"))
+def q_numbered_lines(spark, sf):
+    from pyspark.sql import functions as F
+    from streamweave.session import scratch
+    from streamweave.sources.text import read_lines
+    folder = scratch(spark)
+    (td.readings(spark, sf).orderBy("seq").select(F.concat_ws(",", "id", F.col("timestamp").cast("string")).alias("value"))
+     .write.text(folder))
+    return read_lines(spark, folder).select("seq", "value")
+
+
 @register("parse_user_behavior_lines", O.with_views(
     "SELECT userId, itemId, 1 AS categoryId, behavior, timestamp, seq FROM behaviors", "behaviors"))
 def q_parse_behavior(spark, sf):

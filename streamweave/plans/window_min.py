@@ -2,8 +2,8 @@
 
 Bounded: the firing changelog (one result per window firing: on time,
 then once per allowed late row) plus the side output of too-late rows.
-Streaming: watermark = delay + lateness in update mode, with the late
-router in front for the side output (``streamweave.streaming.late``).
+Streaming: ``streamweave.streaming.forms.window_min_stream`` keeps each window's
+state until it closes and gives both outputs, rows too late for it marked as such.
 """
 
 from __future__ import annotations

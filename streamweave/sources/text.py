@@ -3,8 +3,8 @@
 A line's place is (file, block, line): Spark reads each file block in order, so
 that order needs no shuffle, and operators that take several order columns use
 it as it is. A global line number (``seq``, exact across the input in (file,
-offset) order) is made on request: without a one-partition window over the
-lines, only the per-block summary (one row per block) is ordered globally.
+offset) order) is made on request: blocks are counted in a first pass, only that
+summary (one row per block) is ordered globally, and the reading task adds it.
 """
 
 from __future__ import annotations
@@ -14,15 +14,31 @@ from pyspark.sql.types import StructType
 
 from streamweave import schemas
 from streamweave.functions.text import java_trim
+from streamweave.session import scratch, stored
 
 
 #: The order columns of unnumbered lines.
 PLACE = ("file", "block", "line")
 
 
+def line_blocks(raw: DataFrame) -> DataFrame:
+    """(file, block, first, before) for each file block: the id of its first line in its reading task, and the lines
+    of all blocks before it. Counted in one pass over the byte ranges (no text leaves it), ordered as a table of one
+    row per block, and written to the shared folder."""
+    counts = raw.groupBy("file", "block").agg(F.min("line").alias("first"), F.count(F.lit(1)).alias("n"))
+    order = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = counts.select("file", "block", "first", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
+    return stored(blocks, scratch(raw.sparkSession), "blocks")
+
+
 def read_lines(spark: SparkSession, path: str, numbered: bool = True) -> DataFrame:
     """``readTextFile``: (value, file, seq), seq = 0-based global line number;
-    with ``numbered`` off (value, file, block, line) in one pass."""
+    with ``numbered`` off (value, file, block, line) in one pass.
+
+    Numbers come from the stored ``line_blocks`` and are added where a line is read: the plan holds one scan of the
+    text, and lines are shuffled only if the table of blocks is over Spark's broadcast threshold. Files that change
+    after the count, or a session that cuts them otherwise when it reads, fail the job instead of numbering wrongly.
+    Files count in the order of their paths, compared as strings; an input without lines gives no rows."""
     raw = (spark.read.text(path)
            .select("value",
                    F.col("_metadata.file_path").alias("file"),
@@ -30,13 +46,12 @@ def read_lines(spark: SparkSession, path: str, numbered: bool = True) -> DataFra
                    F.monotonically_increasing_id().alias("line")))
     if not numbered:
         return raw
-    blocks = (raw.groupBy("file", "block")
-              .agg(F.min("line").alias("_first"), F.count(F.lit(1)).alias("_n")))
-    # One row per file block: small by construction (input bytes / block size).
-    order = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0)))
-    return (raw.join(blocks, ["file", "block"])
-            .select("value", "file", (F.col("_before") + F.col("line") - F.col("_first")).alias("seq")))
+    # An id's upper bits are the reading task's number, the lower ones the line's place in it.
+    same_task = F.shiftright("line", 33) == F.shiftright("first", 33)
+    changed = F.raise_error(F.concat(F.lit("input or its blocks changed since they were counted: "), "file"))
+    seq = F.when(same_task & (F.col("line") >= F.col("first")), F.col("before") + F.col("line") - F.col("first"))
+    return (raw.join(line_blocks(raw), ["file", "block"], "left")
+            .select("value", "file", seq.otherwise(changed.cast("bigint")).alias("seq")))
 
 
 def _fields(line: Column, n: int) -> list[Column]:

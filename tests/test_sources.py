@@ -90,3 +90,33 @@ def test_read_lines_across_many_blocks(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == list(enumerate(lines))
+
+
+def test_numbers_are_added_in_one_scan_without_moving_lines(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("".join(f"line {i}\n" for i in range(500)))
+    plan = text.read_lines(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_numbers_of_empty_files_and_empty_lines(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("")
+    (tmp_path / "b.txt").write_text("\n\nx\n")
+    (tmp_path / "c.txt").write_text("last, no line end")
+    rows = text.read_lines(spark, str(tmp_path)).orderBy("seq").collect()
+    assert [(r.seq, r.value) for r in rows] == [(0, ""), (1, ""), (2, "x"), (3, "last, no line end")]
+    empty = tmp_path / "none"
+    empty.mkdir()
+    (empty / "a.txt").write_text("")
+    assert text.read_lines(spark, str(empty)).count() == 0
+
+
+def test_blocks_cut_otherwise_after_the_count_fail_the_job(spark, tmp_path):
+    (tmp_path / "big.txt").write_text("".join(f"line {i}\n" for i in range(2000)))
+    df = text.read_lines(spark, str(tmp_path))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        with pytest.raises(Exception, match="changed since they were counted"):
+            df.select("seq", "value").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
