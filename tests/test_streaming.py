@@ -14,7 +14,6 @@ from streamweave.operators.aggregates import word_count
 from streamweave.plans.hot_items import hot_items
 from streamweave.sources import testdata as td
 from streamweave.streaming import forms, processors as P
-from streamweave.streaming.late import LateRouter
 from streamweave.streaming.runner import IdempotentParquetSink, run_available_now, use_rocksdb_state
 
 SENTINEL_USER = -1
@@ -167,24 +166,6 @@ def test_delay_timer(spark, tmp_path):
     assert all(r.watermark >= r.deadline for r in got.collect())
 
 
-def test_late_router_per_row_batches(spark, tmp_path):
-    from tests.test_lateness import ARRIVALS
-    d = tmp_path / "in"
-    d.mkdir()
-    for i, (k, t, v, s) in enumerate(ARRIVALS):
-        pq.write_table(pa.table({"id": [k], "timestamp": pa.array([t], pa.int64()), "temperature": [v],
-                                 "seq": pa.array([s], pa.int64())}), d / f"p{i:02d}.parquet")
-    ordered_mtimes(d)
-    src = spark.readStream.schema("id string, timestamp long, temperature double, seq long") \
-        .option("maxFilesPerTrigger", 1).parquet(str(d))
-    main, late = IdempotentParquetSink(str(tmp_path / "main")), IdempotentParquetSink(str(tmp_path / "late"))
-    router = LateRouter(str(tmp_path / "wm"), main, late, "10 seconds", "0 ms", "5 seconds")
-    run_available_now(src, router, str(tmp_path / "ckpt"))
-    assert sorted(r.seq for r in late.read(spark).collect()) == [5]
-    assert sorted((r.seq, r.arrival) for r in main.read(spark).collect()) == [
-        (1, "on_time"), (2, "on_time"), (3, "late"), (4, "on_time"), (6, "on_time"), (7, "late")]
-
-
 def test_first_visit_with_ttl_state(spark, sf_dir, tmp_path):
     """ST12: value state with a TTL, processing-time mode, processing-time
     trigger (polled until the expected rows arrived, then stopped)."""
