@@ -738,6 +738,22 @@ def q_jdbc_rows(spark, sf):
     return student_rows(td.readings(spark, sf))
 
 
+@register("keyed_merge_log", ORACLES["keyed_upsert_latest"])
+def q_keyed_merge_log(spark, sf):
+    """The readings in four batches of ascending seq, compacted in between."""
+    from pyspark.sql import functions as F
+    from streamweave.session import scratch
+    from streamweave.sinks.merge_log import MergeLog
+    r = td.readings(spark, sf)
+    low, high = r.agg(F.min("seq"), F.max("seq")).first()
+    log = MergeLog(scratch(spark), "id", "temperature")
+    part = F.floor((F.col("seq") - F.lit(low)) * 4 / F.lit((high or 0) - (low or 0) + 1))
+    for n in range(4):
+        log.write_batch(r.where(part == n), n)
+    log.compact(spark)
+    return log.read(spark)
+
+
 @register("keyed_strings", O.with_views(
     "SELECT CAST(seq AS VARCHAR) AS key, id || CAST(timestamp AS VARCHAR) AS value FROM readings", "readings"))
 def q_keyed_strings(spark, sf):
