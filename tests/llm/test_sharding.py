@@ -1,10 +1,11 @@
 import random
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from brute import crc
-from streamweave.llm.sharding import sharded
+from streamweave.llm.sharding import MOST_SHARDS, sharded
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -66,3 +67,38 @@ def test_metadata_dimensions_of_ones_own(spark):
     df = spark.createDataFrame(rows, SCHEMA).withColumn("when", F.col("doc_id") * 3.5)
     out = sharded(df, shards=4, dims={"when": F.col("when")}).groupBy("shard").agg(F.min("doc_id"), F.max("doc_id")).orderBy("shard").collect()
     assert [(r[1], r[2]) for r in out][0][0] == 0 and all(a[2] < b[1] for a, b in zip(out, out[1:]))
+
+
+def test_many_shards_by_target_bytes(spark):
+    rows = [(d, t[:120] + str(d)) for d, t in corpus(5, 6000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    total = sum(len(t.encode()) + 1 for _, t in rows)
+    size, homes = checked(sharded(df, target_bytes=total // 200 + 1), rows, 200)
+    assert len(size) == 200 and all(len(h) == 1 for h in homes.values())
+    assert max(size.values()) < 1.2 * total / 200 and min(size.values()) > 0.8 * total / 200
+    with pytest.raises(ValueError):
+        sharded(df, target_bytes=1, shards=1) if total > MOST_SHARDS else sharded(df, shards=MOST_SHARDS + 1)
+    with pytest.raises(ValueError):
+        sharded(df, shards=0)
+
+
+def test_more_shards_than_rows_and_one_shard(spark):
+    rows = [(d, "w" * d) for d in range(9)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    checked(sharded(df, shards=40), rows, 40)
+    size, _ = checked(sharded(df, shards=1), rows, 1)
+    assert set(size) == {0}
+
+
+def test_the_cut_is_the_weighted_median_of_the_widest_dimension(spark):
+    """Two shards of distinct places: the tree's cut against every possible cut of the sorted rows."""
+    rng = random.Random(6)
+    rows = [(i, "t" * rng.randrange(1, 60)) for i in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("wide", F.col("doc_id") * 7 % 401).withColumn("narrow", F.lit(1))
+    out = sharded(df, shards=2, dims={"narrow": F.col("narrow"), "wide": F.col("wide")})
+    left = {r.doc_id for r in out.collect() if r.shard == 0}
+    order = sorted(rows, key=lambda r: r[0] * 7 % 401)
+    assert {d for d, _ in order[:len(left)]} == left
+    goal = sum(len(t) + 1 for _, t in rows) / 2
+    misses = [abs(sum(len(t) + 1 for _, t in order[:i]) - goal) for i in range(len(order))]
+    assert misses[len(left)] == min(misses)
