@@ -8,8 +8,8 @@ row-at-a-time UDFs:
 * ``map_column``   Map over one column: a pandas Series -> Series UDF;
 * ``filter_rows``  Filter with a vectorized predicate (Series -> bool Series);
 * ``flat_map``     FlatMap: each row -> 0..n rows via ``mapInPandas``;
-* ``aggregate``    Reduce/Aggregate per key: states are combined in each task
-                   before the shuffle, then merged by key.
+* ``aggregate``    Reduce/Aggregate per key: a key's rows become a state for
+                   each share of the input, then states are merged by key.
 """
 
 from __future__ import annotations
@@ -48,6 +48,8 @@ def flat_map(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema:
 
 #: Keys whose states a task holds at once; states of one key that wait for a merge.
 MOST_KEYS, WAITING = 65_536, 16
+#: A task's rows and neighbouring tasks that send a key's rows to one place.
+SHARE_ROWS, SHARE_TASKS = 1 << 22, 4
 
 
 def state_schema(df: DataFrame, key: str, state_type: str, name: str = "state") -> StructType:
@@ -80,11 +82,12 @@ def partial_states(df: DataFrame, key: str, col: str, partial: Callable[[pd.Seri
             codes = keys.indices.to_numpy(zero_copy_only=False)
             order = np.argsort(codes, kind="stable")
             values = batch.column(1).take(pa.array(order)).to_pandas()
+            array, kind = values.array, values.dtype
             cuts = np.flatnonzero(np.diff(codes[order])) + 1
             names = keys.dictionary.to_pylist()
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(codes)]):
                 waiting = held.setdefault(names[codes[order[a]]], [])
-                waiting.append(partial(values.iloc[a:b].reset_index(drop=True)))
+                waiting.append(partial(pd.Series(array[a:b], dtype=kind)))
                 if len(waiting) > WAITING:
                     waiting[:] = [merge(pd.Series(waiting))]
             if len(held) > most_keys:
@@ -95,6 +98,17 @@ def partial_states(df: DataFrame, key: str, col: str, partial: Callable[[pd.Seri
     return df.select(F.col(key).alias("key"), F.col(col).alias("value")).mapInArrow(run, schema)
 
 
+def gathered(df: DataFrame, key: str, col: str) -> DataFrame:
+    """(key, value) with the rows of a key next to each other, from shares of the input: SHARE_TASKS tasks, SHARE_ROWS rows of each.
+
+    A key's rows of one share meet in one task, so a call sees many of them; a hot key is split into as many groups as
+    the input has shares. However few files or row groups the input has, all cores take part."""
+    share = F.struct(F.floor(F.spark_partition_id() / SHARE_TASKS).alias("tasks"),
+                     F.floor((F.monotonically_increasing_id() % (1 << 33)) / SHARE_ROWS).alias("rows"))
+    rows = df.select(F.col(key).alias("key"), F.col(col).alias("value"), share.alias("share"))
+    return rows.repartition("key", "share").sortWithinPartitions("key").drop("share")
+
+
 def aggregate(df: DataFrame, key: str, col: str, partial: Callable[[pd.Series], object],
               merge: Callable[[pd.Series], object], return_type: str, name: str = "value",
               state_type: str | None = None, result: Callable[[object], object] | None = None,
@@ -108,13 +122,15 @@ def aggregate(df: DataFrame, key: str, col: str, partial: Callable[[pd.Series],
     * ``result(state) -> value``; without it the state is the value, and
       ``state_type`` is ``return_type``.
 
-    Tasks combine states before the shuffle (``partial_states``), so a hot key
-    is one row per task there, also if its rows are all equal; rows of one key
-    are then merged in order of arrival, WAITING at a time. Any split of the values must give
+    A key's rows are gathered by shares of the input (``gathered``) and become
+    one state a share (``partial_states``), so Python is called for keys, not
+    for rows, and a hot key is split into as many groups as there are shares,
+    also if its rows are all equal; states of one key are then merged in order
+    of arrival, WAITING at a time. Any split of the values must give
     the same result (max/max, sum/sum, count/sum). A null key is a key.
     Prefer built-in aggregates whenever they express the reduction.
     """
-    states = partial_states(df, key, col, partial, merge, state_type or return_type, most_keys)
+    states = partial_states(gathered(df, key, col), "key", "value", partial, merge, state_type or return_type, most_keys)
     out = state_schema(df, key, return_type, "value")
     arrow = to_arrow_schema(out)
 

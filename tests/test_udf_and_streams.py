@@ -39,6 +39,36 @@ def test_user_function_surface(spark):
     assert ag == {"sensor_1": 18.0, "sensor_2": 35.0, "sensor_3": 41.0, "sensor_4": 12.0}
 
 
+def test_aggregate_calls_python_for_keys_not_rows(spark):
+    """One input task, keys in turn: every batch holds every key."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def top(s: pd.Series) -> float:
+        calls.add(1)
+        return float(s.max())
+
+    df = spark.range(0, 40_000, 1, 1).select((F.col("id") % 2000).alias("k"), F.col("id").cast("double").alias("v"))
+    got = {x.k: x.value for x in udf.aggregate(df, "k", "v", top, top, "double").collect()}
+    assert got == {k: 38_000.0 + k for k in range(2000)}
+    assert 2000 <= calls.value <= 2 * 2000
+    assert {x.k: x.value for x in udf.aggregate(df, "k", "k", top, top, "double").collect()} == {k: float(k) for k in range(2000)}
+
+
+def test_rows_are_gathered_by_key_and_share(spark, monkeypatch):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        many = spark.range(0, 10_000, 1, 1).select((F.col("id") % 100).alias("k"), F.col("id").alias("v"))
+        own = udf.gathered(many, "k", "v").withColumn("task", F.spark_partition_id())
+        assert own.select("task").distinct().count() == 4  # from one input task
+        assert own.groupBy("key").agg(F.count_distinct("task").alias("n")).where("n > 1").count() == 0
+        assert own.agg(F.count("*"), F.sum("value")).first()[:] == (10_000, sum(range(10_000)))
+        monkeypatch.setattr(udf, "SHARE_ROWS", 500)
+        hot = udf.gathered(many.withColumn("k", F.lit("hot")), "k", "v").withColumn("task", F.spark_partition_id())
+        assert hot.select("task").distinct().count() == 4 and hot.count() == 10_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_processing_time_window_batch(spark):
     out = processing_time_window(sensor_df(spark), "1 hour")
     assert out.where("window_end - window_start = 3600000").count() == 12
