@@ -120,10 +120,11 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column |
     reuse them, and Spark then sees that the rows are already partitioned
     by them: the second scan adds no shuffle of the data.
 
-    ``one_pass=True`` (counts and sums) takes the totals from the chunks'
-    running values instead of a second pass over ``df``. Use it when ``df``
-    is costly to make and holds no column but keys, order and summed ones:
-    then both branches need the same columns and Spark reuses the exchange.
+    ``one_pass=True`` (counts and sums) hashes the totals from the rows that
+    were shuffled for the running values instead of making ``df`` twice. Use
+    it when ``df`` is costly to make and holds no column but keys, order and
+    summed ones: then both branches need the same columns and Spark reuses
+    the exchange.
     """
     if chunk is None:
         base = df
@@ -181,16 +182,16 @@ def keyed_scan(df: DataFrame, keys: list[str], order: list[str], chunk: Column |
         else:
             raise ValueError(f"unknown scan kind {s.kind}")
 
-    windowed = base.select("*", *[c.alias(f"__i_{n}") for n, c in inner.items()])
     if one_pass:
         if any(s.kind not in ("count", "sum") for s in scans):
             raise ValueError("one_pass takes counts and sums")
-        # A running count's last value is its largest.
-        last = [(F.max(f"__i_{s.name}") if s.kind == "count" else F.max_by(f"__i_{s.name}", order_key)).alias(f"__t_{s.name}")
-                for s in scans]
-        summ = windowed.groupBy(*part).agg(*last)
-    else:
-        summ = base.groupBy(*part).agg(*summary)
+        # Both branches read this one exchange: the totals are hashed from its rows, never sorted or windowed again.
+        # The hash of the order columns is null only without rows; it keeps the branches' columns the same.
+        base = base.repartition(*part)
+        some = F.max(F.xxhash64(*order)).isNotNull()
+        summary = [F.when(some, c).alias(f"__t_{s.name}") for s, c in zip(scans, summary)]
+    windowed = base.select("*", *[c.alias(f"__i_{n}") for n, c in inner.items()])
+    summ = base.groupBy(*part).agg(*summary)
     w_c = Window.partitionBy(*sk).orderBy("__chunk")
     before = w_c.rowsBetween(Window.unboundedPreceding, -1)
     prefix = []

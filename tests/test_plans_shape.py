@@ -57,6 +57,12 @@ def test_text_is_split_into_words_once(spark, sf_dir, static_plans):
     assert "RoundRobin" not in p and "ReusedExchange" in p and scans(p) == 1
 
 
+def test_shuffled_words_are_sorted_once(spark, sf_dir, static_plans):
+    p = plan(spark, catalog.QUERIES["rolling_word_count"](spark, sf_dir))
+    # Windows: the running counts of the words and the prefixes of the totals, which are hashed from the same exchange.
+    assert len(re.findall(r"Window \[", p)) == 2 and exchanges(p) == 4
+
+
 @pytest.mark.parametrize("name", ["dedup_hot_items", "dedup_item_timestamp", "temperature_jumps", "rolling_max"])
 def test_aggregates_hash(spark, sf_dir, static_plans, name):
     p = plan(spark, catalog.QUERIES[name](spark, sf_dir))
